@@ -53,3 +53,65 @@ register("dash_feed_volume_7d_selected")(
 register("dash_content_coverage")(lambda t: dsh.content_coverage(t.current))
 register("dash_latest_items")(lambda t: dsh.latest_items(t.current))
 register("dash_feed_list")(lambda t: dsh.feed_list(t.current))
+
+
+# --------------------------------------------------------------------- EPSS -------
+from threatlake.plans import epss as eps  # noqa: E402
+
+DAY = "2024-01-30"  # stands for CURRENT_DATE in the calendar-day views
+register("epss_movers_24h")(lambda t: eps.movers_24h(t.epss_daily, DAY))
+register("epss_movers_24h_top50")(lambda t: eps.movers_24h(t.epss_daily, DAY, with_percentiles=False, limit=50))
+register("epss_risk_pyramid")(lambda t: eps.risk_pyramid(t.epss_daily))
+register("epss_sleepers_between")(
+    lambda t: eps.sleepers_between(t.epss_daily, "2024-01-01", "2024-01-30", low=0.10, high=0.50))
+register("epss_velocity")(lambda t: eps.velocity(t.epss_daily))
+register("epss_universe_growth")(lambda t: eps.universe_growth(t.epss_daily))
+register("epss_new_cves")(lambda t: eps.new_cves(t.epss_daily))
+register("epss_cwe_exploitability")(lambda t: eps.cwe_exploitability(t.epss_daily, t.cve_enriched))
+register("epss_apex")(lambda t: eps.apex(t.epss_daily, t.cve_enriched))
+
+
+def _epss_with_gaps(t):
+    from pyspark.sql import functions as F
+    return t.epss_daily.where(~F.col("as_of").isin("2024-01-05", "2024-01-17"))
+
+
+register("epss_coverage_gaps")(lambda t: eps.coverage_gaps(_epss_with_gaps(t)))
+register("epss_coverage_summary")(lambda t: eps.coverage_summary(_epss_with_gaps(t)))
+register("feed_cadence_weekly")(lambda t: eps.feed_cadence(t.archive))
+register("feed_top_feeds")(lambda t: eps.top_feeds(t.archive))
+register("epss_latest_per_cve")(lambda t: eps.epss_latest(t.epss_daily))
+
+# ------------------------------------------------------------------ feed QA -------
+from threatlake.plans import feed_qa as qa  # noqa: E402
+
+register("qa_missing_both_per_feed")(lambda t: qa.missing_both_per_feed(t.current))
+register("qa_only_content_missing")(lambda t: qa.only_content_missing(t.current))
+register("qa_only_summary_missing")(lambda t: qa.only_summary_missing(t.current))
+register("qa_missing_both_entries")(lambda t: qa.missing_both_entries(t.current))
+register("qa_missing_both_by_day")(lambda t: qa.missing_both_by_day(t.current))
+register("qa_feed_coverage_summary")(lambda t: qa.feed_coverage_summary(t.current))
+register("qa_most_recent_missing_both")(lambda t: qa.most_recent_missing_both(t.current))
+register("qa_missing_both_and_title")(lambda t: qa.missing_both_and_title(t.current))
+register("qa_percent_missing_both")(lambda t: qa.percent_missing_both(t.current))
+register("qa_most_affected_titles")(lambda t: qa.most_affected_titles(t.current))
+
+# ----------------------------------------------------------------- alerting -------
+from threatlake.plans import alerts as alr  # noqa: E402
+
+
+def _cursor(t, value):
+    from threatlake.schemas import INGEST_STATE
+    return t.spark.createDataFrame([("ALERTING", value), ("NVD", "2024-01-30T00:00:00Z")], INGEST_STATE)
+
+
+register("alert_sleepers")(lambda t: alr.detect_sleepers(t.epss_daily, t.cve_enriched))
+register("alert_sleepers_lookback3")(lambda t: alr.detect_sleepers(t.epss_daily, t.cve_enriched, lookback=3))
+register("alert_once_new_day")(
+    lambda t: alr.alert_once(alr.detect_sleepers(t.epss_daily, t.cve_enriched), _cursor(t, "2024-01-29")))
+register("alert_once_same_day")(
+    lambda t: alr.alert_once(alr.detect_sleepers(t.epss_daily, t.cve_enriched), _cursor(t, "2024-01-30")))
+register("alert_next_cursor")(lambda t: alr.next_cursor(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))
+register("alert_generic_payload")(
+    lambda t: alr.generic_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched), AS_OF))
+register("alert_chat_payload")(lambda t: alr.chat_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))

@@ -25,14 +25,20 @@ def nullif_blank(c) -> Column:
     return F.when(c == "", F.lit(None)).otherwise(c)
 
 
-def half_up_pct(num, den, scale: int = 1) -> Column:
-    """``ROUND(100.0 * num / den, scale)`` for non-negative counts, rounded half-up in
-    exact integer arithmetic: ``(2*100*10^s*num + den) div (2*den) / 10^s``.
+def half_up_div(num, den, scale: int = 1, factor: int = 1) -> Column:
+    """``ROUND(factor * num / den, scale)`` for non-negative integer-valued ``num`` and
+    positive ``den``, rounded half-up in exact integer arithmetic:
+    ``(2 * factor * 10^s * num + den) div (2 * den) / 10^s`` as DECIMAL(18+s, s).
     NULL when ``den`` is 0 (the reference guards with NULLIF)."""
     m = 10 ** scale
     n = col_of(num).cast("long")
     d = F.when(col_of(den) == 0, F.lit(None)).otherwise(col_of(den).cast("long"))
-    x = n * (200 * m) + d
+    x = n * (2 * factor * m) + d
     y = d * 2
     q = ((x - x % y) / y).cast("long")
-    return (q.cast(f"decimal(20,{scale})") / m).cast(f"decimal({4 + scale},{scale})")
+    return (q.cast(f"decimal(20,{scale})") / m).cast(f"decimal({18 + scale},{scale})")
+
+
+def half_up_pct(num, den, scale: int = 1) -> Column:
+    """``ROUND(100.0 * num / den, scale)`` of two counts as DECIMAL(4+s, s)."""
+    return half_up_div(num, den, scale, factor=100).cast(f"decimal({4 + scale},{scale})")
