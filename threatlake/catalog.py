@@ -115,3 +115,89 @@ register("alert_next_cursor")(lambda t: alr.next_cursor(alr.detect_sleepers(t.ep
 register("alert_generic_payload")(
     lambda t: alr.generic_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched), AS_OF))
 register("alert_chat_payload")(lambda t: alr.chat_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))
+
+# ---------------------------------------------------------------- relations -------
+from threatlake.plans import relations as rel  # noqa: E402
+from threatlake.plans import triage as tri  # noqa: E402
+
+
+def _mentions(t):
+    return rel.cve_mentions(t.analysis)
+
+
+def _rollups(t):
+    return rel.campaign_cve_rollups(t.analysis, t.cve_enriched, t.epss_daily)
+
+
+def _detail(t):
+    return rel.cve_detail(t.cve_enriched, t.epss_daily, _mentions(t), _rollups(t))
+
+
+def _lite(t):
+    return rel.analysis_entries_lite(t.archive, t.analysis)
+
+
+register("api_analysis_entries")(lambda t: rel.analysis_entries(t.archive, t.analysis))
+register("api_analysis_entries_lite")(_lite)
+register("api_analysis_entries_campaign")(lambda t: rel.analysis_entries_campaign(t.archive, t.analysis))
+register("api_analysis_search")(lambda t: rel.analysis_search(t.archive, t.analysis))
+register("api_analysis_search_hits")(
+    lambda t: rel.search_hits(rel.analysis_search(t.archive, t.analysis), "and", min_confidence=50))
+register("api_cve_mentions")(_mentions)
+register("api_cve_mentions_v2")(lambda t: rel.cve_mentions_v2(t.analysis))
+register("api_cve_mention_drift")(lambda t: rel.mention_drift(_mentions(t), rel.cve_mentions_v2(t.analysis)))
+register("api_cve_anomalies")(lambda t: rel.cve_anomalies(t.analysis))
+register("api_cves_enriched")(lambda t: rel.cves_enriched(_mentions(t), t.cve_enriched, t.epss_daily))
+register("api_cves_enriched_lite")(lambda t: rel.cves_enriched_lite(_mentions(t), t.cve_enriched, t.epss_daily))
+register("api_cve_detail")(_detail)
+register("api_nvd_cves_lite")(lambda t: rel.nvd_cves_lite(t.cve_enriched, t.epss_daily))
+register("api_kev_cves_lite")(lambda t: rel.kev_cves_lite(t.cve_enriched))
+register("api_epss_top_latest")(lambda t: rel.epss_top_latest(t.epss_daily, t.cve_enriched))
+register("api_campaign_cve_rollups")(_rollups)
+register("api_campaign_summary")(lambda t: rel.campaign_summary(_rollups(t)))
+register("api_campaign_latest_seen")(lambda t: rel.campaign_latest_seen(_rollups(t)))
+register("api_hourly_sitreps")(lambda t: rel.hourly_sitreps(t.analysis, AS_OF))
+register("api_hourly_sitreps_latest")(lambda t: rel.hourly_sitreps_latest(rel.hourly_sitreps(t.analysis, AS_OF)))
+register("api_daily_insights_latest")(lambda t: rel.daily_insights_latest(t.epss_daily))
+register("api_severity_by_source_7d")(lambda t: rel.severity_by_source(t.analysis, AS_OF))
+register("api_severity_by_source_7d_wide")(lambda t: rel.severity_by_source_wide(t.analysis, AS_OF))
+
+# ------------------------------------------------------------------- triage -------
+register("cli_triage")(lambda t: tri.triage(_lite(t), AS_OF, severity=["CRITICAL", "HIGH"], since="7d"))
+register("cli_triage_keyword")(lambda t: tri.triage(_lite(t), AS_OF, keyword="le", source="src3", limit=20))
+register("cli_cve_get")(lambda t: tri.cve_get(_detail(t), "CVE-2024-00003"))
+register("cli_patchlist")(lambda t: tri.patchlist(_detail(t), AS_OF))
+register("cli_patchlist_kev")(lambda t: tri.patchlist(_detail(t), AS_OF, in_kev=True, epss_gte=0.2,
+                                                      mentioned_since="2024-01-01"))
+register("cli_campaign_latest")(lambda t: tri.campaign_latest(rel.campaign_latest_seen(_rollups(t))))
+register("cli_campaign_latest_story")(
+    lambda t: tri.campaign_latest(rel.campaign_latest_seen(_rollups(t)), kind="cve_story", limit=20))
+
+
+def _busiest_campaign_rollup(t):
+    from pyspark.sql import functions as F
+    r = _rollups(t)
+    busiest = (rel.campaign_summary(r).orderBy(F.col("item_mentions").desc(), F.col("campaign_key").asc())
+               .limit(1).select("campaign_key").scalar())
+    return tri.campaign_rollup(r, busiest)
+
+
+register("cli_campaign_rollup")(_busiest_campaign_rollup)
+register("cli_ioc")(lambda t: tri.extract_iocs(_lite(t), AS_OF))
+register("cli_ioc_contains")(
+    lambda t: tri.extract_iocs(_lite(t), AS_OF, severity=["CRITICAL", "MEDIUM"], contains="EXAMPLE", limit=200))
+
+
+def _rpc(t):
+    from threatlake.functions.urls import register_sql_functions
+    register_sql_functions(t.spark)
+    t.analysis.createOrReplaceTempView("tl_analysis")
+    return t.spark.sql("""
+        SELECT analysis_id,
+               first_matching_url(exploit_references, 'example\\\\.(com|org)') AS first_url,
+               normalise_campaign_url(first_matching_url(exploit_references, '.*')) AS normalised,
+               pick_campaign_key(exploit_references, analysis_id) AS campaign_key
+        FROM tl_analysis""")
+
+
+register("rpc_campaign_functions")(_rpc)

@@ -61,6 +61,7 @@ INGEST_STATE = T.StructType([
 # Output of an external enrichment job; JSON arrays are kept as JSON text.
 ANALYSIS = T.StructType([
     T.StructField("analysis_id", S, False),
+    T.StructField("analysis_guid", S, True),
     T.StructField("archive_guid", S, True),
     T.StructField("source_name", S, True),
     T.StructField("title", S, True),

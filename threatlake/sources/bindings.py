@@ -157,6 +157,7 @@ def analysis(documents: DataFrame, pages: DataFrame) -> DataFrame:
             .when(did % 4 == 2, F.concat(F.lit("evil-"), did.cast("string"), F.lit(".example.com"))))
     return docs.select(
         F.concat(F.lit("an-"), did.cast("string")).alias("analysis_id"),
+        F.concat(F.lit("ag-"), did.cast("string")).alias("analysis_guid"),
         F.concat(F.lit("doc-"), did.cast("string")).alias("archive_guid"),
         F.col("source").alias("source_name"),
         F.substr(F.col("text"), F.lit(1), F.lit(40)).alias("title"),
