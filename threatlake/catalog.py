@@ -201,3 +201,196 @@ def _rpc(t):
 
 
 register("rpc_campaign_functions")(_rpc)
+
+# ------------------------------------------------------------ table writes -------
+from pyspark.sql import functions as F  # noqa: E402
+
+from threatlake.operators import tables as tbl  # noqa: E402
+from threatlake.schemas import FEED_ITEM_KEEP_FIRST, INGEST_STATE  # noqa: E402
+from threatlake.sources import bindings as bnd  # noqa: E402
+
+ITEM_KEYS, ITEM_ORDER = ["guid", "feed_url"], ["published", "event_id"]
+
+
+def _split(t):
+    v = t.item_versions
+    split = F.lit(bnd.B7_SPLIT).cast("timestamp_ntz")
+    return v, v.where(F.col("published") < split), v.where(F.col("published") >= split)
+
+
+def _existing_archive(t):
+    _, pre, _ = _split(t)
+    return tbl.first_per_key(pre, ITEM_KEYS, ITEM_ORDER)
+
+
+def _archive_append(t):
+    _, _, post = _split(t)
+    return tbl.append_new(_existing_archive(t), post, ITEM_KEYS, ITEM_ORDER)
+
+
+def _current_after(t):
+    v, pre, post = _split(t)
+    cur0 = tbl.upsert_latest(v.where(F.lit(False)), pre, ITEM_KEYS, ITEM_ORDER, FEED_ITEM_KEEP_FIRST)
+    return tbl.upsert_latest(cur0, post, ITEM_KEYS, ITEM_ORDER, FEED_ITEM_KEEP_FIRST)
+
+
+register("sink_archive_append")(_archive_append)
+register("sink_archive_table")(lambda t: _existing_archive(t).unionByName(_archive_append(t)))
+register("sink_current_upsert")(_current_after)
+register("sink_change_summary")(
+    lambda t: tbl.change_summary(tbl.classify_changes(_existing_archive(t), _split(t)[2], ITEM_KEYS, ITEM_ORDER)))
+register("sink_epss_new_days")(lambda t: tbl.new_snapshot_rows(
+    t.epss_daily.where(F.col("as_of") < "2024-01-20"), t.epss_daily.where(F.col("as_of") >= "2024-01-15")))
+
+
+def _cve_upsert_nvd(t):
+    from threatlake.plans.epss import epss_latest
+    part = t.raw("part")
+    latest = epss_latest(t.epss_daily).select("cve_id", F.col("epss").alias("_e"))
+    ex = (bnd.nvd_rows(part.where(F.col("p_partkey") < 1500)).join(latest, "cve_id", "left")
+          .withColumn("epss", F.col("_e")).drop("_e"))
+    batch = bnd.nvd_rows(part.where(F.col("p_partkey") % 3 == 0)).withColumn("modified", bnd.as_of_ts())
+    return tbl.upsert_latest(ex, batch, ["cve_id", "source"], ["modified"], keep_first=["epss"])
+
+
+def _cve_upsert_kev(t):
+    sup = t.raw("supplier")
+    batch = (bnd.kev_rows(sup.where(F.col("s_suppkey") % 2 == 0)).withColumn("modified", bnd.as_of_ts())
+             .withColumn("json", F.regexp_replace("json", "Apply updates", "Apply mitigations")))
+    return tbl.upsert_latest(bnd.kev_rows(sup), batch, ["cve_id", "source"], ["modified"],
+                             keep_first=["cvss_base", "epss"])
+
+
+register("sink_cve_upsert_nvd")(_cve_upsert_nvd)
+register("sink_cve_upsert_kev")(_cve_upsert_kev)
+
+
+def _state(t, kev_cursor="2024-01-28T00:00:00Z"):
+    return t.spark.createDataFrame([("NVD", "2024-01-01T00:00:00Z"), ("ALERTING", "2024-01-29"),
+                                    ("CISA-KEV", kev_cursor)], INGEST_STATE)
+
+
+register("sink_cursor_set")(
+    lambda t: tbl.set_cursor(_state(t), "EPSS", t.epss_daily.select(F.max("as_of").cast("string")).scalar()))
+
+
+def _kev_header(t):
+    k = t.cve_enriched.where(F.col("source") == "CISA-KEV")
+    return k.agg(F.lit("2024.01.28").alias("catalogVersion"),
+                 F.date_format(F.max("modified"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dateReleased"),
+                 F.count(F.lit(1)).alias("count"))
+
+
+register("sink_catalog_gate_unchanged")(lambda t: tbl.catalog_changed(_kev_header(t), _state(t)))
+register("sink_catalog_gate_changed")(
+    lambda t: tbl.catalog_changed(_kev_header(t), _state(t, kev_cursor="2024-01-01T00:00:00Z")))
+
+# ------------------------------------------------------------------ sources -------
+from threatlake.sources import registry as reg  # noqa: E402
+from threatlake.sources import validation as val  # noqa: E402
+from threatlake.sources import windows as win  # noqa: E402
+
+
+def _order_span(t):
+    o = t.raw("orders")
+    start = o.select(F.min("o_orderdate").cast("string")).scalar()
+    now = o.select((F.max("o_orderdate") + F.make_dt_interval(days=F.lit(1))).cast("timestamp_ntz")).scalar()
+    return o, start, now
+
+
+register("src_window_plan")(lambda t: win.window_plan(t.spark, *_order_span(t)[1:]))
+
+
+def _windowed_counts(t):
+    o, start, now = _order_span(t)
+    return (win.select_windowed(o, "o_orderdate", start, now).groupBy("w_start", "w_end")
+            .agg(F.count(F.lit(1)).alias("orders")).orderBy("w_start"))
+
+
+register("src_windowed_counts")(_windowed_counts)
+
+
+def _epss_page_stats(t):
+    e = t.epss_daily
+    page = F.substr("cve_id", F.lit(-1), F.lit(1)).cast("int") % 4
+    pages = e.select("as_of", page.alias("page")).where(~((F.dayofmonth("as_of") % 7 == 0) & (F.col("page") == 3)))
+    totals = e.groupBy("as_of").agg(F.count(F.lit(1)).alias("total"))
+    return pages.groupBy("as_of", "page").agg(F.count(F.lit(1)).alias("rows")).join(totals, "as_of")
+
+
+register("src_epss_page_completeness")(lambda t: win.page_completeness(_epss_page_stats(t), "as_of"))
+register("src_feed_validation_failures")(lambda t: val.validation_failures(val.validate_documents(t.raw_docs)))
+register("src_feed_validation_totals")(lambda t: val.validation_totals(val.validate_documents(t.raw_docs)))
+register("src_feed_registry_volume")(
+    lambda t: reg.volume_by_type_and_tag(t.current, reg.registry_from_items(t.current)))
+
+# --------------------------------------------------------------- row level -------
+from threatlake.functions import text as txt  # noqa: E402
+
+
+def _sanitized_pages(t):
+    d = t.raw_docs
+    clean = txt.sanitize_html("body")
+    return d.select("url", "status", F.length("body").alias("raw_len"), F.length(clean).alias("clean_len"),
+                    clean.rlike("(?i)<script").alias("script_left"))
+
+
+def _item_resolution(t):
+    d = t.raw("documents")
+    did = F.col("doc_id")
+    raw = d.select(
+        F.col("source").alias("feed_url"),
+        F.when(did % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("doc-"), did.cast("string"))).alias("guid"),
+        F.when(did % 14 == 0, F.lit("")).otherwise(F.concat(F.lit("https://example.org/"), did.cast("string")))
+        .alias("link"),
+        F.when(did % 4 == 0, F.lit(None)).otherwise(F.substr("text", F.lit(1), F.lit(100))).alias("description"),
+        F.when(did % 6 == 0, F.lit(None)).otherwise(F.col("text")).alias("content"))
+    n = raw.select("feed_url", "guid", txt.resolve_guid("guid", "link").alias("key"),
+                   txt.content_with_fallback("content", "description").alias("c"),
+                   F.coalesce(txt.sanitize_html(F.col("description")), F.lit("")).alias("s"))
+    return (n.groupBy("feed_url").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("key").isNull()).alias("rejected"),
+        F.count_if((F.col("guid") == "") & F.col("key").isNotNull()).alias("key_from_link"),
+        F.count_if(txt.empty_content("c", "s")).alias("empty_content"),
+        F.sum(F.length("c")).alias("content_chars"))
+        .orderBy("feed_url"))
+
+
+register("row_sanitized_pages")(_sanitized_pages)
+register("row_item_resolution")(_item_resolution)
+
+# ---------------------------------------------------------------------- ops -------
+from threatlake.plans import ops  # noqa: E402
+
+
+def _ops_state(t):
+    c, e = t.cve_enriched, t.epss_daily
+    fmt = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    nvd_c = c.where(F.col("source") == "NVD").agg(F.date_format(F.max("modified"), fmt).alias("cursor")) \
+        .select(F.lit("NVD").alias("source"), "cursor")
+    kev_c = c.where(F.col("source") == "CISA-KEV").agg(F.date_format(F.max("modified"), fmt).alias("cursor")) \
+        .select(F.lit("CISA-KEV").alias("source"), "cursor")
+    eps_c = e.agg(F.max("as_of").cast("string").alias("cursor")).select(F.lit("EPSS").alias("source"), "cursor")
+    return nvd_c.unionByName(kev_c).unionByName(eps_c)
+
+
+register("ops_outcome_rates")(lambda t: ops.outcome_rates(t.fetch_log))
+register("ops_outcome_pivot")(lambda t: ops.outcome_pivot(t.fetch_log))
+register("ops_cursor_lag")(lambda t: ops.cursor_lag(_ops_state(t), AS_OF))
+register("ops_feed_freshness")(lambda t: ops.feed_freshness(t.fetch_log, AS_OF))
+register("ops_duration_histogram")(lambda t: ops.duration_histogram(t.fetch_log))
+register("ops_hourly_throughput")(lambda t: ops.hourly_throughput(t.fetch_log))
+register("ops_alert_rules")(lambda t: ops.alert_rules(t.fetch_log, _ops_state(t), AS_OF))
+register("ops_cves_without_cvss")(lambda t: ops.cves_without_cvss(t.cve_enriched))
+register("ops_page_size_histogram")(lambda t: ops.page_size_histogram(_epss_page_stats(t)))
+
+
+def _archive_append_early(t):
+    """Append with the batch starting on day 2, so keys first seen in the batch exist."""
+    v = t.item_versions
+    split = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    pre, post = v.where(F.col("published") < split), v.where(F.col("published") >= split)
+    return tbl.append_new(tbl.first_per_key(pre, ITEM_KEYS, ITEM_ORDER), post, ITEM_KEYS, ITEM_ORDER)
+
+
+register("sink_archive_append_early")(_archive_append_early)

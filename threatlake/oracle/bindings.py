@@ -129,7 +129,7 @@ def with_tables(body: str, *names: str) -> str:
     order: list[str] = []
 
     def visit(n):
-        if n in order:
+        if n in order or n not in CTES:  # raw driver tables need no CTE
             return
         for dep in CTES[n][0]:
             visit(dep)
