@@ -24,8 +24,11 @@ def window_plan(spark: SparkSession, cursor, now, days: int = MAX_WINDOW_DAYS) -
     start, end = cursor_start(cursor), ts_lit(now)
     step = F.make_dt_interval(days=F.lit(days))
     one = spark.range(1).select(start.alias("s"), end.alias("e"))
-    starts = one.where(F.col("s") < F.col("e")).select(
-        F.explode(F.sequence("s", F.col("e") - F.make_dt_interval(secs=F.lit(1)), step)).alias("w_start"), "e")
+    # the upper bound never falls below the start (a cursor already past "now" yields
+    # one candidate that the filter drops), so the sequence is always well-formed
+    last = F.greatest(F.col("s"), F.col("e") - F.make_dt_interval(secs=F.lit(1)))
+    starts = one.select(F.explode(F.sequence("s", last, step)).alias("w_start"), "e") \
+        .where(F.col("w_start") < F.col("e"))
     return starts.select(
         "w_start", F.least(F.col("w_start") + step, F.col("e")).alias("w_end"),
         F.date_format(F.least(F.col("w_start") + step, F.col("e")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("cursor_after")
