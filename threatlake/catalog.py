@@ -394,3 +394,23 @@ def _archive_append_early(t):
 
 
 register("sink_archive_append_early")(_archive_append_early)
+
+# ---------------------------------------------------------------- streaming -------
+
+
+def _stream_hourly(t):
+    """The update-mode sitrep stream run over the analyses (landed as Parquet in the
+    shared scratch folder), read back as a table: equals the batch hourly counts."""
+    import uuid
+
+    from threatlake.schemas import ANALYSIS
+    from threatlake.session import scratch_path
+    from threatlake.streaming import jobs
+    run = scratch_path(t.spark, f"stream-hourly-{uuid.uuid4().hex[:12]}")
+    t.analysis.write.parquet(f"{run}/landing")
+    jobs.sitrep_upsert_stream(t.spark, f"{run}/landing", ANALYSIS, f"{run}/table",
+                              name=f"stream-hourly-{uuid.uuid4().hex[:12]}").awaitTermination()
+    return t.spark.read.parquet(f"{run}/table").drop("_bucket")
+
+
+register("stream_hourly_severity")(_stream_hourly)

@@ -59,31 +59,40 @@ def read_feed_items(spark: SparkSession, path, kind: str = "rss") -> DataFrame:
     common shape, with the channel attributes of their document attached."""
     if kind == "atom":
         raw = _read_xml(spark, path, "entry", ATOM_ENTRY)
+        chan = _read_xml(spark, path, "feed", CHANNEL)
+    else:
+        raw = _read_xml(spark, path, "item", RSS_ITEM)
+        chan = _read_xml(spark, path, "channel", CHANNEL)
+    return shape_items(raw, chan, kind)
+
+
+def shape_items(raw: DataFrame, chan: DataFrame, kind: str = "rss") -> DataFrame:
+    """Parsed item/entry rows (with ``_file``) + parsed channel rows -> common item shape.
+    Works on a static DataFrame and on a micro-batch of a stream."""
+    extra = [c for c in ("_seq",) if c in raw.columns]
+    if kind == "atom":
         items = raw.select(
-            "_file", "title",
+            "_file", *extra, "title",
             F.get(F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate"), 0)["_href"]
             .alias("link"),
             F.col("id").alias("guid"), F.col("published").alias("published_text"),
             F.col("updated").alias("updated_text"), F.col("summary").alias("description"),
             F.col("content").alias("content"), F.get(F.col("author"), 0)["name"].alias("author"),
             F.transform("category", lambda c: c["_term"]).alias("categories"))
-        chan = _read_xml(spark, path, "feed", CHANNEL).select(
-            "_file", F.col("title").alias("feed_title"), F.col("subtitle").alias("feed_description"),
-            F.col("language").alias("feed_language"), F.col("updated").alias("feed_updated_text"))
+        ch = chan.select("_file", F.col("title").alias("feed_title"), F.col("subtitle").alias("feed_description"),
+                         F.col("language").alias("feed_language"), F.col("updated").alias("feed_updated_text"))
     else:
-        raw = _read_xml(spark, path, "item", RSS_ITEM)
         items = raw.select(
-            "_file", "title", "link", "guid",
+            "_file", *extra, "title", "link", "guid",
             F.coalesce("pubDate", "dc:date").alias("published_text"),
             F.lit(None).cast("string").alias("updated_text"),
             "description", F.col("content:encoded").alias("content"),
             F.coalesce("author", "dc:creator").alias("author"),
             F.col("category").alias("categories"))
-        chan = _read_xml(spark, path, "channel", CHANNEL).select(
-            "_file", F.col("title").alias("feed_title"), F.col("description").alias("feed_description"),
-            F.col("language").alias("feed_language"), F.col("lastBuildDate").alias("feed_updated_text"))
+        ch = chan.select("_file", F.col("title").alias("feed_title"), F.col("description").alias("feed_description"),
+                         F.col("language").alias("feed_language"), F.col("lastBuildDate").alias("feed_updated_text"))
     # One channel row per document: the right side is bounded by the number of files.
-    return items.join(chan, "_file", "left")
+    return items.join(ch, "_file", "left")
 
 
 def normalise_items(raw: DataFrame, feed_url, now) -> DataFrame:
@@ -116,6 +125,7 @@ def normalise_items(raw: DataFrame, feed_url, now) -> DataFrame:
         now_c.alias("inserted_at"),
         guid.isNotNull().alias("_valid"),
         empty_content(content, summary).alias("_empty"),
+        *[c for c in ("_seq",) if c in raw.columns],
     )
 
 
