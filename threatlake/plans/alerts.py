@@ -40,10 +40,14 @@ def detect_sleepers(epss: DataFrame, cve: DataFrame, lookback: int = DEFAULT_LOO
     before = epss.where(F.col("as_of") == baseline).select(
         "cve_id", F.col("epss").cast("double").alias("epss_before"))
     hits = now.join(before, "cve_id").where((F.col("epss_before") < low) & (F.col("epss_now") >= high))
-    p = cve_pick(cve)
     delta = F.col("epss_now") - F.col("epss_before")
-    return (hits.join(p, "cve_id", "left")
-            .select("cve_id", "epss_before", "epss_now", delta.alias("delta"),
+    order = [F.col("delta").desc(), F.col("cve_id").asc()]
+    # Rank first, enrich after: the look-up aggregation then only sees the <= limit
+    # winning CVEs (their keys reach it through a broadcast semi-join).
+    top = hits.withColumn("delta", delta).orderBy(*order).limit(limit)
+    p = cve_pick(cve.join(top.select("cve_id"), "cve_id", "left_semi"))
+    return (top.join(p, "cve_id", "left")
+            .select("cve_id", "epss_before", "epss_now", "delta",
                     pct_change("epss_before", "epss_now").alias("pct_change"),
                     "percentile",
                     baseline.cast("string").alias("date_before"),
@@ -52,8 +56,7 @@ def detect_sleepers(epss: DataFrame, cve: DataFrame, lookback: int = DEFAULT_LOO
                     F.col("cvss_base").cast("double").alias("cvss_score"),
                     cve_severity("json").alias("cvss_severity"),
                     cve_cwe("json").alias("cwe"))
-            .orderBy(F.col("delta").desc(), F.col("cve_id").asc())
-            .limit(limit))
+            .orderBy(*order))
 
 
 def alert_once(sleepers: DataFrame, cursors: DataFrame, source: str = "ALERTING") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from threatlake.functions.common import half_up_pct, missing, present
 from threatlake.functions.json_fields import kev_field
 from threatlake.functions.scores import EPSS_BUCKETS, cvss_bucket, epss_bucket_predicate, in_flag, risk_score
-from threatlake.operators.snapshots import (feed_filter, kev_keys, latest_date, latest_snapshot, nvd,
+from threatlake.operators.snapshots import (feed_filter, kev, kev_keys, latest_date, latest_snapshot, nvd,
                                             ts_lit)
 
 # Default panel thresholds.
@@ -55,16 +55,19 @@ def feed_items_window(archive: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 def top_exploitable(epss: DataFrame, cve: DataFrame, limit: int = 25) -> DataFrame:
     """Latest day, highest EPSS first, with CVSS (0 when unknown) and the KEV flag."""
-    e = latest_snapshot(epss)
-    c = nvd(cve).select("cve_id", "cvss_base")
-    k = kev_keys(cve)
+    order = [F.col("epss").desc(), F.col("cve_id").asc()]
+    # The ranking uses EPSS only and both look-ups are unique per CVE, so the top-k is
+    # taken first and only those k CVEs are joined (semi-joined into the look-up scans).
+    e = latest_snapshot(epss).orderBy(*order).limit(limit)
+    ids = e.select("cve_id")
+    c = nvd(cve).join(ids, "cve_id", "left_semi").select("cve_id", "cvss_base")
+    k = kev(cve).join(ids, "cve_id", "left_semi").select(F.col("cve_id").alias("kev_cve_id")).distinct()
     return (e.join(c, "cve_id", "left")
              .join(k, e["cve_id"] == k["kev_cve_id"], "left")
              .select("cve_id", "epss", "percentile",
                      F.coalesce("cvss_base", F.lit(0).cast("decimal(3,1)")).alias("cvss_base"),
                      in_flag("kev_cve_id").alias("in_kev"))
-             .orderBy(F.col("epss").desc(), F.col("cve_id").asc())
-             .limit(limit))
+             .orderBy(*order))
 
 
 def movers_latest(epss: DataFrame, min_abs_delta: float = 0.001, limit: int = 25) -> DataFrame:
@@ -89,6 +92,13 @@ def epss_distribution(epss: DataFrame) -> DataFrame:
         for label, lo, hi in EPSS_BUCKETS])
 
 
+def epss_distribution_long(epss: DataFrame) -> DataFrame:
+    """Long form of the histogram: one row per non-empty bucket."""
+    from threatlake.functions.scores import epss_bucket
+    return (latest_snapshot(epss).groupBy(epss_bucket("epss").alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("cves")).orderBy("bucket"))
+
+
 def epss_coverage(epss: DataFrame) -> DataFrame:
     today = latest_snapshot(epss).select(F.count(F.lit(1))).scalar()
     return epss.agg(today.cast("long").alias("today"),
