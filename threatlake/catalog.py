@@ -422,3 +422,56 @@ from threatlake.operators.query import exact_count  # noqa: E402
 register("cli_triage_count")(
     lambda t: exact_count(_lite(t), [("severity_level", "in", ["CRITICAL", "HIGH"]),
                                      ("analysed_at", "gte", F.lit("2024-01-24 00:00:00").cast("timestamp_ntz"))]))
+
+# ------------------------------------------------------- landed-file scans --------
+from threatlake.sources import cve_files as cvf  # noqa: E402
+from threatlake.sources import feeds as fds  # noqa: E402
+from threatlake.sources import landing as lnd  # noqa: E402
+
+
+def _scratch(t, name):
+    import uuid
+
+    from threatlake.session import scratch_path
+    return scratch_path(t.spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _cve_num(col="cve_id"):
+    return F.substr(col, F.lit(10)).cast("long")
+
+
+def _nvd_roundtrip(t):
+    p = _scratch(t, "nvd-landing")
+    lnd.write_nvd_pages(t.cve_enriched, p, _cve_num())
+    return cvf.read_nvd_pages(t.spark, p, AS_OF, multi_line=False)
+
+
+def _kev_roundtrip(t):
+    p = _scratch(t, "kev-landing")
+    lnd.write_kev_catalogs(t.cve_enriched, p, _cve_num(), "2024-01-28T00:00:00Z")
+    _, rows = cvf.read_kev_catalog(t.spark, p, AS_OF, multi_line=False)
+    return rows
+
+
+def _epss_roundtrip(t):
+    from threatlake.schemas import EPSS_PAGE
+    p = _scratch(t, "epss-landing")
+    lnd.write_epss_pages(t.epss_daily, p, _cve_num())
+    pages = (t.spark.read.schema(EPSS_PAGE).json(p).withColumn("_file", F.col("_metadata.file_path"))
+             .withColumn("snapshot", cvf.snapshot_key()))
+    return cvf.epss_rows(pages, "snapshot")
+
+
+def _feed_roundtrip(t):
+    p = _scratch(t, "feed-landing")
+    lnd.write_feed_xml(t.current, p)
+    raw = fds.read_feed_items(t.spark, f"{p}/*/*.xml", kind="atom")
+    items = fds.normalise_items(raw, F.regexp_replace(fds.feed_key_from_path(), "^feed_url=", ""), AS_OF)
+    return items.select("guid", "title", "link", "feed_url", "published", "content", "summary", "categories",
+                        "_valid", "_empty")
+
+
+register("src_nvd_pages_roundtrip")(_nvd_roundtrip)
+register("src_kev_catalog_roundtrip")(_kev_roundtrip)
+register("src_epss_pages_roundtrip")(_epss_roundtrip)
+register("src_feed_xml_roundtrip")(_feed_roundtrip)
