@@ -144,8 +144,8 @@ register("api_analysis_search")(lambda t: rel.analysis_search(t.archive, t.analy
 register("api_analysis_search_hits")(
     lambda t: rel.search_hits(rel.analysis_search(t.archive, t.analysis), "and", min_confidence=50))
 register("api_cve_mentions")(_mentions)
-register("api_cve_mentions_v2")(lambda t: rel.cve_mentions_v2(t.analysis))
-register("api_cve_mention_drift")(lambda t: rel.mention_drift(_mentions(t), rel.cve_mentions_v2(t.analysis)))
+register("api_cve_mentions_v2")(lambda t: rel.cve_mentions_v2(t.archive, t.analysis))
+register("api_cve_mention_drift")(lambda t: rel.mention_drift(_mentions(t), rel.cve_mentions_v2(t.archive, t.analysis)))
 register("api_cve_anomalies")(lambda t: rel.cve_anomalies(t.analysis))
 register("api_cves_enriched")(lambda t: rel.cves_enriched(_mentions(t), t.cve_enriched, t.epss_daily))
 register("api_cves_enriched_lite")(lambda t: rel.cves_enriched_lite(_mentions(t), t.cve_enriched, t.epss_daily))
@@ -244,20 +244,25 @@ register("sink_epss_new_days")(lambda t: tbl.new_snapshot_rows(
 
 
 def _cve_upsert_nvd(t):
+    """Stored: NVD rows modified before 2024-01-15 (EPSS overlaid from the newest score);
+    incoming: every NVD row re-published at ``as_of``. SET json / score / modified, keep EPSS."""
     from threatlake.plans.epss import epss_latest
-    part = t.raw("part")
+    nvd_all = bnd.nvd_rows(t.raw("part"))
     latest = epss_latest(t.epss_daily).select("cve_id", F.col("epss").alias("_e"))
-    ex = (bnd.nvd_rows(part.where(F.col("p_partkey") < 1500)).join(latest, "cve_id", "left")
+    ex = (nvd_all.where(F.col("modified") < "2024-01-15").join(latest, "cve_id", "left")
           .withColumn("epss", F.col("_e")).drop("_e"))
-    batch = bnd.nvd_rows(part.where(F.col("p_partkey") % 3 == 0)).withColumn("modified", bnd.as_of_ts())
+    batch = nvd_all.withColumn("modified", bnd.as_of_ts())
     return tbl.upsert_latest(ex, batch, ["cve_id", "source"], ["modified"], keep_first=["epss"])
 
 
 def _cve_upsert_kev(t):
-    sup = t.raw("supplier")
-    batch = (bnd.kev_rows(sup.where(F.col("s_suppkey") % 2 == 0)).withColumn("modified", bnd.as_of_ts())
+    """Stored: KEV entries added before 2024-01-15; incoming: the whole catalog re-released
+    at ``as_of`` with revised actions. SET json / modified, keep score and EPSS."""
+    kev_all = bnd.kev_rows(t.raw("supplier"))
+    added = F.get_json_object("json", "$.dateAdded")
+    batch = (kev_all.withColumn("modified", bnd.as_of_ts())
              .withColumn("json", F.regexp_replace("json", "Apply updates", "Apply mitigations")))
-    return tbl.upsert_latest(bnd.kev_rows(sup), batch, ["cve_id", "source"], ["modified"],
+    return tbl.upsert_latest(kev_all.where(added < "2024-01-15"), batch, ["cve_id", "source"], ["modified"],
                              keep_first=["cvss_base", "epss"])
 
 

@@ -73,12 +73,13 @@ def cve_mentions(analysis: DataFrame) -> DataFrame:
                            F.explode(valid_cve_tokens("cve_references")).alias("cve_id"))
 
 
-def cve_mentions_v2(analysis: DataFrame) -> DataFrame:
-    """Second extractor: CVE patterns found anywhere in title, impact summary and the raw
-    reference text."""
-    return analysis.select("analysis_id", "analysed_at", "source_name",
-                           F.explode(cve_mentions_in_text("title", "summary_impact", "cve_references"))
-                           .alias("cve_id"))
+def cve_mentions_v2(archive: DataFrame, analysis: DataFrame) -> DataFrame:
+    """Second extractor: CVE patterns found anywhere in the article (title and full
+    content), the impact summary and the raw reference text."""
+    e = analysis_entries(archive, analysis)
+    return e.select("analysis_id", "analysed_at", "source_name",
+                    F.explode(cve_mentions_in_text("title", "content", "summary_impact", "cve_references"))
+                    .alias("cve_id"))
 
 
 def mention_drift(v1: DataFrame, v2: DataFrame) -> DataFrame:
