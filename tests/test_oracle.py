@@ -23,3 +23,14 @@ def test_rows_only_queries_are_few():
     # formatted chat lines go without an oracle.
     assert set(QUERIES) - set(ORACLE) <= {"alert_generic_payload", "alert_chat_payload", "alert_section_lines",
                                           "stream_hourly_severity"}
+
+
+def test_oracle_column_types_match(spark, duck):
+    from tools.check_types import spark_type
+    bad = {}
+    for name, sql in ORACLE.items():
+        s = {f.name: spark_type(f.dataType) for f in QUERIES[name](spark, SF01).schema.fields}
+        d = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+        if s != d:
+            bad[name] = {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}
+    assert not bad, bad
