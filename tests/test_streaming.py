@@ -50,20 +50,28 @@ def test_epss_stream_waits_for_complete_page_sets(spark, tmp_path):
     landing = tmp_path / "landing"
     shutil.copytree(os.path.join(FIXTURES, "epss"), landing)
     stage, epss, name = str(tmp_path / "stage"), str(tmp_path / "epss"), _name()
-    jobs.epss_ingest(spark, f"{landing}/*/", stage, epss, name=name).awaitTermination()
+    latest = str(tmp_path / "latest")
+    run = lambda: jobs.epss_ingest(spark, f"{landing}/*/", stage, epss, name=name,
+                                   latest_path=latest).awaitTermination()
+    run()
     assert spark.read.parquet(epss).count() == 3
     (landing / "day2").mkdir()
     (landing / "day2" / "p0.json").write_text(
         '{"status":"OK","total":2,"offset":0,"limit":1,"data":[{"cve":"CVE-2024-10001","epss":"0.5",'
         '"percentile":"0.9","date":"2024-01-31"}]}')
-    jobs.epss_ingest(spark, f"{landing}/*/", stage, epss, name=name).awaitTermination()
+    run()
     assert spark.read.parquet(epss).count() == 3  # short page set: not loaded
     (landing / "day2" / "p1.json").write_text(
         '{"status":"OK","total":2,"offset":1,"limit":1,"data":[{"cve":"CVE-2024-10009","epss":"0.1",'
         '"percentile":"0.5","date":"2024-01-31"}]}')
-    jobs.epss_ingest(spark, f"{landing}/*/", stage, epss, name=name).awaitTermination()
+    run()
     days = {str(r.as_of): r["count"] for r in spark.read.parquet(epss).groupBy("as_of").count().collect()}
     assert days == {"2024-01-30": 3, "2024-01-31": 2}
+    # the incrementally kept latest-per-CVE table equals the aggregate over the history
+    from threatlake.plans.epss import epss_latest
+    kept = {(r.cve_id, str(r.as_of), str(r.epss)) for r in spark.read.parquet(latest).collect()}
+    full = {(r.cve_id, str(r.as_of), str(r.epss)) for r in epss_latest(spark.read.parquet(epss)).collect()}
+    assert kept == full and len(kept) == 4
 
 
 def test_cve_streams_and_catalog_gate(spark, tmp_path):

@@ -480,3 +480,4 @@ register("src_nvd_pages_roundtrip")(_nvd_roundtrip)
 register("src_kev_catalog_roundtrip")(_kev_roundtrip)
 register("src_epss_pages_roundtrip")(_epss_roundtrip)
 register("src_feed_xml_roundtrip")(_feed_roundtrip)
+register("api_search_token_frequency")(lambda t: rel.token_frequency(rel.analysis_search(t.archive, t.analysis)))

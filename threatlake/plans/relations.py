@@ -66,6 +66,22 @@ def search_hits(search: DataFrame, keyword: str, min_confidence: int = 0) -> Dat
             .orderBy(F.col("analysed_at").desc_nulls_first(), F.col("analysis_id").asc()))
 
 
+def token_frequency(search: DataFrame) -> DataFrame:
+    """Inverted-index statistics: per token, the number of analyses whose document holds
+    it (common tokens are combined map-side before the shuffle)."""
+    t = search.select(F.explode("document").alias("token"))
+    return t.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def keyword_sweep(search: DataFrame, keywords: DataFrame) -> DataFrame:
+    """Many-term sweep through the token index: per keyword, matching analyses. The
+    keyword list is joined as a relation (AQE broadcasts it when it is small)."""
+    kw = keywords.select(F.lower(F.col("keyword")).alias("token")).distinct()
+    t = search.select("analysis_id", F.explode("document").alias("token"))
+    return (t.join(kw, "token").groupBy("token").agg(F.countDistinct("analysis_id").alias("analyses"))
+            .withColumnRenamed("token", "keyword").orderBy("keyword"))
+
+
 # ------------------------------------------------------------------ mentions ------
 def cve_mentions(analysis: DataFrame) -> DataFrame:
     """One row per (analysis, well-formed CVE) from ``cve_references``."""

@@ -69,15 +69,19 @@ def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_pa
 # ---------------------------------------------------------------- STR2 + STR4 ------
 def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path: str,
                 cve_path: str | None = None, alerts_path: str | None = None, state_path: str | None = None,
-                trigger: dict | None = None, name: str = "epss", now=None):
+                trigger: dict | None = None, name: str = "epss", now=None, latest_path: str | None = None,
+                max_files: int = 1000):
     """Landed EPSS pages (``landing/<snapshot>/<page>.json``) -> ``epss_daily``.
 
     Pages are staged first (a snapshot's pages may arrive over several micro-batches);
     a snapshot is loaded only when its staged page set is complete (rows >= declared
     total), only if its day is not loaded yet, and as one partition overwrite. After a
     load, sleeper detection runs on the updated table and the alert rows are appended
-    once per detection day (the cursor table records the day)."""
-    stream = (spark.readStream.schema(EPSS_PAGE).option("multiLine", True).json(landing)
+    once per detection day (the cursor table records the day). With ``latest_path`` the
+    newest score per CVE is kept as its own keyed table, upserted from each loaded day,
+    so readers of "latest per CVE" never aggregate the whole history."""
+    stream = (spark.readStream.schema(EPSS_PAGE).option("multiLine", True)
+              .option("maxFilesPerTrigger", max_files).json(landing)
               .withColumn("_file", F.col("_metadata.file_path")))
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -98,6 +102,9 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
         if rows.isEmpty():
             return
         tbl.write_snapshot(rows, epss_path)
+        if latest_path:
+            KeyedTable(spark, latest_path, ["cve_id"], ["cve_id", "as_of", "epss", "percentile"]) \
+                .upsert(rows, ["as_of"])
         if cve_path and alerts_path and state_path:
             _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now)
 
@@ -131,12 +138,13 @@ def _read_state(spark, path):
 
 # ---------------------------------------------------------------- STR3 -------------
 def cve_ingest(spark: SparkSession, landing: str, cve_path: str, kind: str = "nvd", state_path: str | None = None,
-               trigger: dict | None = None, name: str | None = None, now=None):
+               trigger: dict | None = None, name: str | None = None, now=None, max_files: int = 1000):
     """Landed NVD pages or KEV catalogs -> ``cve_enriched`` upserts. NVD sets json, score
     and modified (EPSS kept); KEV sets json and modified (score and EPSS kept). A KEV
     catalog whose release cursor equals the stored one is skipped."""
     schema = NVD_PAGE if kind == "nvd" else KEV_CATALOG
-    stream = (spark.readStream.schema(schema).option("multiLine", True).json(landing)
+    stream = (spark.readStream.schema(schema).option("multiLine", True)
+              .option("maxFilesPerTrigger", max_files).json(landing)
               .withColumn("_file", F.col("_metadata.file_path")))
     table = KeyedTable(spark, cve_path, CVE_KEY, ["cve_id", "source", "json", "cvss_base", "epss", "modified"])
     n = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
