@@ -23,7 +23,7 @@ def test_ioc_export_files(spark, tmp_path):
     iocs = tri.extract_iocs(rel.analysis_entries_lite(t.archive, t.analysis), AS_OF, limit=40)
     tri.write_iocs(iocs, str(tmp_path / "csv"), "csv")
     tri.write_iocs(iocs, str(tmp_path / "json"), "json")
-    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    back = spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "csv"))
     assert back.columns == tri.IOC_COLUMNS and back.count() == iocs.count()
     assert spark.read.json(str(tmp_path / "json")).count() == iocs.count()
 
