@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from threatlake.sources.bindings import AS_OF, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# The same plans as functions of a table set (``bindings.Tables`` or ``layout.StoredTables``).
+PLANS: dict[str, Callable] = {}
 
 
 def register(name: str):
@@ -23,6 +25,7 @@ def register(name: str):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        PLANS[name] = fn
         return fn
     return deco
 
