@@ -75,3 +75,31 @@ def test_snapshot_write_skips_loaded_days(spark, tmp_path):
     assert new.agg(F.min("as_of")).first()[0].isoformat() == "2024-01-10"
     tbl.write_snapshot(new, path)
     assert spark.read.parquet(path).count() == e.count()
+
+
+def test_percent_rank_matches_window_on_a_hot_day(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from threatlake.functions.ranking import percent_rank_within
+    rnd = random.Random(7)
+    rows = [("2024-01-01", f"c{i}", rnd.choice([0.1, 0.2, 0.2, 0.5, 0.9])) for i in range(3000)]  # hot day, ties
+    rows += [(f"2024-01-0{d}", f"c{i}", rnd.random()) for d in (2, 3) for i in range(50)]
+    rows += [("2024-01-04", "only", 0.3)]  # single-row day -> 0.0
+    df = spark.createDataFrame(rows, "as_of string, cve_id string, epss double")
+    ours = percent_rank_within(df, "as_of", "epss", "p").select("as_of", "cve_id", "p")
+    ref = df.select("as_of", "cve_id", F.percent_rank().over(Window.partitionBy("as_of").orderBy("epss")).alias("p"))
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def test_upsert_with_a_hot_key(spark):
+    # one key holds a third of the batch: the keyed max_by/min_by aggregation still gives
+    # exactly one row per key with the last / first versions
+    rows = [("hot", "f", i, f"v{i}") for i in range(600)] + [(f"k{i}", "f", i, f"v{i}") for i in range(1200)]
+    b = spark.createDataFrame(rows, "guid string, feed_url string, n int, val string")
+    cur = tbl.upsert_latest(b.where(F.lit(False)), b, KEYS, ["n"], keep_first=["val"])
+    hot = cur.where("guid = 'hot'").collect()
+    assert len(hot) == 1 and hot[0].n == 599 and hot[0].val == "v0"
+    assert cur.count() == 1201
+    assert tbl.append_new(b.where(F.lit(False)), b, KEYS, ["n"]).where("guid = 'hot'").first().n == 0

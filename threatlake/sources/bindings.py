@@ -229,6 +229,9 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        # Domain times are UTC wall clock; conversions between TIMESTAMP and
+        # TIMESTAMP_NTZ (zone parsing, watermarks, epoch seconds) assume a UTC session.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def raw(self, name):
         return read(self.spark, self.sf_dir, name)
