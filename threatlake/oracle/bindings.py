@@ -83,7 +83,7 @@ CTES: dict[str, tuple[list[str], str]] = {
           d.source AS source_name, substr(d.text, 1, 40) AS title,
           CASE d.doc_id % 4 WHEN 0 THEN 'CRITICAL' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity_level,
           CAST(d.doc_id % 101 AS INTEGER) AS confidence_pct,
-          substr(d.text, 1, 120) AS summary_impact,
+          d.text AS summary_impact,
           CASE WHEN d.doc_id % 3 = 0 THEN 'high' ELSE 'medium' END AS relevance,
           {AS_OF} - to_hours(CAST(d.doc_id % 720 AS BIGINT)) AS analysed_at,
           CASE d.doc_id % 3 WHEN 0 THEN '["patch"]' WHEN 1 THEN '["patch","monitor"]' ELSE '[]' END AS recommended_actions,
