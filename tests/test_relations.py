@@ -35,3 +35,13 @@ def test_parse_since():
     assert tri.parse_since("7d", now) == "2024-01-24 00:00:00"
     assert tri.parse_since("2024-01-02", now) == "2024-01-02 00:00:00"
     assert tri.parse_since("2024-01-02T10:00:00+02:00", now) == "2024-01-02 08:00:00"
+
+
+def test_every_view_registers_and_plans(spark):
+    from threatlake.plans.views import register_views
+    t = Tables(spark, SF001)
+    names = register_views(spark, t, AS_OF, "2024-01-30")
+    assert len(names) == 39
+    for n in names:
+        spark.sql(f"SELECT * FROM {n}").schema  # analyses without running
+    assert spark.sql("SELECT count(*) FROM v_missing_both_per_feed").first()[0] > 0

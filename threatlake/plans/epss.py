@@ -155,6 +155,20 @@ def feed_cadence(archive: DataFrame, ts_col: str = "published") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("articles")).orderBy("week"))
 
 
+def feed_cadence_by_month(archive: DataFrame, ts_col: str = "published") -> DataFrame:
+    """Average articles per week for each month (a week counts in the month it starts in),
+    rounded half-up to one decimal; also the number of weeks and the busiest week."""
+    weekly = archive.groupBy(F.to_date(F.date_trunc("week", ts_col)).alias("week")) \
+        .agg(F.count(F.lit(1)).alias("articles"))
+    g = weekly.groupBy(F.date_trunc("month", "week").cast("date").alias("month")).agg(
+        F.count(F.lit(1)).alias("weeks"), F.sum("articles").alias("articles"),
+        F.max("articles").alias("peak_week_articles"))
+    return (g.select("month", "weeks", "articles",
+                     half_up_div("articles", "weeks", 1).cast("decimal(12,1)").alias("avg_per_week"),
+                     "peak_week_articles")
+             .orderBy("month"))
+
+
 def top_feeds(archive: DataFrame, limit: int | None = None) -> DataFrame:
     """Articles per feed and share of all articles."""
     g = archive.groupBy(F.col("feed_title").alias("feed")).agg(F.count(F.lit(1)).alias("articles"))
