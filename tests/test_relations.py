@@ -45,3 +45,12 @@ def test_every_view_registers_and_plans(spark):
     for n in names:
         spark.sql(f"SELECT * FROM {n}").schema  # analyses without running
     assert spark.sql("SELECT count(*) FROM v_missing_both_per_feed").first()[0] > 0
+
+
+def test_since_column_matches_parse_since(spark):
+    import datetime as dt
+    now = dt.datetime(2024, 1, 31)
+    specs = ["24h", "7d", "2024-01-02", "2024-01-02T10:00:00+02:00", "2024-01-02T10:00:00Z"]
+    df = spark.createDataFrame([(s,) for s in specs], "s string")
+    got = [str(r[0]) for r in df.select(tri.since_column("s", now)).collect()]
+    assert got == [tri.parse_since(s, now) for s in specs]

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from threatlake.functions.common import nullif_blank
-from threatlake.functions.text import (content_with_fallback, empty_content, resolve_guid, sanitize_html)
+from threatlake.functions.text import (cap_length, content_with_fallback, empty_content, resolve_guid,
+                                       sanitize_html)
 from threatlake.operators.snapshots import ts_lit
 
 S = T.StringType()
@@ -95,10 +96,12 @@ def shape_items(raw: DataFrame, chan: DataFrame, kind: str = "rss") -> DataFrame
     return items.join(ch, "_file", "left")
 
 
-def normalise_items(raw: DataFrame, feed_url, now) -> DataFrame:
+def normalise_items(raw: DataFrame, feed_url, now, max_summary_chars: int | None = None,
+                    max_content_chars: int | None = None) -> DataFrame:
     """Feed-item rows (``FEED_ITEM`` columns) plus ``_valid``: key resolved from GUID or
     link, content falls back to the description, timestamps fall back to updated / now,
-    author and categories default to empty."""
+    author and categories default to empty. Length caps are optional and off by default
+    (the source system advertises 200 000 / 500 000 characters but never applies them)."""
     url = F.col(feed_url) if isinstance(feed_url, str) and feed_url in raw.columns else \
         (feed_url if not isinstance(feed_url, str) else F.lit(feed_url))
     now_c = ts_lit(now)
@@ -107,6 +110,10 @@ def normalise_items(raw: DataFrame, feed_url, now) -> DataFrame:
     guid = resolve_guid("guid", "link")
     summary = F.coalesce(sanitize_html(F.col("description")), F.lit(""))
     content = content_with_fallback("content", "description")
+    if max_summary_chars:
+        summary = cap_length(summary, max_summary_chars)
+    if max_content_chars:
+        content = cap_length(content, max_content_chars)
     return raw.select(
         F.sha2(F.concat_ws("\u0001", guid, url), 256).alias("id"),
         guid.alias("guid"),
