@@ -7,11 +7,18 @@ from pyspark.sql import Column, functions as F
 from threatlake.functions.common import col_of
 
 
+# CVSS histogram labels with their upper edges (exclusive), lowest first.
+CVSS_BUCKETS = [(1, "0-1 (None)"), (4, "1-4 (Low)"), (7, "4-7 (Medium)"), (9, "7-9 (High)")]
+CVSS_BUCKET_TOP = "9-10 (Critical)"
+
+
 def cvss_bucket(cvss) -> Column:
     """Dashboard CVSS histogram label (left-closed edges 1, 4, 7, 9)."""
     c = col_of(cvss)
-    return (F.when(c < 1, "0-1 (None)").when(c < 4, "1-4 (Low)").when(c < 7, "4-7 (Medium)")
-            .when(c < 9, "7-9 (High)").otherwise("9-10 (Critical)"))
+    expr = None
+    for edge, label in CVSS_BUCKETS:
+        expr = F.when(c < edge, label) if expr is None else expr.when(c < edge, label)
+    return expr.otherwise(CVSS_BUCKET_TOP)
 
 
 # EPSS histogram edges and labels of the dashboard distribution panel.
@@ -78,15 +85,27 @@ def in_flag(matched_key) -> Column:
     return F.when(col_of(matched_key).isNotNull(), 1).otherwise(0)
 
 
+# Chat badge of a CVSS score — band edges (highest first) with their
+# emoji, the n/a text, the two badge formats; the EPSS trajectory line of an alert.
+CVSS_BADGE_BANDS = [(9.0, ":red_circle:"), (7.0, ":large_orange_circle:"), (4.0, ":large_yellow_circle:")]
+CVSS_BADGE_LOWEST = ":large_green_circle:"
+CVSS_BADGE_NA = "CVSS: _n/a_"
+CVSS_BADGE_WITH_SEVERITY = "%s CVSS *%.1f* (%s)"
+CVSS_BADGE_PLAIN = "%s CVSS *%.1f*"
+EPSS_ALERT_LINE = "EPSS: %.2f%% :arrow_right: *%.2f%%*  (+%.0f%%)  |  Percentile: *%.0f*"
+
+
 def cvss_badge(score, severity) -> Column:
     """Chat badge: coloured circle by band plus ``CVSS *x.y* (SEV)``; n/a for NULL."""
     s = col_of(score).cast("double")
     sev = F.coalesce(col_of(severity), F.lit(""))
-    emoji = (F.when(s >= 9.0, ":red_circle:").when(s >= 7.0, ":large_orange_circle:")
-             .when(s >= 4.0, ":large_yellow_circle:").otherwise(":large_green_circle:"))
-    body = F.when(sev != "", F.format_string("%s CVSS *%.1f* (%s)", emoji, s, sev)) \
-            .otherwise(F.format_string("%s CVSS *%.1f*", emoji, s))
-    return F.when(s.isNull(), F.lit("CVSS: _n/a_")).otherwise(body)
+    emoji = None
+    for edge, icon in CVSS_BADGE_BANDS:
+        emoji = F.when(s >= edge, icon) if emoji is None else emoji.when(s >= edge, icon)
+    emoji = emoji.otherwise(CVSS_BADGE_LOWEST)
+    body = F.when(sev != "", F.format_string(CVSS_BADGE_WITH_SEVERITY, emoji, s, sev)) \
+            .otherwise(F.format_string(CVSS_BADGE_PLAIN, emoji, s))
+    return F.when(s.isNull(), F.lit(CVSS_BADGE_NA)).otherwise(body)
 
 
 # CWE identifiers that carry no information.
@@ -100,20 +119,33 @@ def cwe_display(cwe) -> Column:
 
 def epss_alert_line(epss_before, epss_now, pct, percentile) -> Column:
     return F.format_string(
-        "EPSS: %.2f%% :arrow_right: *%.2f%%*  (+%.0f%%)  |  Percentile: *%.0f*",
+        EPSS_ALERT_LINE,
         col_of(epss_before).cast("double") * 100, col_of(epss_now).cast("double") * 100,
         col_of(pct).cast("double"), F.coalesce(col_of(percentile).cast("double"), F.lit(0.0)) * 100)
 
 
+# Severity order of analyses (ours: the source system documents the column, not values).
+SEVERITY_RANKS = [("CRITICAL", 4), ("HIGH", 3), ("MEDIUM", 2), ("LOW", 1)]
+
+
 def severity_rank(level) -> Column:
     """CRITICAL 4, HIGH 3, MEDIUM 2, LOW 1, other 0 (case-insensitive)."""
     u = F.upper(F.trim(col_of(level)))
-    return (F.when(u == "CRITICAL", 4).when(u == "HIGH", 3).when(u == "MEDIUM", 2)
-            .when(u == "LOW", 1).otherwise(0))
+    expr = None
+    for name, rank in SEVERITY_RANKS:
+        expr = F.when(u == name, rank) if expr is None else expr.when(u == name, rank)
+    return expr.otherwise(0)
+
+
+# Campaign classes with their thresholds, checked in this order.
+CAMPAIGN_PATCH_WAVE_CVES = 10
+CAMPAIGN_ACTIVE_MAX_EPSS = 0.2
+CAMPAIGN_KINDS = ["patch_wave", "active_exploitation", "cve_story"]
 
 
 def campaign_kind(distinct_cves, max_epss) -> Column:
     """patch_wave (>= 10 CVEs), then active_exploitation (max EPSS >= 0.2), else cve_story."""
-    return (F.when(col_of(distinct_cves) >= 10, "patch_wave")
-            .when(col_of(max_epss) >= F.lit(0.2), "active_exploitation")
-            .otherwise("cve_story"))
+    wave, active, story = CAMPAIGN_KINDS
+    return (F.when(col_of(distinct_cves) >= CAMPAIGN_PATCH_WAVE_CVES, wave)
+            .when(col_of(max_epss) >= F.lit(CAMPAIGN_ACTIVE_MAX_EPSS), active)
+            .otherwise(story))

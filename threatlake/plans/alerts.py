@@ -17,6 +17,17 @@ from threatlake.operators.snapshots import latest_date, ts_lit
 
 DEFAULT_LOOKBACK = 7
 
+# Alert texts — header, baseline context (with our product name in the
+# source system's place), NVD detail link, overflow note, generic event name, the
+# number of sections per message and the description length limit.
+ALERT_HEADER = "Sleeper CVE Alert — %d CVEs crossed 50%% EPSS"
+ALERT_CONTEXT = "Baseline *%s* vs *%s* (%d-day lookback) | %s"
+NVD_DETAIL_URL = "https://nvd.nist.gov/vuln/detail/"
+ALERT_MORE = "_...and %d more. Query the %s tables for the full list._"
+ALERT_EVENT = "sleeper_cve_alert"
+MAX_SECTIONS = 10
+MAX_DESCRIPTION_CHARS = 200
+
 
 def cve_pick(cve: DataFrame) -> DataFrame:
     """One row per CVE for enrichment: the NVD row when present, else any other source
@@ -83,21 +94,21 @@ def generic_payload(sleepers: DataFrame, as_of) -> DataFrame:
         (-F.col("delta")).alias("_k"), F.col("cve_id").alias("_k2"),
         F.struct(*_SLEEPER_FIELDS).alias("v"))))
     doc = F.struct(
-        F.lit("sleeper_cve_alert").alias("event"),
+        F.lit(ALERT_EVENT).alias("event"),
         F.date_format(ts_lit(as_of), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.count(F.lit(1)).cast("int").alias("count"),
         F.transform(items, lambda x: x["v"]).alias("sleepers"))
     return sleepers.agg(F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"))
 
 
-def _truncate(text: Column, n: int = 200) -> Column:
+def _truncate(text: Column, n: int = MAX_DESCRIPTION_CHARS) -> Column:
     return F.when(F.length(text) > n, F.concat(F.substr(text, F.lit(1), F.lit(n - 3)), F.lit("..."))) \
         .otherwise(text)
 
 
 def section_text(s: DataFrame) -> Column:
     """Three-line chat section of one sleeper row."""
-    link = F.concat(F.lit("https://nvd.nist.gov/vuln/detail/"), F.col("cve_id"))
+    link = F.concat(F.lit(NVD_DETAIL_URL), F.col("cve_id"))
     line1 = F.concat(F.lit("*<"), link, F.lit("|"), F.col("cve_id"), F.lit(">*  "),
                      cvss_badge("cvss_score", "cvss_severity"), cwe_display("cwe"))
     line2 = epss_alert_line("epss_before", "epss_now", "pct_change", "percentile")
@@ -106,7 +117,7 @@ def section_text(s: DataFrame) -> Column:
     return F.concat(line1, F.lit("\n"), line2, line3)
 
 
-def chat_payload(sleepers: DataFrame, max_sections: int = 10, product: str = "threatlake") -> DataFrame:
+def chat_payload(sleepers: DataFrame, max_sections: int = MAX_SECTIONS, product: str = "threatlake") -> DataFrame:
     """Block-kit style JSON: header with the count, context with both dates and the day
     gap, one section + divider per sleeper (at most ``max_sections``, largest rise first)
     and an "…and N more" context when there are more. No row when there are no sleepers."""
@@ -128,14 +139,14 @@ def chat_payload(sleepers: DataFrame, max_sections: int = 10, product: str = "th
                        F.lit(None).cast("struct<type:string,text:string>").alias("text"),
                        F.lit(None).cast("array<struct<type:string,text:string>>").alias("elements"))
     header = block("header", "plain_text",
-                   F.format_string("Sleeper CVE Alert — %d CVEs crossed 50%% EPSS", F.col("n")))
-    context = ctx(F.format_string("Baseline *%s* vs *%s* (%d-day lookback) | %s",
+                   F.format_string(ALERT_HEADER, F.col("n")))
+    context = ctx(F.format_string(ALERT_CONTEXT,
                                   first["date_before"], first["date_now"],
                                   day_gap(first["date_before"], first["date_now"]), F.lit(product)))
     sections = F.flatten(F.transform(F.slice(F.col("xs"), 1, max_sections),
                                      lambda x: F.array(block("section", "mrkdwn", x["text"]), divider)))
     more = F.when(F.col("n") > max_sections, F.array(ctx(F.format_string(
-        "_...and %d more. Query the %s tables for the full list._", F.col("n") - max_sections, F.lit(product))))) \
+        ALERT_MORE, F.col("n") - max_sections, F.lit(product))))) \
         .otherwise(F.array().cast("array<struct<type:string,text:struct<type:string,text:string>,"
                                   "elements:array<struct<type:string,text:string>>>>"))
     blocks = F.concat(F.array(header, context, divider), sections, more)
