@@ -46,6 +46,16 @@ def test_feed_stream(spark, tmp_path):
     assert spark.read.parquet(cur).count() == 5 and spark.read.parquet(arch).count() == 5
 
 
+def test_feed_stream_stamps_ntz_times_without_fixed_now(spark, tmp_path):
+    from threatlake.schemas import FEED_ITEM
+    landing = tmp_path / "landing"
+    shutil.copytree(os.path.join(FIXTURES, "feeds"), landing)
+    cur = str(tmp_path / "current")
+    jobs.feed_ingest(spark, f"{landing}/*/", str(tmp_path / "archive"), cur, name=_name()).awaitTermination()
+    got = {f.name: f.dataType for f in spark.read.parquet(cur).schema.fields}
+    assert all(got[f.name] == f.dataType for f in FEED_ITEM.fields)
+
+
 def test_epss_stream_waits_for_complete_page_sets(spark, tmp_path):
     landing = tmp_path / "landing"
     shutil.copytree(os.path.join(FIXTURES, "epss"), landing)

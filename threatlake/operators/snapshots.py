@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def ts_lit(value) -> Column:
-    """A TIMESTAMP_NTZ literal from a datetime or ISO text."""
+    """A TIMESTAMP_NTZ value from a datetime, ISO text or Column (a TIMESTAMP column such
+    as ``current_timestamp()`` is converted under the UTC session)."""
     if isinstance(value, Column):
-        return value
+        return value.cast("timestamp_ntz")
     if isinstance(value, dt.datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S")
     return F.lit(str(value)).cast("timestamp_ntz")
