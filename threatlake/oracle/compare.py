@@ -11,13 +11,16 @@ import decimal
 import math
 
 
+STRICT = False  # True: floats must be bit-identical (no rounding)
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return v.normalize()
     if isinstance(v, (list, tuple)):

@@ -17,6 +17,10 @@ from threatlake.sources.bindings import TABLES  # noqa: E402
 
 
 def main(argv):
+    import threatlake.oracle.compare as cmp
+    if "--strict" in argv:
+        cmp.STRICT = True
+        argv = [a for a in argv if a != "--strict"]
     sf = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in argv[1:] if not a.startswith("/")]
     spark = get_spark("local[8]", 8)
