@@ -68,13 +68,15 @@ def test_movers_antisymmetry(spark):
 
 def test_snapshot_write_skips_loaded_days(spark, tmp_path):
     e = Tables(spark, SF001).epss_daily
-    path = str(tmp_path / "epss")
-    tbl.write_snapshot(e.where(F.col("as_of") < "2024-01-10"), path)
+    path, man = str(tmp_path / "epss"), str(tmp_path / "manifest")
+    tbl.write_snapshot(e.where(F.col("as_of") < "2024-01-10"), path, manifest_path=man)
     stored = spark.read.parquet(path)
     new = tbl.new_snapshot_rows(stored, e.where(F.col("as_of") >= "2024-01-05"))
     assert new.agg(F.min("as_of")).first()[0].isoformat() == "2024-01-10"
-    tbl.write_snapshot(new, path)
+    tbl.write_snapshot(new, path, manifest_path=man)
     assert spark.read.parquet(path).count() == e.count()
+    days = {r.as_of: r.rows for r in tbl.manifest_days(spark.read.parquet(man)).collect()}
+    assert days == {r.as_of: r["count"] for r in e.groupBy("as_of").count().collect()}
 
 
 def test_percent_rank_matches_window_on_a_hot_day(spark):

@@ -97,7 +97,7 @@ def new_snapshot_rows(existing: DataFrame, batch: DataFrame, date_col: str = "as
     return batch.join(existing.select(date_col).distinct(), date_col, "left_anti")
 
 
-def write_snapshot(rows: DataFrame, path: str, date_col: str = "as_of") -> None:
+def write_snapshot(rows: DataFrame, path: str, date_col: str = "as_of", manifest_path: str | None = None) -> None:
     """Partitioned write; with dynamic partition overwrite each written day is replaced
     as a whole, so a re-run of a half-written day cannot leave it partial. Range
     partitioning on (day, cve_id) keeps tasks even when one day dominates, and sorted
@@ -105,6 +105,18 @@ def write_snapshot(rows: DataFrame, path: str, date_col: str = "as_of") -> None:
     (rows.repartitionByRange(date_col, "cve_id").sortWithinPartitions(date_col, "cve_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
+    if manifest_path:
+        # one row per written day: "latest day", coverage and the ingest log then read
+        # this small table instead of the footers of every data file
+        (rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
+         .withColumn("written_at", F.current_timestamp().cast("timestamp_ntz"))
+         .coalesce(1).write.mode("append").parquet(manifest_path))
+
+
+def manifest_days(manifest: DataFrame, date_col: str = "as_of") -> DataFrame:
+    """Loaded days with their row counts (the newest write of a re-loaded day wins)."""
+    g = manifest.groupBy(date_col).agg(F.max_by(F.col("rows"), F.col("written_at")).alias("rows"))
+    return g.orderBy(date_col)
 
 
 # ---------------------------------------------------------------- cursors ---------

@@ -70,7 +70,7 @@ def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_pa
 def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path: str,
                 cve_path: str | None = None, alerts_path: str | None = None, state_path: str | None = None,
                 trigger: dict | None = None, name: str = "epss", now=None, latest_path: str | None = None,
-                max_files: int = 1000):
+                max_files: int = 1000, manifest_path: str | None = None):
     """Landed EPSS pages (``landing/<snapshot>/<page>.json``) -> ``epss_daily``.
 
     Pages are staged first (a snapshot's pages may arrive over several micro-batches);
@@ -101,7 +101,7 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
         rows = rows.checkpoint(eager=True)
         if rows.isEmpty():
             return
-        tbl.write_snapshot(rows, epss_path)
+        tbl.write_snapshot(rows, epss_path, manifest_path=manifest_path)
         if latest_path:
             KeyedTable(spark, latest_path, ["cve_id"], ["cve_id", "as_of", "epss", "percentile"]) \
                 .upsert(rows, ["as_of"])
