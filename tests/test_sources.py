@@ -120,3 +120,10 @@ def test_validation(spark):
     assert rep["d"].error_kind == "Fetch"
     t = validation.validation_totals(validation.validate_documents(docs)).first()
     assert (t.total, t.ok, t.fail) == (4, 1, 3)
+
+
+def test_optional_length_caps(spark):
+    raw = feeds.read_feed_items(spark, os.path.join(FIXTURES, "feeds", "*", "*.xml"))
+    capped = feeds.normalise_items(raw, feeds.feed_key_from_path(), NOW, max_summary_chars=5, max_content_chars=7)
+    r = capped.where(F.col("guid") == "alpha-0001").first()
+    assert r.summary == "Firmw" and r.content == "<p>Full"

@@ -106,6 +106,15 @@ def _truncate(text: Column, n: int = MAX_DESCRIPTION_CHARS) -> Column:
         .otherwise(text)
 
 
+def section_parts(sleepers: DataFrame) -> DataFrame:
+    """The engine-independent pieces of each chat section: CVSS badge, CWE suffix, the
+    description cut to the message limit, and the baseline-to-now day gap."""
+    return sleepers.select(
+        "cve_id", cvss_badge("cvss_score", "cvss_severity").alias("badge"), cwe_display("cwe").alias("cwe_suffix"),
+        _truncate(F.coalesce(F.col("description"), F.lit(""))).alias("description_short"),
+        day_gap("date_before", "date_now").alias("day_gap"))
+
+
 def section_text(s: DataFrame) -> Column:
     """Three-line chat section of one sleeper row."""
     link = F.concat(F.lit(NVD_DETAIL_URL), F.col("cve_id"))
