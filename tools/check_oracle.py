@@ -9,7 +9,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from threatlake.catalog import QUERIES  # noqa: E402
-from threatlake.oracle.bindings import CTES  # noqa: E402,F401
 from threatlake.oracle.compare import compare, duckdb_connection  # noqa: E402
 from threatlake.oracle.queries import ORACLE  # noqa: E402
 from threatlake.session import get_spark  # noqa: E402
