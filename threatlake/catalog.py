@@ -522,3 +522,15 @@ register("alert_section_parts_lookback3")(
 register("row_strict_sanitized_pages")(lambda t: t.raw_docs.select(
     "url", F.length(txt.sanitize_html_strict("body")).alias("clean_len"),
     txt.sanitize_html_strict("body").contains("<script").alias("script_left")))
+
+
+def _epss_sparse(t):
+    """The snapshot table without the 2024-01-23 scores of CVEs whose id ends in 1, 3 or 5
+    (a partial day), so global-day and per-CVE baselines differ."""
+    e = t.epss_daily
+    return e.where(~((F.dayofmonth("as_of") == 23) & (F.substr("cve_id", F.lit(-1), F.lit(1)).isin("1", "3", "5"))))
+
+
+register("alert_sleepers_asof_per_cve")(
+    lambda t: alr.detect_sleepers(_epss_sparse(t), t.cve_enriched, per_cve_baseline=True))
+register("alert_sleepers_sparse_global_day")(lambda t: alr.detect_sleepers(_epss_sparse(t), t.cve_enriched))

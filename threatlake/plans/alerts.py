@@ -38,18 +38,32 @@ def cve_pick(cve: DataFrame) -> DataFrame:
 
 
 def detect_sleepers(epss: DataFrame, cve: DataFrame, lookback: int = DEFAULT_LOOKBACK,
-                    low: float = 0.10, high: float = 0.50, limit: int = 50) -> DataFrame:
+                    low: float = 0.10, high: float = 0.50, limit: int = 50,
+                    per_cve_baseline: bool = False) -> DataFrame:
     """CVEs under ``low`` on the baseline day (latest day with as_of <= latest - lookback)
-    and at or over ``high`` on the latest day; largest rise first."""
+    and at or over ``high`` on the latest day; largest rise first.
+
+    ``per_cve_baseline``: as-of join instead — each CVE's baseline is its own newest score
+    on or before the cutoff (``max_by`` keyed by CVE over the days up to the cutoff), so a
+    CVE missing on the global baseline day still gets compared."""
     if lookback <= 0:
         lookback = DEFAULT_LOOKBACK
     latest = latest_date(epss)
-    baseline = epss.where(F.col("as_of") <= F.date_sub(latest, lookback)).select(F.max("as_of")).scalar()
+    cutoff = F.date_sub(latest, lookback)
     now = epss.where(F.col("as_of") == latest).select(
         "cve_id", F.col("epss").cast("double").alias("epss_now"),
         F.col("percentile").cast("double").alias("percentile"))
-    before = epss.where(F.col("as_of") == baseline).select(
-        "cve_id", F.col("epss").cast("double").alias("epss_before"))
+    if per_cve_baseline:
+        b = epss.where(F.col("as_of") <= cutoff).groupBy("cve_id").agg(
+            F.max_by(F.struct("as_of", "epss"), "as_of").alias("b"))
+        before = b.select("cve_id", F.col("b.epss").cast("double").alias("epss_before"),
+                          F.col("b.as_of").cast("string").alias("date_before"))
+        baseline_text = F.col("date_before")
+    else:
+        baseline = epss.where(F.col("as_of") <= cutoff).select(F.max("as_of")).scalar()
+        before = epss.where(F.col("as_of") == baseline).select(
+            "cve_id", F.col("epss").cast("double").alias("epss_before"))
+        baseline_text = baseline.cast("string")
     hits = now.join(before, "cve_id").where((F.col("epss_before") < low) & (F.col("epss_now") >= high))
     delta = F.col("epss_now") - F.col("epss_before")
     order = [F.col("delta").desc(), F.col("cve_id").asc()]
@@ -61,7 +75,7 @@ def detect_sleepers(epss: DataFrame, cve: DataFrame, lookback: int = DEFAULT_LOO
             .select("cve_id", "epss_before", "epss_now", "delta",
                     pct_change("epss_before", "epss_now").alias("pct_change"),
                     "percentile",
-                    baseline.cast("string").alias("date_before"),
+                    baseline_text.alias("date_before"),
                     latest.cast("string").alias("date_now"),
                     F.coalesce(cve_description("json"), F.lit("")).alias("description"),
                     F.col("cvss_base").cast("double").alias("cvss_score"),
