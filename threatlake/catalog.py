@@ -133,7 +133,7 @@ def _rollups(t):
 
 
 def _detail(t):
-    return rel.cve_detail(t.cve_enriched, t.epss_daily, _mentions(t), _rollups(t))
+    return rel.cve_detail(t.cve_enriched, t.epss_daily, _mentions(t), rel.campaign_mentions(t.analysis))
 
 
 def _lite(t):

@@ -209,13 +209,16 @@ def campaign_latest_seen(rollups: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ profile -------
-def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, rollups: DataFrame) -> DataFrame:
-    """Consolidated CVE profile: NVD record ⟕ newest EPSS ⟕ KEV ⟕ mentions ⟕ campaigns."""
+def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Consolidated CVE profile: NVD record ⟕ newest EPSS ⟕ KEV ⟕ mentions ⟕ campaigns.
+
+    ``campaigns`` is any relation with (campaign_key, cve_id) pairs — the campaign
+    mentions (cheapest) or the rollups; the profile counts distinct campaigns per CVE."""
     base = nvd(cve).select("cve_id", "cvss_base", "epss", "modified", description_en("json").alias("description_en"))
     k = kev(cve).select("cve_id", F.lit(True).alias("_kev"),
                         kev_field("json", "dueDate").alias("due_date"),
                         kev_field("json", "requiredAction").alias("required_action"))
-    camp = rollups.groupBy("cve_id").agg(F.count(F.lit(1)).alias("campaign_count"))
+    camp = campaigns.groupBy("cve_id").agg(F.countDistinct("campaign_key").alias("campaign_count"))
     j = (base.join(_latest_scores(epss), "cve_id", "left").join(k, "cve_id", "left")
          .join(_mention_stats(mentions), "cve_id", "left").join(camp, "cve_id", "left"))
     return j.select("cve_id", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"),

@@ -48,7 +48,8 @@ def view_plans(tables, as_of, movers_day) -> dict:
         "analysis_cve_anomalies": lambda: rel.cve_anomalies(t.analysis),
         "analysis_cves_enriched": lambda: rel.cves_enriched(mentions(), t.cve_enriched, t.epss_daily),
         "analysis_cves_enriched_lite": lambda: rel.cves_enriched_lite(mentions(), t.cve_enriched, t.epss_daily),
-        "cve_detail": lambda: rel.cve_detail(t.cve_enriched, t.epss_daily, mentions(), rollups()),
+        "cve_detail": lambda: rel.cve_detail(t.cve_enriched, t.epss_daily, mentions(),
+                                             rel.campaign_mentions(t.analysis)),
         "nvd_cves_lite": lambda: rel.nvd_cves_lite(t.cve_enriched, t.epss_daily),
         "kev_cves_lite": lambda: rel.kev_cves_lite(t.cve_enriched),
         "epss_latest": lambda: eps.epss_latest(t.epss_daily),
