@@ -13,6 +13,10 @@ def percent_rank_within(df: DataFrame, part: str, order: str, out: str) -> DataF
     hot ``part`` is combined map-side); the running count is taken over the distinct values
     only — for EPSS that is at most 100 001 values per day whatever the day's row count —
     and joined back on the value. ``(rows strictly below) / (n - 1)``, 0 for a single row.
+
+    The join back is a *left* join on keys the right side holds once: equivalent here
+    (every value has its rank row), and it lets Catalyst drop the whole ranking branch
+    from plans that never read the rank column.
     """
     counts = df.groupBy(part, order).agg(F.count(F.lit(1)).alias("_n"))
     by_value = Window.partitionBy(part).orderBy(order)
@@ -26,4 +30,4 @@ def percent_rank_within(df: DataFrame, part: str, order: str, out: str) -> DataF
         F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1))
          .otherwise(F.lit(0.0)).alias(out),
     )
-    return df.join(ranked, [part, order])
+    return df.join(ranked, [part, order], "left")
