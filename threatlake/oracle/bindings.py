@@ -79,6 +79,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "analysis": ([], f"""
         SELECT 'an-' || CAST(d.doc_id AS VARCHAR) AS analysis_id,
           'ag-' || CAST(d.doc_id AS VARCHAR) AS analysis_guid,
+          sha256('doc-' || CAST(d.doc_id AS VARCHAR) || chr(1) || d.source) AS archive_id,
           'doc-' || CAST(d.doc_id AS VARCHAR) AS archive_guid,
           d.source AS source_name, substr(d.text, 1, 40) AS title,
           CASE d.doc_id % 4 WHEN 0 THEN 'CRITICAL' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity_level,

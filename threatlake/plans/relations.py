@@ -24,11 +24,12 @@ PIPELINE_VERSION = "threatlake/1"
 
 # ------------------------------------------------------------------ entries -------
 def analysis_entries(archive: DataFrame, analysis: DataFrame) -> DataFrame:
-    """Archive items joined to their analyses (full content)."""
-    a = archive.select(F.col("id").alias("archive_id"), F.col("guid").alias("archive_guid"),
-                       "title", "link", "published", "content", "author", "categories", "feed_url")
+    """Archive items joined to their analyses (full content). The join key is the archive
+    row id: a guid alone is not unique (two feeds may carry the same guid / link)."""
+    a = archive.select(F.col("id").alias("archive_id"), "title", "link", "published", "content", "author",
+                       "categories", "feed_url")
     n = analysis.drop("title")
-    return n.join(a, "archive_guid").select(
+    return n.join(a, "archive_id").select(
         "analysis_id", "analysis_guid", "archive_id", "archive_guid", "title", "link", "published",
         "content", "author", "categories", "feed_url", "source_name", "severity_level", "confidence_pct",
         "summary_impact", "relevance", "analysed_at", "recommended_actions", "key_iocs",

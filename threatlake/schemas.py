@@ -62,6 +62,7 @@ INGEST_STATE = T.StructType([
 ANALYSIS = T.StructType([
     T.StructField("analysis_id", S, False),
     T.StructField("analysis_guid", S, True),
+    T.StructField("archive_id", S, True),
     T.StructField("archive_guid", S, True),
     T.StructField("source_name", S, True),
     T.StructField("title", S, True),

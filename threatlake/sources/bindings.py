@@ -158,6 +158,8 @@ def analysis(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return docs.select(
         F.concat(F.lit("an-"), did.cast("string")).alias("analysis_id"),
         F.concat(F.lit("ag-"), did.cast("string")).alias("analysis_guid"),
+        F.sha2(F.concat_ws("\u0001", F.concat(F.lit("doc-"), did.cast("string")), F.col("source")), 256)
+         .alias("archive_id"),
         F.concat(F.lit("doc-"), did.cast("string")).alias("archive_guid"),
         F.col("source").alias("source_name"),
         F.substr(F.col("text"), F.lit(1), F.lit(40)).alias("title"),
