@@ -1,6 +1,6 @@
 """The documented read relations over analyses, CVE mentions, campaigns and reports.
 
-All joins are equi-joins on ``cve_id`` / ``archive_guid`` / ``campaign_key``; each
+All joins are equi-joins on ``cve_id`` / ``archive_id`` / ``campaign_key``; each
 aggregation is keyed and partial (map-side combine), and every per-analysis array
 (CVE tokens, IOCs, reference URLs) is processed inside its own row before ``explode`` —
 no group is ever gathered into one task.
@@ -172,7 +172,7 @@ def epss_top_latest(epss: DataFrame, cve: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- campaigns -------
 def campaign_mentions(analysis: DataFrame) -> DataFrame:
     """CVE mentions tagged with the campaign key of their analysis."""
-    a = analysis.select("analysis_id", "archive_guid", "analysed_at", "source_name",
+    a = analysis.select("analysis_id", "archive_id", "analysed_at", "source_name",
                         pick_campaign_key("exploit_references", "analysis_id").alias("campaign_key"),
                         F.explode(valid_cve_tokens("cve_references")).alias("cve_id"))
     return a
@@ -183,7 +183,7 @@ def campaign_cve_rollups(analysis: DataFrame, cve: DataFrame, epss: DataFrame) -
     with CVSS, EPSS, NVD modification time and English description."""
     g = campaign_mentions(analysis).groupBy("campaign_key", "cve_id").agg(
         F.count(F.lit(1)).alias("mention_count"),
-        F.countDistinct("archive_guid").alias("item_count"),
+        F.countDistinct("archive_id").alias("item_count"),
         F.countDistinct("source_name").alias("source_count"),
         F.min("analysed_at").alias("first_seen"),
         F.max("analysed_at").alias("last_seen"))
