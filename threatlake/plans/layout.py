@@ -34,7 +34,8 @@ class StoredTables:
         self.spark, self.root, self.sf_dir = spark, root, sf_dir
 
     def _r(self, name) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        df = self.spark.read.parquet(f"{self.root}/{name}")
+        return df.drop("_bucket")  # hash-bucket folders of keyed tables are storage, not data
 
     def raw(self, name):
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
