@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -113,6 +115,15 @@ def _strict_clean(doc: str | None) -> str | None:
     return "".join(out)
 
 
+# The UDF below runs in Python workers; ship this module's code with it (pickled by
+# value) so workers need not have the package installed.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older pickler without by-value registration
+    pass
+
+
 @F.pandas_udf(T.StringType())
 def sanitize_html_strict(html: pd.Series) -> pd.Series:
     """Allow-list sanitiser (Arrow-batched): only listed tags and attributes survive,
