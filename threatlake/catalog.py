@@ -540,3 +540,9 @@ def _epss_sparse(t):
 register("alert_sleepers_asof_per_cve")(
     lambda t: alr.detect_sleepers(_epss_sparse(t), t.cve_enriched, per_cve_baseline=True))
 register("alert_sleepers_sparse_global_day")(lambda t: alr.detect_sleepers(_epss_sparse(t), t.cve_enriched))
+register("dash_movers_latest_fallers")(lambda t: dsh.movers_latest(t.epss_daily, direction="down"))
+register("epss_movers_24h_abs_top50")(
+    lambda t: eps.movers_24h(t.epss_daily, DAY, with_percentiles=False, limit=50, direction="abs"))
+register("sink_kev_removed_since_release")(lambda t: tbl.removed_from_catalog(
+    t.cve_enriched, t.cve_enriched.where((F.col("source") == "CISA-KEV")
+                                         & (F.get_json_object("json", "$.dateAdded") < "2024-01-20"))))

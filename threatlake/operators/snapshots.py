@@ -71,3 +71,19 @@ def feed_filter(col, patterns) -> Column:
         term = c.like(p)
         cond = term if cond is None else (cond | term)
     return cond
+
+
+def mover_order(delta_col: str = "delta", direction: str = "up", key: str = "cve_id") -> list:
+    """Sort keys of a movers list: ``up`` largest rise first (the source system's only
+    order, so fallers never reach a top-k), ``down`` largest fall first, ``abs`` largest
+    move either way first; the key breaks ties."""
+    d = F.col(delta_col)
+    if direction == "down":
+        first = d.asc()
+    elif direction == "abs":
+        first = F.abs(d).desc()
+    elif direction == "up":
+        first = d.desc()
+    else:
+        raise ValueError(f"direction must be up, down or abs, not {direction!r}")
+    return [first, F.col(key).asc()]

@@ -119,6 +119,14 @@ def manifest_days(manifest: DataFrame, date_col: str = "as_of") -> DataFrame:
     return g.orderBy(date_col)
 
 
+def removed_from_catalog(stored: DataFrame, catalog_rows: DataFrame, source: str = "CISA-KEV") -> DataFrame:
+    """Stored entries of ``source`` that a (full) catalog release no longer lists. The
+    catalog upsert keeps them, as the source system does; this report lets a caller
+    tombstone them on purpose."""
+    listed = catalog_rows.select("cve_id").distinct()
+    return stored.where(F.col("source") == source).join(listed, "cve_id", "left_anti")
+
+
 # ---------------------------------------------------------------- cursors ---------
 def cursor_value(state: DataFrame, source: str) -> Column:
     """Scalar subquery: the stored cursor of ``source`` (NULL when absent)."""

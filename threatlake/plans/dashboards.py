@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from threatlake.functions.common import half_up_pct, missing, present
 from threatlake.functions.json_fields import kev_field
 from threatlake.functions.scores import EPSS_BUCKETS, cvss_bucket, epss_bucket_predicate, in_flag, risk_score
-from threatlake.operators.snapshots import (feed_filter, kev, kev_keys, latest_date, latest_snapshot, nvd,
-                                            ts_lit)
+from threatlake.operators.snapshots import (feed_filter, kev, kev_keys, latest_date, latest_snapshot,
+                                            mover_order, nvd, ts_lit)
 
 # Default panel thresholds.
 EPSS_THRESHOLD = 0.5
@@ -70,8 +70,10 @@ def top_exploitable(epss: DataFrame, cve: DataFrame, limit: int = 25) -> DataFra
              .orderBy(*order))
 
 
-def movers_latest(epss: DataFrame, min_abs_delta: float = 0.001, limit: int = 25) -> DataFrame:
-    """Latest day vs the calendar day before, |delta| > 0.001, largest rise first."""
+def movers_latest(epss: DataFrame, min_abs_delta: float = 0.001, limit: int = 25,
+                  direction: str = "up") -> DataFrame:
+    """Latest day vs the calendar day before, |delta| > 0.001, largest rise first
+    (``direction='down'`` / ``'abs'`` surface fallers / any large move)."""
     d = latest_date(epss)
     today = epss.where(F.col("as_of") == d).select(
         "cve_id", F.col("epss").alias("epss_today"), F.col("percentile").alias("percentile_today"))
@@ -81,7 +83,7 @@ def movers_latest(epss: DataFrame, min_abs_delta: float = 0.001, limit: int = 25
     return (today.join(yday, "cve_id")
             .where(F.abs(delta) > F.lit(min_abs_delta))
             .select("cve_id", "epss_today", "epss_yesterday", delta.alias("delta"), "percentile_today")
-            .orderBy(F.col("delta").desc(), F.col("cve_id").asc())
+            .orderBy(*mover_order("delta", direction))
             .limit(limit))
 
 

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from threatlake.functions.common import half_up_div, half_up_pct
 from threatlake.functions.json_fields import cve_cwe, cve_description
 from threatlake.functions.scores import RISK_BAND_OTHER, RISK_BANDS, epss_risk_band, pct_change
-from threatlake.operators.snapshots import date_lit, latest_date, latest_snapshot, nvd, snapshot
+from threatlake.operators.snapshots import date_lit, latest_date, latest_snapshot, mover_order, nvd, snapshot
 
 
-def movers_24h(epss: DataFrame, day, with_percentiles: bool = True, limit: int | None = None) -> DataFrame:
-    """Calendar ``day`` vs the day before, per CVE present on both; largest rise first."""
+def movers_24h(epss: DataFrame, day, with_percentiles: bool = True, limit: int | None = None,
+               direction: str = "up") -> DataFrame:
+    """Calendar ``day`` vs the day before, per CVE present on both; largest rise first
+    (``direction`` as in ``snapshots.mover_order``)."""
     d = date_lit(day)
     t = epss.where(F.col("as_of") == d).select(
         "cve_id", F.col("epss").alias("epss_today"), F.col("percentile").alias("percentile_today"))
@@ -27,7 +29,7 @@ def movers_24h(epss: DataFrame, day, with_percentiles: bool = True, limit: int |
     cols = ["cve_id", "epss_today", "epss_yday", (F.col("epss_today") - F.col("epss_yday")).alias("delta")]
     if with_percentiles:
         cols += ["percentile_today", "percentile_yday"]
-    out = t.join(y, "cve_id").select(*cols).orderBy(F.col("delta").desc(), F.col("cve_id").asc())
+    out = t.join(y, "cve_id").select(*cols).orderBy(*mover_order("delta", direction))
     return out.limit(limit) if limit else out
 
 
