@@ -123,7 +123,7 @@ def _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now):
     if due.isEmpty():
         return
     stamp = ts_lit(now) if now is not None else F.current_timestamp().cast("timestamp_ntz")
-    alr.generic_payload(due, now or "1970-01-01 00:00:00").select(stamp.alias("sent_at"), "payload") \
+    alr.generic_payload(due, stamp).select(stamp.alias("sent_at"), "payload") \
         .write.mode("append").parquet(alerts_path)
     tbl.set_cursor(state, "ALERTING", due.select(F.max("date_now")).scalar()).checkpoint(eager=True) \
         .write.mode("overwrite").parquet(state_path)
