@@ -144,3 +144,6 @@ def test_epss_stream_alerts_once_per_day(spark, tmp_path):
     assert spark.read.parquet(state).where("source = 'ALERTING'").first().cursor == "2024-01-30"
     jobs.epss_ingest(spark, f"{landing}/*/", stage, epss, cve, alerts, state, name=name).awaitTermination()
     assert spark.read.parquet(alerts).count() == 1
+    # a replay that lost the cursor write (crash between the two writes) sends nothing twice
+    jobs._alert_after_load(spark, epss, cve, alerts, str(tmp_path / "lost-state"), "2024-01-31 00:00:00")
+    assert spark.read.parquet(alerts).count() == 1

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threatlake.operators import tables as tbl
@@ -96,7 +97,7 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
         try:
             existing = spark.read.parquet(epss_path)
             rows = tbl.new_snapshot_rows(existing, rows)
-        except Exception:  # first load: no table yet
+        except AnalysisException:  # first load: no table yet
             pass
         rows = rows.checkpoint(eager=True)
         if rows.isEmpty():
@@ -123,16 +124,19 @@ def _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now):
     if due.isEmpty():
         return
     stamp = ts_lit(now) if now is not None else F.current_timestamp().cast("timestamp_ntz")
-    alr.generic_payload(due, stamp).select(stamp.alias("sent_at"), "payload") \
-        .write.mode("append").parquet(alerts_path)
-    tbl.set_cursor(state, "ALERTING", due.select(F.max("date_now")).scalar()).checkpoint(eager=True) \
-        .write.mode("overwrite").parquet(state_path)
+    day = due.select(F.max("date_now")).scalar()
+    # keyed by the detection day and written insert-if-absent: a replayed batch that
+    # already sent this day's alert adds nothing
+    sent = alr.generic_payload(due, stamp).select(day.alias("alert_day"), stamp.alias("sent_at"), "payload")
+    KeyedTable(spark, alerts_path, ["alert_day"], ["alert_day", "sent_at", "payload"], buckets=8) \
+        .insert_new(sent, ["sent_at"])
+    tbl.set_cursor(state, "ALERTING", day).checkpoint(eager=True).write.mode("overwrite").parquet(state_path)
 
 
 def _read_state(spark, path):
     try:
         return spark.read.parquet(path)
-    except Exception:
+    except AnalysisException:  # no cursor stored yet
         return tbl.empty_state(spark)
 
 
