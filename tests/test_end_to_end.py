@@ -53,3 +53,9 @@ def test_streams_to_stored_tables_to_plans(spark, tmp_path):
     # the two KEV fixture CVEs lie outside the NVD binding's id range (CVE-2024-00000..01999)
     assert detail.where("in_kev").count() == 0
     assert t.cve_enriched.where("source = 'CISA-KEV'").count() == 2
+
+    # the stream-maintained latest table gives the same profile as aggregating the history
+    assert t.epss_latest is not None
+    with_kept = relations.cve_detail(t.cve_enriched, t.epss_daily, relations.cve_mentions(t.analysis),
+                                     relations.campaign_mentions(t.analysis), latest=t.epss_latest)
+    assert with_kept.exceptAll(detail).count() == 0 and detail.exceptAll(with_kept).count() == 0

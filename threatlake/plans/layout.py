@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from threatlake.operators.tables import write_snapshot
@@ -70,6 +71,14 @@ class StoredTables:
     def item_versions(self):
         return self._r("item_versions")
 
+    @property
+    def epss_latest(self):
+        """The stream-maintained newest score per CVE, or None when it is not stored."""
+        try:
+            return self._r("epss_latest").select("cve_id", "as_of", "epss", "percentile")
+        except AnalysisException:
+            return None
+
 
 def scan_summary(df: DataFrame) -> list[str]:
     """Lines of the formatted physical plan that show scans, pruning, pushdown, joins and

@@ -122,29 +122,36 @@ def _mention_stats(mentions: DataFrame) -> DataFrame:
                                           F.max("analysed_at").alias("last_seen"))
 
 
-def _latest_scores(epss: DataFrame) -> DataFrame:
-    return epss_latest(epss).select("cve_id", F.col("epss").alias("latest_epss"),
+def _latest(epss: DataFrame, latest: DataFrame | None) -> DataFrame:
+    """Newest score per CVE: the maintained ``latest`` table when given (the EPSS stream
+    keeps it), else aggregated from the daily history."""
+    return latest.select("cve_id", "as_of", "epss", "percentile") if latest is not None else epss_latest(epss)
+
+
+def _latest_scores(epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    return _latest(epss, latest).select("cve_id", F.col("epss").alias("latest_epss"),
                                     F.col("percentile").alias("latest_percentile"))
 
 
-def cves_enriched(mentions: DataFrame, cve: DataFrame, epss: DataFrame) -> DataFrame:
+def cves_enriched(mentions: DataFrame, cve: DataFrame, epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """Per mentioned CVE: mention count and last sighting, with the NVD record (EPSS
     overlaid from the newest score per CVE, since the stored column is never filled)."""
     n = nvd(cve).select("cve_id", "source", "cvss_base", "epss", "modified", "json")
-    j = _mention_stats(mentions).join(n, "cve_id", "left").join(_latest_scores(epss), "cve_id", "left")
+    j = _mention_stats(mentions).join(n, "cve_id", "left").join(_latest_scores(epss, latest), "cve_id", "left")
     return j.select("cve_id", "mention_count", "last_seen", "source", "cvss_base",
                     F.coalesce("epss", "latest_epss").alias("epss"), "modified", "json")
 
 
-def cves_enriched_lite(mentions: DataFrame, cve: DataFrame, epss: DataFrame) -> DataFrame:
-    e = cves_enriched(mentions, cve, epss)
+def cves_enriched_lite(mentions: DataFrame, cve: DataFrame, epss: DataFrame,
+                       latest: DataFrame | None = None) -> DataFrame:
+    e = cves_enriched(mentions, cve, epss, latest)
     return e.select("cve_id", "mention_count", "last_seen", "source", "cvss_base", "epss", "modified",
                     description_en("json").alias("description_en"))
 
 
 # ---------------------------------------------------------------- CVE views -------
-def nvd_cves_lite(cve: DataFrame, epss: DataFrame) -> DataFrame:
-    n = nvd(cve).join(_latest_scores(epss), "cve_id", "left")
+def nvd_cves_lite(cve: DataFrame, epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    n = nvd(cve).join(_latest_scores(epss, latest), "cve_id", "left")
     return n.select("cve_id", "modified", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"),
                     description_en("json").alias("description_en"))
 
@@ -161,10 +168,10 @@ def kev_cves_lite(cve: DataFrame) -> DataFrame:
         F.col("json").alias("kev_json"))
 
 
-def epss_top_latest(epss: DataFrame, cve: DataFrame) -> DataFrame:
+def epss_top_latest(epss: DataFrame, cve: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """Newest score per CVE with the NVD lite fields, highest EPSS first."""
     n = nvd(cve).select("cve_id", "cvss_base", description_en("json").alias("description_en"))
-    return (epss_latest(epss).join(n, "cve_id", "left")
+    return (_latest(epss, latest).join(n, "cve_id", "left")
             .select("cve_id", "as_of", "epss", "percentile", "cvss_base", "description_en")
             .orderBy(F.col("epss").desc_nulls_first(), F.col("cve_id").asc()))
 
@@ -178,7 +185,8 @@ def campaign_mentions(analysis: DataFrame) -> DataFrame:
     return a
 
 
-def campaign_cve_rollups(analysis: DataFrame, cve: DataFrame, epss: DataFrame) -> DataFrame:
+def campaign_cve_rollups(analysis: DataFrame, cve: DataFrame, epss: DataFrame,
+                         latest: DataFrame | None = None) -> DataFrame:
     """Per (campaign, CVE): mentions, distinct items and sources, first/last sighting,
     with CVSS, EPSS, NVD modification time and English description."""
     g = campaign_mentions(analysis).groupBy("campaign_key", "cve_id").agg(
@@ -189,7 +197,7 @@ def campaign_cve_rollups(analysis: DataFrame, cve: DataFrame, epss: DataFrame) -
         F.max("analysed_at").alias("last_seen"))
     n = nvd(cve).select("cve_id", "cvss_base", "epss", F.col("modified").alias("cve_modified"),
                         description_en("json").alias("description_en"))
-    j = g.join(n, "cve_id", "left").join(_latest_scores(epss), "cve_id", "left")
+    j = g.join(n, "cve_id", "left").join(_latest_scores(epss, latest), "cve_id", "left")
     return j.select("campaign_key", "cve_id", "mention_count", "item_count", "source_count", "first_seen",
                     "last_seen", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"), "cve_modified",
                     "description_en")
@@ -210,7 +218,8 @@ def campaign_latest_seen(rollups: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ profile -------
-def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, campaigns: DataFrame) -> DataFrame:
+def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, campaigns: DataFrame,
+               latest: DataFrame | None = None) -> DataFrame:
     """Consolidated CVE profile: NVD record ⟕ newest EPSS ⟕ KEV ⟕ mentions ⟕ campaigns.
 
     ``campaigns`` is any relation with (campaign_key, cve_id) pairs — the campaign
@@ -220,7 +229,7 @@ def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, campaigns:
                         kev_field("json", "dueDate").alias("due_date"),
                         kev_field("json", "requiredAction").alias("required_action"))
     camp = campaigns.groupBy("cve_id").agg(F.countDistinct("campaign_key").alias("campaign_count"))
-    j = (base.join(_latest_scores(epss), "cve_id", "left").join(k, "cve_id", "left")
+    j = (base.join(_latest_scores(epss, latest), "cve_id", "left").join(k, "cve_id", "left")
          .join(_mention_stats(mentions), "cve_id", "left").join(camp, "cve_id", "left"))
     return j.select("cve_id", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"),
                     F.col("latest_percentile").alias("epss_percentile"),

@@ -20,8 +20,9 @@ from threatlake.plans import relations as rel
 def view_plans(tables, as_of, movers_day) -> dict:
     """name -> zero-argument builder of the view's DataFrame."""
     t = tables
+    latest = lambda: getattr(t, "epss_latest", None)  # noqa: E731  maintained table, when stored
     mentions = lambda: rel.cve_mentions(t.analysis)
-    rollups = lambda: rel.campaign_cve_rollups(t.analysis, t.cve_enriched, t.epss_daily)
+    rollups = lambda: rel.campaign_cve_rollups(t.analysis, t.cve_enriched, t.epss_daily, latest())
     return {
         # stored tables
         "epss_daily": lambda: t.epss_daily, "cve_enriched": lambda: t.cve_enriched,
@@ -46,14 +47,15 @@ def view_plans(tables, as_of, movers_day) -> dict:
         "analysis_cve_mentions": mentions,
         "analysis_cve_mentions_v2": lambda: rel.cve_mentions_v2(t.archive, t.analysis),
         "analysis_cve_anomalies": lambda: rel.cve_anomalies(t.analysis),
-        "analysis_cves_enriched": lambda: rel.cves_enriched(mentions(), t.cve_enriched, t.epss_daily),
-        "analysis_cves_enriched_lite": lambda: rel.cves_enriched_lite(mentions(), t.cve_enriched, t.epss_daily),
+        "analysis_cves_enriched": lambda: rel.cves_enriched(mentions(), t.cve_enriched, t.epss_daily, latest()),
+        "analysis_cves_enriched_lite": lambda: rel.cves_enriched_lite(mentions(), t.cve_enriched, t.epss_daily,
+                                                                      latest()),
         "cve_detail": lambda: rel.cve_detail(t.cve_enriched, t.epss_daily, mentions(),
-                                             rel.campaign_mentions(t.analysis)),
-        "nvd_cves_lite": lambda: rel.nvd_cves_lite(t.cve_enriched, t.epss_daily),
+                                             rel.campaign_mentions(t.analysis), latest()),
+        "nvd_cves_lite": lambda: rel.nvd_cves_lite(t.cve_enriched, t.epss_daily, latest()),
         "kev_cves_lite": lambda: rel.kev_cves_lite(t.cve_enriched),
-        "epss_latest": lambda: eps.epss_latest(t.epss_daily),
-        "epss_top_latest": lambda: rel.epss_top_latest(t.epss_daily, t.cve_enriched),
+        "epss_latest": lambda: latest() if latest() is not None else eps.epss_latest(t.epss_daily),
+        "epss_top_latest": lambda: rel.epss_top_latest(t.epss_daily, t.cve_enriched, latest()),
         "epss_movers_24h": lambda: eps.movers_24h(t.epss_daily, movers_day),
         "campaign_cve_rollups": rollups,
         "campaign_summary": lambda: rel.campaign_summary(rollups()),
