@@ -46,6 +46,19 @@ def test_feed_stream(spark, tmp_path):
     assert spark.read.parquet(cur).count() == 5 and spark.read.parquet(arch).count() == 5
 
 
+def test_feed_stream_maps_folders_through_the_registry(spark, tmp_path):
+    from threatlake.sources.registry import registry_from_config
+    landing = tmp_path / "landing"
+    shutil.copytree(os.path.join(FIXTURES, "feeds"), landing)
+    reg = registry_from_config(spark, [{"name": "alpha", "url": "https://alpha.example.net/rss", "feed_type": "rss",
+                                        "tags": ["vendor"]}])
+    cur = str(tmp_path / "current")
+    jobs.feed_ingest(spark, f"{landing}/*/", str(tmp_path / "archive"), cur, now="2024-01-31 00:00:00",
+                     name=_name(), registry=reg).awaitTermination()
+    urls = {r.feed_url for r in spark.read.parquet(cur).select("feed_url").collect()}
+    assert urls == {"https://alpha.example.net/rss", "beta"}
+
+
 def test_feed_stream_stamps_ntz_times_without_fixed_now(spark, tmp_path):
     from threatlake.schemas import FEED_ITEM
     landing = tmp_path / "landing"

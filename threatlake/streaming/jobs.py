@@ -39,10 +39,11 @@ def _start(stream: DataFrame, fn, name: str, spark: SparkSession, trigger: dict
 # ---------------------------------------------------------------- STR1 -------------
 def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_path: str,
                 kind: str = "rss", now=None, trigger: dict | None = None, name: str = "feeds",
-                max_files: int = 100):
+                max_files: int = 100, registry: DataFrame | None = None):
     """Landed feed documents (``landing/<feed>/<file>.xml``) -> ``archive`` (insert-if-
     absent) and ``current`` (upsert, keep-first columns). Rejected rows (no key) are
-    dropped, as the source system logs and skips them."""
+    dropped, as the source system logs and skips them. ``feed_url`` is the feed's URL
+    from ``registry`` (``name`` = landing folder), else the folder name."""
     row_tag, schema = ("entry", feeds.ATOM_ENTRY) if kind == "atom" else ("item", feeds.RSS_ITEM)
     stream = (spark.readStream.format("xml").option("rowTag", row_tag).schema(schema)
               .option("maxFilesPerTrigger", max_files).load(landing)
@@ -57,8 +58,13 @@ def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_pa
         if not files:
             return
         chan = feeds._read_xml(spark, files, "feed" if kind == "atom" else "channel", feeds.CHANNEL)
-        raw = feeds.shape_items(df, chan, kind)
-        items = feeds.normalise_items(raw, feeds.feed_key_from_path(), now if now is not None else F.current_timestamp())
+        raw = feeds.shape_items(df, chan, kind).withColumn("_feed", feeds.feed_key_from_path())
+        if registry is not None:
+            raw = raw.join(registry.select(F.col("name").alias("_feed"), F.col("url").alias("_url")), "_feed", "left")
+            url = F.coalesce(F.col("_url"), F.col("_feed"))
+        else:
+            url = F.col("_feed")
+        items = feeds.normalise_items(raw, url, now if now is not None else F.current_timestamp())
         valid = items.where("_valid").select(*cols, "_seq")
         valid = valid.checkpoint(eager=True)  # one parse per batch, stable _seq for both writes
         archive.insert_new(valid, ["_seq"])
