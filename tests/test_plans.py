@@ -54,3 +54,40 @@ def test_source_is_a_partition_filter_and_columns_are_pruned(stored):
     assert "(source#" in plan and "= NVD)" in plan
     nvd_scan = [b for b in plan.split("\n(") if "cve_enriched" in b and "= NVD)" in b][0]
     assert "json" not in nvd_scan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def _groups(args: str) -> list[str]:
+    """Top-level ``[...]`` groups of a formatted ``Arguments:`` line."""
+    out, depth, cur = [], 0, ""
+    for ch in args:
+        if ch == "[":
+            depth += 1
+        if depth > 0:
+            cur += ch
+        if ch == "]":
+            depth -= 1
+            if depth == 0:
+                out.append(cur)
+                cur = ""
+    return out
+
+
+def unpartitioned_windows(plan: str) -> int:
+    n = 0
+    for blk in plan.split("\n("):
+        if blk.split(")")[0].isdigit() and blk.split("\n")[0].endswith(") Window"):
+            g = _groups(blk.split("Arguments:")[1].split("\n")[0])
+            if len(g) == 1 or (len(g) == 2 and (" ASC " in g[1] or " DESC " in g[1])):
+                n += 1
+    return n
+
+
+# Windows without a partition key, allowed only where they see aggregated rows: five risk
+# bands, one row per feed, one row per day.
+UNPARTITIONED_WINDOW_QUERIES = {"epss_risk_pyramid", "feed_top_feeds", "epss_universe_growth"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
+def test_unpartitioned_windows_only_over_aggregates(spark, name):
+    n = unpartitioned_windows(_plan(QUERIES[name](spark, SF001)))
+    assert (n > 0) == (name in UNPARTITIONED_WINDOW_QUERIES), (name, n)

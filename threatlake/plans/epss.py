@@ -38,7 +38,8 @@ def risk_pyramid(epss: DataFrame, day=None) -> DataFrame:
     s = latest_snapshot(epss) if day is None else snapshot(epss, day)
     g = s.groupBy(epss_risk_band("epss").alias("band")).agg(F.count(F.lit(1)).alias("cves"))
     # At most five rows reach this window: the share needs no global sort of the data.
-    total = F.sum("cves").over(Window.partitionBy())
+    g = g.withColumn("_total", F.sum("cves").over(Window.partitionBy()))
+    total = F.col("_total")
     edge = F.lit(None).cast("decimal(6,5)")
     for e, label in RISK_BANDS:
         edge = F.when(F.col("band") == label, F.lit(e).cast("decimal(6,5)")).otherwise(edge)
@@ -175,7 +176,8 @@ def top_feeds(archive: DataFrame, limit: int | None = None) -> DataFrame:
     """Articles per feed and share of all articles."""
     g = archive.groupBy(F.col("feed_title").alias("feed")).agg(F.count(F.lit(1)).alias("articles"))
     # One row per feed reaches the window: bounded by the feed registry, not the items.
-    total = F.sum("articles").over(Window.partitionBy())
+    g = g.withColumn("_total", F.sum("articles").over(Window.partitionBy()))
+    total = F.col("_total")
     out = (g.select("feed", "articles", half_up_pct("articles", total).alias("share_pct"))
             .orderBy(F.col("articles").desc(), F.col("feed").asc()))
     return out.limit(limit) if limit else out
