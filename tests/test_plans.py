@@ -91,3 +91,15 @@ UNPARTITIONED_WINDOW_QUERIES = {"epss_risk_pyramid", "feed_top_feeds", "epss_uni
 def test_unpartitioned_windows_only_over_aggregates(spark, name):
     n = unpartitioned_windows(_plan(QUERIES[name](spark, SF001)))
     assert (n > 0) == (name in UNPARTITIONED_WINDOW_QUERIES), (name, n)
+
+
+# Collections built by aggregation, allowed only for bounded groups: the <= 50 alert rows
+# of one detection, and the languages of one feed.
+COLLECTING_QUERIES = {"alert_generic_payload", "alert_chat_payload", "src_feed_registry_volume"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
+def test_collections_only_for_bounded_groups(spark, name):
+    plan = _plan(QUERIES[name](spark, SF001))
+    collects = "collect_list(" in plan or "collect_set(" in plan
+    assert collects == (name in COLLECTING_QUERIES), name
