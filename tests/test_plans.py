@@ -23,14 +23,6 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
-def test_no_cross_join_and_no_python_in_plan(spark, name):
-    plan = _plan(QUERIES[name](spark, SF001))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-    if name not in PYTHON_UDF_QUERIES:
-        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
-
-
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("layout"))
@@ -87,10 +79,6 @@ def unpartitioned_windows(plan: str) -> int:
 UNPARTITIONED_WINDOW_QUERIES = {"epss_risk_pyramid", "feed_top_feeds", "epss_universe_growth"}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
-def test_unpartitioned_windows_only_over_aggregates(spark, name):
-    n = unpartitioned_windows(_plan(QUERIES[name](spark, SF001)))
-    assert (n > 0) == (name in UNPARTITIONED_WINDOW_QUERIES), (name, n)
 
 
 # Collections built by aggregation, allowed only for bounded groups: the <= 50 alert rows
@@ -99,7 +87,13 @@ COLLECTING_QUERIES = {"alert_generic_payload", "alert_chat_payload", "src_feed_r
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
-def test_collections_only_for_bounded_groups(spark, name):
+def test_plan_rules(spark, name):
+    """No cross / nested-loop joins; no Python outside the opt-in UDF; unpartitioned
+    windows and aggregate collections only where their input is bounded."""
     plan = _plan(QUERIES[name](spark, SF001))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    if name not in PYTHON_UDF_QUERIES:
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+    assert (unpartitioned_windows(plan) > 0) == (name in UNPARTITIONED_WINDOW_QUERIES), name
     collects = "collect_list(" in plan or "collect_set(" in plan
     assert collects == (name in COLLECTING_QUERIES), name
