@@ -6,7 +6,9 @@ Runs the headline queries over the tables in ``$BENCH_SF_DIR`` (default
 
 Each query is executed in full (``noop`` sink: every row is produced, nothing is
 collected to the driver); the reported time per query is the best of ``$BENCH_RUNS``
-(default 2) runs, after one untimed warm-up of the session.
+(default 2) runs, after one untimed warm-up of the session. Extra keys: the same plans
+over the stored layout (``stored_layout_*``, ``BENCH_STORED=0`` skips) and the streaming
+EPSS load (``ingest_epss_*``, ``BENCH_INGEST=0`` skips).
 """
 
 from __future__ import annotations
@@ -65,6 +67,29 @@ def _stored_layout(spark, sf_dir: str, runs: int) -> dict:
             "stored_layout_write_sec": round(materialise, 4)}
 
 
+def _ingest(spark, sf_dir: str) -> dict:
+    """Streaming EPSS load: pages landed from the sf tables (untimed), then the staged,
+    completeness-gated, partition-overwriting loader timed end to end."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from threatlake.session import scratch_path
+    from threatlake.sources.bindings import Tables
+    from threatlake.sources.landing import write_epss_pages
+    from threatlake.streaming import jobs
+    root = scratch_path(spark, f"bench-ingest-{uuid.uuid4().hex[:12]}")
+    epss = Tables(spark, sf_dir).epss_daily
+    write_epss_pages(epss, f"{root}/landing", F.substr("cve_id", F.lit(10)).cast("long"))
+    rows = epss.count()
+    t0 = time.perf_counter()
+    jobs.epss_ingest(spark, f"{root}/landing/*/", f"{root}/staging", f"{root}/epss_daily",
+                     latest_path=f"{root}/epss_latest", manifest_path=f"{root}/manifest",
+                     name=f"bench-{uuid.uuid4().hex[:12]}").awaitTermination()
+    dt = time.perf_counter() - t0
+    return {"ingest_epss_rows": rows, "ingest_epss_sec": round(dt, 4), "ingest_epss_rows_per_sec": round(rows / dt)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -89,6 +114,8 @@ def main() -> None:
            "queries": times, "sf": float(m.group(1)) if m else sf_dir}
     if os.environ.get("BENCH_STORED", "1") == "1":
         out.update(_stored_layout(spark, sf_dir, runs))
+    if os.environ.get("BENCH_INGEST", "1") == "1":
+        out.update(_ingest(spark, sf_dir))
     print(json.dumps(out))
     spark.stop()
 
