@@ -127,3 +127,24 @@ def test_optional_length_caps(spark):
     capped = feeds.normalise_items(raw, feeds.feed_key_from_path(), NOW, max_summary_chars=5, max_content_chars=7)
     r = capped.where(F.col("guid") == "alpha-0001").first()
     assert r.summary == "Firmw" and r.content == "<p>Full"
+
+
+def test_atom_elements_with_attributes(spark):
+    raw = feeds.read_feed_items(spark, os.path.join(FIXTURES, "atom_attrs", "*", "*.xml"), kind="atom")
+    rows = {r.guid: r for r in feeds.normalise_items(raw, "eps", NOW).collect()}
+    e1 = rows["urn:eps:1"]
+    assert e1.link == "https://eps.example.org/1"  # the alternate link, not the enclosure
+    assert str(e1.published) == "2024-01-29 07:00:00"  # +01:00 converted to UTC; updated stands in
+    assert e1.content == "<p>Long body</p>" and e1.summary == "<p>Short</p>" and e1.author == "E. One"
+    assert e1.feed_title == "Epsilon Labs"
+    assert rows["urn:eps:2"].content == "plain text" and rows["urn:eps:2"].summary == ""
+
+
+def test_rdf_items(spark):
+    raw = feeds.read_feed_items(spark, os.path.join(FIXTURES, "rdf", "*", "*.rdf"))
+    rows = {r.guid: r for r in feeds.normalise_items(raw, feeds.feed_key_from_path(), NOW).collect()}
+    # RSS 1.0 items carry no guid: the link is the key; dates and authors come from Dublin Core
+    n1 = rows["https://zeta.example.net/n/1"]
+    assert str(n1.published) == "2024-01-28 06:30:00" and n1.author == "Zeta CERT" and n1.feed_url == "zeta"
+    assert str(rows["https://zeta.example.net/n/2"].published) == "2024-01-29 04:30:00"
+    assert n1.feed_title == "Zeta Notices" and n1.feed_language == "de"

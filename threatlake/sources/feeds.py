@@ -35,7 +35,8 @@ ATOM_ENTRY = T.StructType([
 
 CHANNEL = T.StructType([
     T.StructField("title", S), T.StructField("description", S), T.StructField("language", S),
-    T.StructField("subtitle", S), T.StructField("updated", S), T.StructField("lastBuildDate", S),
+    T.StructField("dc:language", S), T.StructField("subtitle", S), T.StructField("updated", S),
+    T.StructField("lastBuildDate", S), T.StructField("dc:date", S),
 ])
 
 
@@ -91,7 +92,8 @@ def shape_items(raw: DataFrame, chan: DataFrame, kind: str = "rss") -> DataFrame
             F.coalesce("author", "dc:creator").alias("author"),
             F.col("category").alias("categories"))
         ch = chan.select("_file", F.col("title").alias("feed_title"), F.col("description").alias("feed_description"),
-                         F.col("language").alias("feed_language"), F.col("lastBuildDate").alias("feed_updated_text"))
+                         F.coalesce("language", "dc:language").alias("feed_language"),
+                         F.coalesce("lastBuildDate", "dc:date").alias("feed_updated_text"))
     # One channel row per document: the right side is bounded by the number of files.
     return items.join(ch, "_file", "left")
 
