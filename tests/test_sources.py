@@ -148,3 +148,12 @@ def test_rdf_items(spark):
     assert str(n1.published) == "2024-01-28 06:30:00" and n1.author == "Zeta CERT" and n1.feed_url == "zeta"
     assert str(rows["https://zeta.example.net/n/2"].published) == "2024-01-29 04:30:00"
     assert n1.feed_title == "Zeta Notices" and n1.feed_language == "de"
+
+
+def test_nvd_rows_selected_by_publication_windows(spark):
+    from threatlake.functions.json_fields import cve_published
+    rows = cve_files.read_nvd_pages(spark, os.path.join(FIXTURES, "nvd"), NOW).withColumn("published", cve_published("json"))
+    sel = windows.select_windowed(rows, "published", "2023-12-01T00:00:00Z", "2024-05-01 00:00:00")
+    got = {r.cve_id: (str(r.w_start), str(r.w_end)) for r in sel.collect()}
+    # only CVE-2024-10002 (published 2024-03-15) falls in [cursor, now): first 120-day window
+    assert got == {"CVE-2024-10002": ("2023-12-01 00:00:00", "2024-03-30 00:00:00")}

@@ -54,6 +54,12 @@ def json_array_size(json_col) -> Column:
     return F.coalesce(F.json_array_length(col_of(json_col)), F.lit(0))
 
 
+def cve_published(json_col) -> Column:
+    """Publication time of an NVD CVE object (``$.published``, zone-less UTC) — the column
+    the incremental selection windows run on."""
+    return F.try_to_timestamp(F.get_json_object(col_of(json_col), "$.published")).cast("timestamp_ntz")
+
+
 def parse_rfc3339(ts_text, fallback) -> Column:
     """RFC 3339 / ISO text to a UTC TIMESTAMP_NTZ; zone-less text is read as UTC;
     unparseable -> ``fallback``."""
