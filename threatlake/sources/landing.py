@@ -15,7 +15,7 @@ from threatlake.schemas import KEV_FIELDS
 PAGE_SIZE = 2000
 
 
-def write_feed_xml(items: DataFrame, path: str) -> None:
+def write_feed_xml(items: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
     """Feed items -> Atom documents ``path/feed_url=<feed>/part-*.xml`` (``<feed>`` root,
     one ``<entry>`` per item: id, title, link href, published, summary, content,
     category terms)."""
@@ -25,8 +25,11 @@ def write_feed_xml(items: DataFrame, path: str) -> None:
         F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published"),
         "summary", "content",
         F.transform("categories", lambda c: F.struct(c.alias("_term"))).alias("category"))
+    # documents are capped at ``page_size`` entries, so a feed holding a third of all items
+    # still lands as many bounded documents, like a real feed's successive fetches
     (atom.repartition("feed_url").write.mode("overwrite").format("xml")
-     .option("rootTag", "feed").option("rowTag", "entry").partitionBy("feed_url").save(path))
+     .option("rootTag", "feed").option("rowTag", "entry").option("maxRecordsPerFile", page_size)
+     .partitionBy("feed_url").save(path))
 
 
 def write_nvd_pages(cve: DataFrame, path: str, key, page_size: int = PAGE_SIZE) -> None:
