@@ -141,7 +141,7 @@ def test_atom_elements_with_attributes(spark):
 
 
 def test_rdf_items(spark):
-    raw = feeds.read_feed_items(spark, os.path.join(FIXTURES, "rdf", "*", "*.rdf"))
+    raw = feeds.read_feed_items(spark, os.path.join(FIXTURES, "rdf", "*", "*.rdf"), kind="rdf")
     rows = {r.guid: r for r in feeds.normalise_items(raw, feeds.feed_key_from_path(), NOW).collect()}
     # RSS 1.0 items carry no guid: the link is the key; dates and authors come from Dublin Core
     n1 = rows["https://zeta.example.net/n/1"]

@@ -1,9 +1,10 @@
 """Landed RSS / RDF / Atom documents -> feed-item rows.
 
-Parsing is Spark's XML source (one row per ``item`` / ``entry``; the channel's title,
-description and language come from a second read with ``rowTag=channel`` and are joined
-back on the file path). Normalisation (key resolution, content / timestamp fallbacks,
-sanitising, defaults) is a single projection of Column expressions.
+Parsing is Spark's XML source with one row per document (``channel`` / ``feed`` /
+``rdf:RDF``) whose items arrive as an array: one parse per document, no join back to
+the channel, and ``posexplode`` keeps each item's position. Normalisation (key
+resolution, content / timestamp fallbacks, sanitising, defaults) is a single projection
+of Column expressions.
 """
 
 from __future__ import annotations
@@ -50,52 +51,65 @@ def parse_feed_time(text) -> "F.Column":
     return F.coalesce(*candidates).cast("timestamp_ntz")
 
 
-def _read_xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "false")
-            .option("valueTag", "_VALUE").schema(schema).load(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
+RSS_DOC = T.StructType(list(CHANNEL.fields) + [T.StructField("item", T.ArrayType(RSS_ITEM))])
+ATOM_DOC = T.StructType(list(CHANNEL.fields) + [T.StructField("entry", T.ArrayType(ATOM_ENTRY))])
+RDF_DOC = T.StructType([T.StructField("channel", CHANNEL), T.StructField("item", T.ArrayType(RSS_ITEM))])
+# kind -> (row tag of one document, document schema)
+DOCUMENTS = {"rss": ("channel", RSS_DOC), "atom": ("feed", ATOM_DOC), "rdf": ("rdf:RDF", RDF_DOC)}
 
 
-def read_feed_items(spark: SparkSession, path, kind: str = "rss") -> DataFrame:
-    """Raw items of RSS/RDF (``kind='rss'``) or Atom (``kind='atom'``) documents in a
-    common shape, with the channel attributes of their document attached."""
-    if kind == "atom":
-        raw = _read_xml(spark, path, "entry", ATOM_ENTRY)
-        chan = _read_xml(spark, path, "feed", CHANNEL)
-    else:
-        raw = _read_xml(spark, path, "item", RSS_ITEM)
-        chan = _read_xml(spark, path, "channel", CHANNEL)
-    return shape_items(raw, chan, kind)
+def with_file_columns(df: DataFrame) -> DataFrame:
+    return (df.withColumn("_file", F.col("_metadata.file_path"))
+              .withColumn("_mtime", F.col("_metadata.file_modification_time").cast("timestamp_ntz")))
+
+
+def read_feed_documents(spark: SparkSession, path, kind: str = "rss") -> DataFrame:
+    """One row per landed document (RSS 2.0 ``channel``, Atom ``feed``, RSS 1.0
+    ``rdf:RDF``) with its items as an array — a single parse per document."""
+    tag, schema = DOCUMENTS[kind]
+    return with_file_columns(spark.read.format("xml").option("rowTag", tag).schema(schema).load(path))
 
 
-def shape_items(raw: DataFrame, chan: DataFrame, kind: str = "rss") -> DataFrame:
-    """Parsed item/entry rows (with ``_file``) + parsed channel rows -> common item shape.
-    Works on a static DataFrame and on a micro-batch of a stream."""
-    extra = [c for c in ("_seq",) if c in raw.columns]
+def document_items(docs: DataFrame, kind: str = "rss") -> DataFrame:
+    """Documents -> one row per item in a common shape, with the channel's attributes
+    and the item's position in its document (``_pos``: items are processed in document
+    order). Works on a static DataFrame and on a micro-batch of a stream."""
+    ch = (lambda c: F.col("channel")[c]) if kind == "rdf" else (lambda c: F.col(c))
     if kind == "atom":
-        items = raw.select(
-            "_file", *extra, "title",
-            F.get(F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate"), 0)["_href"]
+        feed_cols = [ch("title").alias("feed_title"), ch("subtitle").alias("feed_description"),
+                     ch("language").alias("feed_language"), ch("updated").alias("feed_updated_text")]
+        items = "entry"
+    else:
+        feed_cols = [ch("title").alias("feed_title"), ch("description").alias("feed_description"),
+                     F.coalesce(ch("language"), ch("dc:language")).alias("feed_language"),
+                     F.coalesce(ch("lastBuildDate"), ch("dc:date")).alias("feed_updated_text")]
+        items = "item"
+    x = docs.select("_file", "_mtime", *feed_cols, F.posexplode(items).alias("_pos", "it"))
+    it = F.col("it")
+    if kind == "atom":
+        fields = [
+            it["title"].alias("title"),
+            F.get(F.filter(it["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate"), 0)["_href"]
             .alias("link"),
-            F.col("id").alias("guid"), F.col("published").alias("published_text"),
-            F.col("updated").alias("updated_text"), F.col("summary").alias("description"),
-            F.col("content").alias("content"), F.get(F.col("author"), 0)["name"].alias("author"),
-            F.transform("category", lambda c: c["_term"]).alias("categories"))
-        ch = chan.select("_file", F.col("title").alias("feed_title"), F.col("subtitle").alias("feed_description"),
-                         F.col("language").alias("feed_language"), F.col("updated").alias("feed_updated_text"))
+            it["id"].alias("guid"), it["published"].alias("published_text"), it["updated"].alias("updated_text"),
+            it["summary"].alias("description"), it["content"].alias("content"),
+            F.get(it["author"], 0)["name"].alias("author"),
+            F.transform(it["category"], lambda c: c["_term"]).alias("categories")]
     else:
-        items = raw.select(
-            "_file", *extra, "title", "link", "guid",
-            F.coalesce("pubDate", "dc:date").alias("published_text"),
+        fields = [
+            it["title"].alias("title"), it["link"].alias("link"), it["guid"].alias("guid"),
+            F.coalesce(it["pubDate"], it["dc:date"]).alias("published_text"),
             F.lit(None).cast("string").alias("updated_text"),
-            "description", F.col("content:encoded").alias("content"),
-            F.coalesce("author", "dc:creator").alias("author"),
-            F.col("category").alias("categories"))
-        ch = chan.select("_file", F.col("title").alias("feed_title"), F.col("description").alias("feed_description"),
-                         F.coalesce("language", "dc:language").alias("feed_language"),
-                         F.coalesce("lastBuildDate", "dc:date").alias("feed_updated_text"))
-    # One channel row per document: the right side is bounded by the number of files.
-    return items.join(ch, "_file", "left")
+            it["description"].alias("description"), it["content:encoded"].alias("content"),
+            F.coalesce(it["author"], it["dc:creator"]).alias("author"), it["category"].alias("categories")]
+    return x.select("_file", "_mtime", "_pos", *fields, "feed_title", "feed_description", "feed_language",
+                    "feed_updated_text")
+
+
+def read_feed_items(spark: SparkSession, path, kind: str = "rss") -> DataFrame:
+    """Items of landed RSS 2.0 (``kind='rss'``), RSS 1.0 (``'rdf'``) or Atom (``'atom'``)
+    documents in a common shape, with their document's channel attributes."""
+    return document_items(read_feed_documents(spark, path, kind), kind)
 
 
 def normalise_items(raw: DataFrame, feed_url, now, max_summary_chars: int | None = None,
@@ -134,7 +148,7 @@ def normalise_items(raw: DataFrame, feed_url, now, max_summary_chars: int | None
         now_c.alias("inserted_at"),
         guid.isNotNull().alias("_valid"),
         empty_content(content, summary).alias("_empty"),
-        *[c for c in ("_seq",) if c in raw.columns],
+        *[c for c in ("_file", "_mtime", "_pos") if c in raw.columns],
     )
 
 

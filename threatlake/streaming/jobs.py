@@ -44,31 +44,26 @@ def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_pa
     absent) and ``current`` (upsert, keep-first columns). Rejected rows (no key) are
     dropped, as the source system logs and skips them. ``feed_url`` is the feed's URL
     from ``registry`` (``name`` = landing folder), else the folder name."""
-    row_tag, schema = ("entry", feeds.ATOM_ENTRY) if kind == "atom" else ("item", feeds.RSS_ITEM)
-    stream = (spark.readStream.format("xml").option("rowTag", row_tag).schema(schema)
-              .option("maxFilesPerTrigger", max_files).load(landing)
-              .withColumn("_file", F.col("_metadata.file_path")))
+    tag, schema = feeds.DOCUMENTS[kind]
+    stream = feeds.with_file_columns(
+        spark.readStream.format("xml").option("rowTag", tag).schema(schema)
+        .option("maxFilesPerTrigger", max_files).load(landing))
     cols = [f.name for f in FEED_ITEM.fields]
     archive = KeyedTable(spark, archive_path, FEED_ITEM_KEY, cols)
     current = KeyedTable(spark, current_path, FEED_ITEM_KEY, cols)
+    order = ["_mtime", "_file", "_pos"]  # later fetches win; document order within a fetch
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.withColumn("_seq", F.monotonically_increasing_id())
-        files = [r[0] for r in df.select("_file").distinct().collect()]  # bounded by maxFilesPerTrigger
-        if not files:
-            return
-        chan = feeds._read_xml(spark, files, "feed" if kind == "atom" else "channel", feeds.CHANNEL)
-        raw = feeds.shape_items(df, chan, kind).withColumn("_feed", feeds.feed_key_from_path())
+        raw = feeds.document_items(df, kind).withColumn("_feed", feeds.feed_key_from_path())
         if registry is not None:
             raw = raw.join(registry.select(F.col("name").alias("_feed"), F.col("url").alias("_url")), "_feed", "left")
             url = F.coalesce(F.col("_url"), F.col("_feed"))
         else:
             url = F.col("_feed")
         items = feeds.normalise_items(raw, url, now if now is not None else F.current_timestamp())
-        valid = items.where("_valid").select(*cols, "_seq")
-        valid = valid.checkpoint(eager=True)  # one parse per batch, stable _seq for both writes
-        archive.insert_new(valid, ["_seq"])
-        current.upsert(valid, ["_seq"], FEED_ITEM_KEEP_FIRST)
+        valid = items.where("_valid").select(*cols, *order).checkpoint(eager=True)  # one parse per batch
+        archive.insert_new(valid, order)
+        current.upsert(valid, order, FEED_ITEM_KEEP_FIRST)
 
     return _start(stream, batch, name, spark, trigger)
 
