@@ -160,3 +160,24 @@ def test_epss_stream_alerts_once_per_day(spark, tmp_path):
     # a replay that lost the cursor write (crash between the two writes) sends nothing twice
     jobs._alert_after_load(spark, epss, cve, alerts, str(tmp_path / "lost-state"), "2024-01-31 00:00:00")
     assert spark.read.parquet(alerts).count() == 1
+
+
+DUP = """<?xml version="1.0" encoding="UTF-8"?>
+<rss version="2.0"><channel><title>Dup Feed</title>
+<item><title>first version</title><link>https://d.example.net/1</link><guid>d-1</guid></item>
+<item><title>other</title><link>https://d.example.net/2</link><guid>d-2</guid></item>
+<item><title>second version</title><link>https://d.example.net/1</link><guid>d-1</guid></item>
+</channel></rss>"""
+
+
+def test_document_order_within_one_fetch(spark, tmp_path):
+    landing = tmp_path / "landing" / "dup"
+    landing.mkdir(parents=True)
+    (landing / "f.xml").write_text(DUP)
+    arch, cur = str(tmp_path / "archive"), str(tmp_path / "current")
+    jobs.feed_ingest(spark, f"{tmp_path}/landing/*/", arch, cur, now="2024-01-31 00:00:00",
+                     name=_name()).awaitTermination()
+    a = {r.guid: r.title for r in spark.read.parquet(arch).collect()}
+    c = {r.guid: r.title for r in spark.read.parquet(cur).collect()}
+    assert a == {"d-1": "first version", "d-2": "other"}
+    assert c == {"d-1": "second version", "d-2": "other"}
