@@ -54,3 +54,19 @@ def test_since_column_matches_parse_since(spark):
     df = spark.createDataFrame([(s,) for s in specs], "s string")
     got = [str(r[0]) for r in df.select(tri.since_column("s", now)).collect()]
     assert got == [tri.parse_since(s, now) for s in specs]
+
+
+def test_materialized_refresh_publishes_new_versions(spark, tmp_path):
+    import pytest
+
+    from threatlake.plans import materialized as mv
+    t = Tables(spark, SF001)
+    root = str(tmp_path / "mv")
+    with pytest.raises(LookupError):
+        mv.read(spark, root, "analysis_cve_mentions")
+    first = mv.refresh(spark, t, root, ["analysis_cve_mentions"])["analysis_cve_mentions"]
+    second = mv.refresh(spark, t, root, ["analysis_cve_mentions"])["analysis_cve_mentions"]
+    assert first != second
+    got = mv.read(spark, root, "analysis_cve_mentions")
+    assert got.inputFiles()[0].startswith("file:" + second) or second in got.inputFiles()[0]
+    assert got.count() == rel.cve_mentions(t.analysis).count()
