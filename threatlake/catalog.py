@@ -557,3 +557,5 @@ def _materialized(name):
 
 for _name in sorted(mv.MATERIALIZED):
     register(f"mv_{_name}")(_materialized(_name))
+register("cli_campaign_latest_active")(
+    lambda t: tri.campaign_latest(rel.campaign_latest_seen(_rollups(t)), kind="active_exploitation", limit=20))
