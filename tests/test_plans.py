@@ -98,3 +98,10 @@ def test_plan_rules(spark, name):
     assert (unpartitioned_windows(plan) > 0) == (name in UNPARTITIONED_WINDOW_QUERIES), name
     collects = "collect_list(" in plan or "collect_set(" in plan
     assert collects == (name in COLLECTING_QUERIES), name
+
+
+@pytest.mark.parametrize("name,agg", [("sink_current_upsert", "partial_max_by"), ("sink_archive_table", "partial_min_by"),
+                                      ("epss_latest_per_cve", "partial_max_by"), ("alert_sleepers", "partial_min_by")])
+def test_version_picks_aggregate_partially(spark, name, agg):
+    # first/last version per key is combined map-side: a hot key is reduced before the shuffle
+    assert agg in _plan(QUERIES[name](spark, SF001))
