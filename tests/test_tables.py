@@ -105,3 +105,11 @@ def test_upsert_with_a_hot_key(spark):
     assert len(hot) == 1 and hot[0].n == 599 and hot[0].val == "v0"
     assert cur.count() == 1201
     assert tbl.append_new(b.where(F.lit(False)), b, KEYS, ["n"]).where("guid = 'hot'").first().n == 0
+
+
+def test_change_summary_counts_empty_content(spark):
+    b = spark.createDataFrame([("g1", "f", 1, "", None), ("g2", "f", 2, "x", ""), (None, "f", 3, "", ""),
+                               ("g3", "f", 4, None, "")], "guid string, feed_url string, n int, content string, summary string")
+    existing = spark.createDataFrame([], "guid string, feed_url string")
+    r = tbl.change_summary(tbl.classify_changes(existing, b, KEYS, ["n"])).first()
+    assert (r.processed, r.new, r.updated, r.failed, r.empty_content) == (4, 3, 0, 1, 2)

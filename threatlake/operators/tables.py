@@ -82,13 +82,16 @@ def classify_changes(existing_archive: DataFrame, batch: DataFrame, keys, order)
 
 
 def change_summary(classified: DataFrame, group_col: str = "feed_url") -> DataFrame:
-    """Per group: processed, new, updated, failed."""
-    return (classified.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("change") == "new").alias("new"),
-        F.count_if(F.col("change") == "updated").alias("updated"),
-        F.count_if(F.col("change") == "failed").alias("failed"))
-        .orderBy(group_col))
+    """Per group: processed, new, updated, failed (and, when the rows carry content and
+    summary, the stored items whose both are empty)."""
+    aggs = [F.count(F.lit(1)).alias("processed"),
+            F.count_if(F.col("change") == "new").alias("new"),
+            F.count_if(F.col("change") == "updated").alias("updated"),
+            F.count_if(F.col("change") == "failed").alias("failed")]
+    if {"content", "summary"} <= set(classified.columns):
+        empty = (F.coalesce(F.col("content"), F.lit("")) == "") & (F.coalesce(F.col("summary"), F.lit("")) == "")
+        aggs.append(F.count_if(empty & (F.col("change") != "failed")).alias("empty_content"))
+    return classified.groupBy(group_col).agg(*aggs).orderBy(group_col)
 
 
 # -------------------------------------------------------------- snapshots ---------
