@@ -181,3 +181,19 @@ def test_document_order_within_one_fetch(spark, tmp_path):
     c = {r.guid: r.title for r in spark.read.parquet(cur).collect()}
     assert a == {"d-1": "first version", "d-2": "other"}
     assert c == {"d-1": "second version", "d-2": "other"}
+
+
+def test_keyed_upsert_rewrites_only_changed_buckets(spark, tmp_path):
+    from threatlake.operators.storage import KeyedTable
+    t = Tables(spark, SF001)
+    v = t.item_versions
+    table = KeyedTable(spark, str(tmp_path / "cur"), ["guid", "feed_url"], buckets=16)
+    assert table.upsert(v, ["published", "event_id"]) > 0
+    before = sorted(spark.read.parquet(str(tmp_path / "cur")).inputFiles())
+    assert table.upsert(v, ["published", "event_id"]) == 0  # same batch again: nothing changes
+    assert sorted(spark.read.parquet(str(tmp_path / "cur")).inputFiles()) == before
+    one = v.where("guid = 'u3' AND feed_url = 'view'").withColumn("title", F.lit("edited")) \
+        .withColumn("published", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    assert table.upsert(one, ["published", "event_id"]) == 1  # one key -> one bucket rewritten
+    got = table.table().where("guid = 'u3' AND feed_url = 'view'").collect()
+    assert len(got) == 1 and got[0].title == "edited"

@@ -74,11 +74,21 @@ class KeyedTable:
             new.repartitionByRange(BUCKET, *self.keys).write.mode("append").partitionBy(BUCKET).parquet(self.path)
         return n
 
-    def upsert(self, batch: DataFrame, order, keep_first=()) -> None:
-        """Last version wins for all columns but ``keep_first`` (first version kept)."""
+    def upsert(self, batch: DataFrame, order, keep_first=()) -> int:
+        """Last version wins for all columns but ``keep_first`` (first version kept).
+
+        Only buckets whose merged rows differ from the stored ones are rewritten: a feed
+        poll that returns mostly unchanged items reads its buckets but writes only where
+        something changed. Returns the number of buckets rewritten."""
         b, touched = self._touched(batch)
         if not touched:
-            return
+            return 0
         stored = self._stored(touched, b)
-        merged = upsert_latest(stored, b, self.keys, order, keep_first)
-        self._write(merged, "overwrite")
+        checkpoint_dir(self.spark)
+        merged = upsert_latest(stored, b, self.keys, order, keep_first).checkpoint(eager=True)
+        # set difference (null-safe): merged rows not stored identically
+        changed = [r[0] for r in merged.subtract(stored).select(BUCKET).distinct().collect()]  # <= buckets ints
+        if not changed:
+            return 0
+        self._write(merged.where(F.col(BUCKET).isin(changed)), "overwrite")
+        return len(changed)
