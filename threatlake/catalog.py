@@ -314,8 +314,11 @@ register("src_windowed_counts")(_windowed_counts)
 
 
 def _epss_page_stats(t):
+    """Page statistics of each day's download: pages ordered by score (page 0 = the top
+    quartile by percentile), with the lowest-score page missing on days 7, 14, 21, 28 —
+    a short page set that must not count as complete."""
     e = t.epss_daily
-    page = F.substr("cve_id", F.lit(-1), F.lit(1)).cast("int") % 4
+    page = F.least(F.floor((F.lit(1.0) - F.col("percentile")) * 4), F.lit(3)).cast("int")
     pages = e.select("as_of", page.alias("page")).where(~((F.dayofmonth("as_of") % 7 == 0) & (F.col("page") == 3)))
     totals = e.groupBy("as_of").agg(F.count(F.lit(1)).alias("total"))
     return pages.groupBy("as_of", "page").agg(F.count(F.lit(1)).alias("rows")).join(totals, "as_of")
@@ -527,10 +530,11 @@ register("row_strict_sanitized_pages")(lambda t: t.raw_docs.select(
 
 
 def _epss_sparse(t):
-    """The snapshot table without the 2024-01-23 scores of CVEs whose id ends in 1, 3 or 5
-    (a partial day), so global-day and per-CVE baselines differ."""
+    """The snapshot table with a short page set on 2024-01-23: the download stopped before
+    the low-score tail (scores under 0.05 missing that day), so global-day and per-CVE
+    baselines differ."""
     e = t.epss_daily
-    return e.where(~((F.dayofmonth("as_of") == 23) & (F.substr("cve_id", F.lit(-1), F.lit(1)).isin("1", "3", "5"))))
+    return e.where(~((F.col("as_of") == F.lit("2024-01-23").cast("date")) & (F.col("epss") < F.lit(0.05))))
 
 
 register("alert_sleepers_asof_per_cve")(
