@@ -78,12 +78,14 @@ def test_epss_stream_waits_for_complete_page_sets(spark, tmp_path):
                                    latest_path=latest).awaitTermination()
     run()
     assert spark.read.parquet(epss).count() == 3
+    assert not os.path.exists(stage)  # a complete day never touches staging
     (landing / "day2").mkdir()
     (landing / "day2" / "p0.json").write_text(
         '{"status":"OK","total":2,"offset":0,"limit":1,"data":[{"cve":"CVE-2024-10001","epss":"0.5",'
         '"percentile":"0.9","date":"2024-01-31"}]}')
     run()
     assert spark.read.parquet(epss).count() == 3  # short page set: not loaded
+    assert spark.read.parquet(stage).count() == 1  # ... and its page waits in staging
     (landing / "day2" / "p1.json").write_text(
         '{"status":"OK","total":2,"offset":1,"limit":1,"data":[{"cve":"CVE-2024-10009","epss":"0.1",'
         '"percentile":"0.5","date":"2024-01-31"}]}')

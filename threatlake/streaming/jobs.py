@@ -75,9 +75,11 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
                 max_files: int = 1000, manifest_path: str | None = None):
     """Landed EPSS pages (``landing/<snapshot>/<page>.json``) -> ``epss_daily``.
 
-    Pages are staged first (a snapshot's pages may arrive over several micro-batches);
-    a snapshot is loaded only when its staged page set is complete (rows >= declared
-    total), only if its day is not loaded yet, and as one partition overwrite. After a
+    A snapshot's pages may arrive over several micro-batches: pages of snapshots that are
+    still short are staged, and each batch judges completeness over its own pages plus the
+    staged ones. A snapshot is loaded only when its page set is complete (rows >= declared
+    total), only if its day is not loaded yet, and as one partition overwrite; a day
+    whose pages land together never touches the staging table. After a
     load, sleeper detection runs on the updated table and the alert rows are appended
     once per detection day (the cursor table records the day). With ``latest_path`` the
     newest score per CVE is kept as its own keyed table, upserted from each loaded day,
@@ -87,14 +89,23 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
               .withColumn("_file", F.col("_metadata.file_path")))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        pages = df.withColumn("snapshot", cve_files.snapshot_key())
-        pages.write.mode("append").partitionBy("snapshot").parquet(staging_path)
+        page_cols = [f.name for f in EPSS_PAGE.fields] + ["_file", "snapshot"]
+        pages = df.withColumn("snapshot", cve_files.snapshot_key()).select(*page_cols)
         touched = [r[0] for r in pages.select("snapshot").distinct().collect()]  # snapshots in this batch
-        staged = spark.read.parquet(staging_path).where(F.col("snapshot").isin(touched)) \
-            .dropDuplicates(["snapshot", "offset"])  # a replayed batch stages the same pages twice
-        stats = staged.select("snapshot", "offset", "total", F.size("data").alias("rows"))
+        try:
+            prior = spark.read.parquet(staging_path).where(F.col("snapshot").isin(touched)).select(*page_cols)
+            pages_all = pages.unionByName(prior)
+        except AnalysisException:  # nothing staged yet
+            pages_all = pages
+        # a replayed batch or a re-landed page may repeat a page: one per (snapshot, offset)
+        pages_all = pages_all.dropDuplicates(["snapshot", "offset"]).checkpoint(eager=True)
+        stats = pages_all.select("snapshot", "offset", "total", F.size("data").alias("rows"))
         complete = page_completeness(stats, "snapshot").where("complete").select("snapshot")
-        rows = cve_files.epss_rows(staged.join(complete, "snapshot"), "snapshot")
+        # only pages of snapshots still short are staged for later batches
+        pending = pages.join(complete, "snapshot", "left_anti")
+        if not pending.isEmpty():
+            pending.write.mode("append").partitionBy("snapshot").parquet(staging_path)
+        rows = cve_files.epss_rows(pages_all.join(complete, "snapshot"), "snapshot")
         try:
             existing = spark.read.parquet(epss_path)
             rows = tbl.new_snapshot_rows(existing, rows)
