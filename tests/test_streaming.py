@@ -199,3 +199,13 @@ def test_keyed_upsert_rewrites_only_changed_buckets(spark, tmp_path):
     assert table.upsert(one, ["published", "event_id"]) == 1  # one key -> one bucket rewritten
     got = table.table().where("guid = 'u3' AND feed_url = 'view'").collect()
     assert len(got) == 1 and got[0].title == "edited"
+
+
+def test_keyed_insert_replay_appends_nothing(spark, tmp_path):
+    from threatlake.operators.storage import KeyedTable
+    v = Tables(spark, SF001).item_versions
+    table = KeyedTable(spark, str(tmp_path / "arch"), ["guid", "feed_url"], buckets=8)
+    first = table.insert_new(v, ["published", "event_id"])
+    assert first == v.select("guid", "feed_url").distinct().count()
+    assert table.insert_new(v, ["published", "event_id"]) == 0  # a replayed batch
+    assert table.table().count() == first
