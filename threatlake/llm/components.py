@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from threatlake.session import checkpoint_dir
@@ -42,3 +44,12 @@ def components(edges: DataFrame) -> DataFrame:
         e = saved(_star(_star(e, True), False))
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to a Parquet table of its own in the shared checkpoint folder and read
+    back: like ``saved``, but compressed, for wide or large intermediates."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatlake.llm import chat, decontaminate, line_dedup, mixing, quality, sharding, simhash
+from threatlake.llm import chat, decontaminate, line_dedup, mixing, pst, quality, sharding, simhash, suffix_family, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,24 @@ def op7_mixing(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents")).drop("h")
 
 
+def op8_lm_scoring(spark, sf_dir):
+    return pst.score(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_family.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # the file at the repository's top, which imports this package
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_decontaminate, op5_chat,
-                                   op6_sharding, op7_mixing)}
+                                   op6_sharding, op7_mixing, op8_lm_scoring, op9_toxicity,
+                                   op10_suffix_dedup, pipeline)}
 ORACLE: dict[str, str] = {}
