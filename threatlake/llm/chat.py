@@ -28,7 +28,7 @@ TRAINED = "assistant"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
 
 def unescape(text: Column) -> Column:

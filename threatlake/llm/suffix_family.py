@@ -2,8 +2,8 @@
 
 A byte goes when it lies in a string of ``LENGTH`` bytes that also starts anywhere else.
 
-Suffixes: of every ``LENGTH``-byte window the leftmost least 16-byte gram (by a mixed hash) is
-its anchor; only suffixes at anchors are indexed, about 1 % of all. Equal windows have their
+Suffixes: of every ``LENGTH``-byte window the leftmost least gram of ``GRAM`` bytes (by a mixed hash) is
+its anchor; only suffixes at anchors are indexed, little over 1 % of all. Equal windows have their
 anchor at the same place, so every match shows as two indexed suffixes with one gram. An index
 entry is the gram's hash ``g``, the text ``u``, the anchor ``a``, the windows ``[a - lo, a + hi]``
 it stands for, and a hash ``c`` of all bytes of these windows; an index is kept sorted by g.
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from threatlake.llm.components import saved, written
 
 LENGTH = 200
-GRAM = 16
+GRAM = 48  # bytes of an anchor: short ones recur by chance, long ones need more anchors
 BATCHES = 2
 _PIECE = 1 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -50,9 +50,11 @@ def _anchors(raw: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
     """(gram hash, anchor, first window, last window) along a piece of text."""
     n = len(raw) - GRAM + 1
     v = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
-    h = (v[:n] * _ODD[0]) ^ ((v[8:8 + n] + _ODD[1]) * _ODD[2])
-    h ^= h >> np.uint64(29)
-    h *= _ODD[0]
+    h = np.zeros(n, np.uint64)
+    for i in range(0, GRAM, 8):
+        h = (h ^ (v[i:i + n] * _ODD[1])) * _ODD[0]
+        h ^= h >> np.uint64(29)
+    h *= _ODD[2]
     h ^= h >> np.uint64(32)
     least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     width, want = 1, length - GRAM + 1
