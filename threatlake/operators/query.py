@@ -77,7 +77,7 @@ def relation_query(df: DataFrame, select=None, filters=(), order=(), offset: int
         df = df.orderBy(*keys)
     if offset:
         df = df.offset(offset)
-    n = max_rows if limit is None else min(limit, max_rows)
+    n = max_rows if limit is None else limit  # the cap is for requests without a limit
     df = df.limit(n)
     if select:
         cols = select.split(",") if isinstance(select, str) else list(select)

@@ -111,9 +111,20 @@ def write_snapshot(rows: DataFrame, path: str, date_col: str = "as_of", manifest
     if manifest_path:
         # one row per written day: "latest day", coverage and the ingest log then read
         # this small table instead of the footers of every data file
-        (rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
-         .withColumn("written_at", F.current_timestamp().cast("timestamp_ntz"))
-         .coalesce(1).write.mode("append").parquet(manifest_path))
+        record_days(rows, manifest_path, date_col)
+
+
+def record_days(rows: DataFrame, manifest_path: str, date_col: str = "as_of") -> None:
+    """Append a manifest row for each day of ``rows``; readers take the newest of a day."""
+    (rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
+     .withColumn("written_at", F.current_timestamp().cast("timestamp_ntz"))
+     .coalesce(1).write.mode("append").parquet(manifest_path))
+
+
+def not_older(rows: DataFrame, stored: DataFrame, keys, order: str) -> DataFrame:
+    """``rows`` without those whose key is stored with a later ``order`` value."""
+    had = stored.select(*keys, F.col(order).alias("_had"))
+    return rows.join(had, list(keys), "left").where(F.col("_had").isNull() | (F.col(order) >= F.col("_had"))).drop("_had")
 
 
 def manifest_days(manifest: DataFrame, date_col: str = "as_of") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
-_CVE = "'CVE-2024-' || lpad(CAST({x} AS VARCHAR), 5, '0')"
+_CVE = "'CVE-2024-' || CASE WHEN {x} < 10000 THEN lpad(CAST({x} AS VARCHAR), 5, '0') ELSE CAST({x} AS VARCHAR) END"
 
 _METRIC = ("'{{\"cvssData\":{{\"baseScore\":' || {score} || ',\"baseSeverity\":\"' || {sev} || '\"}}}}'")
 
@@ -94,13 +94,15 @@ CTES: dict[str, tuple[list[str], str]] = {
                         || CAST(d.doc_id % 7 AS VARCHAR) || '","note":"seen in logs"}}'
             WHEN 2 THEN 'evil-' || CAST(d.doc_id AS VARCHAR) || '.example.com'
             ELSE NULL END AS key_iocs,
-          '["CVE-2024-' || lpad(CAST(d.doc_id % 150 AS VARCHAR), 5, '0') || '","CVE-2024-'
-            || lpad(CAST(d.doc_id * 7 % 150 AS VARCHAR), 5, '0') || '"'
+          '["CVE-2024-' || lpad(CAST(d.doc_id % k.n_cves AS VARCHAR), greatest(5, length(CAST(d.doc_id % k.n_cves AS VARCHAR)))::INTEGER, '0')
+            || '","CVE-2024-' || lpad(CAST(d.doc_id * 7 % k.n_cves AS VARCHAR), greatest(5, length(CAST(d.doc_id * 7 % k.n_cves AS VARCHAR)))::INTEGER, '0') || '"'
             || CASE WHEN d.doc_id % 13 = 0 THEN ',"CVE-24-1"' ELSE '' END || ']' AS cve_references,
           CASE WHEN d.doc_id % 5 = 0 THEN NULL ELSE '[{{"url":"' || u.url || '"}}]' END AS exploit_references
         FROM documents d
-        LEFT JOIN (SELECT page_id, min(url) AS url FROM pages WHERE page_id < 50 GROUP BY page_id) u
-          ON u.page_id = d.doc_id % 50"""),
+        CROSS JOIN (SELECT (SELECT max(page_id) + 1 FROM pages) AS n_pages,
+                           (SELECT greatest(150, (max(doc_id) + 1) // 4) FROM documents) AS n_cves) k
+        LEFT JOIN (SELECT page_id, min(url) AS url FROM pages GROUP BY page_id) u
+          ON u.page_id = d.doc_id % k.n_pages"""),
     "fetch_log": ([], """
         SELECT 'feed-' || CAST(user_id % 22 AS VARCHAR) AS feed_name,
           CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,

@@ -185,5 +185,6 @@ def top_feeds(archive: DataFrame, limit: int | None = None) -> DataFrame:
 
 def epss_latest(epss: DataFrame) -> DataFrame:
     """Newest row per CVE (not per global day)."""
-    g = epss.groupBy("cve_id").agg(F.max_by(F.struct("as_of", "epss", "percentile"), "as_of").alias("r"))
-    return g.select("cve_id", "r.as_of", "r.epss", "r.percentile")
+    # Fixed-width columns one by one: a struct would make it a sort-based aggregate.
+    return epss.groupBy("cve_id").agg(F.max("as_of").alias("as_of"), F.max_by("epss", "as_of").alias("epss"),
+                                      F.max_by("percentile", "as_of").alias("percentile"))

@@ -32,8 +32,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _five_digits(num_col) -> "F.Column":
+    """The number with at least five digits; longer ones stay whole."""
+    s = num_col.cast("string")
+    return F.when(F.length(s) < 5, F.lpad(s, 5, "0")).otherwise(s)
+
+
 def _cve_id(num_col) -> "F.Column":
-    return F.concat(F.lit("CVE-2024-"), F.lpad(num_col.cast("string"), 5, "0"))
+    return F.concat(F.lit("CVE-2024-"), _five_digits(num_col))
 
 
 def _hours_before_as_of(n_col):
@@ -143,11 +149,13 @@ def feed_items(documents: DataFrame) -> DataFrame:
 # B4 -------------------------------------------------------------------------------
 def analysis(documents: DataFrame, pages: DataFrame) -> DataFrame:
     did = F.col("doc_id")
-    # At most 50 page ids survive the filter + group, a proven bound: broadcast is safe.
-    urls = F.broadcast(pages.where(F.col("page_id") < 50).groupBy("page_id").agg(F.min("url").alias("url")))
-    docs = documents.withColumn("page_id", did % 50).join(urls, "page_id", "left")
-    ref = lambda n: F.concat(F.lit('"CVE-2024-'), F.lpad(n.cast("string"), 5, "0"), F.lit('"'))
-    cves = F.concat(F.lit("["), ref(did % 150), F.lit(","), ref(did * 7 % 150),
+    # Moduli follow the tables, so that pages and mentioned CVEs grow with the documents.
+    n_pages = (pages.agg(F.max("page_id")).first()[0] or 0) + 1
+    n_cves = max(150, ((documents.agg(F.max("doc_id")).first()[0] or 0) + 1) // 4)
+    urls = pages.groupBy("page_id").agg(F.min("url").alias("url"))
+    docs = documents.withColumn("page_id", did % n_pages).join(urls, "page_id", "left")
+    ref = lambda n: F.concat(F.lit('"CVE-2024-'), _five_digits(n), F.lit('"'))
+    cves = F.concat(F.lit("["), ref(did % n_cves), F.lit(","), ref(did * 7 % n_cves),
                     F.when(did % 13 == 0, F.lit(',"CVE-24-1"')).otherwise(F.lit("")), F.lit("]"))
     iocs = (F.when(did % 4 == 0, F.concat(F.lit('[{"type":"domain","value":"host'), did.cast("string"),
                                           F.lit('.example.net","context":"c2 server"}]')))

@@ -105,19 +105,26 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
         pending = pages.join(complete, "snapshot", "left_anti")
         if not pending.isEmpty():
             pending.write.mode("append").partitionBy("snapshot").parquet(staging_path)
-        rows = cve_files.epss_rows(pages_all.join(complete, "snapshot"), "snapshot")
+        rows = cve_files.epss_rows(pages_all.join(complete, "snapshot"), "snapshot").checkpoint(eager=True)
+        days = [r[0] for r in rows.select("as_of").distinct().collect()]  # days complete in this batch
+        if not days:
+            return
+        new = rows
         try:
-            existing = spark.read.parquet(epss_path)
-            rows = tbl.new_snapshot_rows(existing, rows)
+            new = tbl.new_snapshot_rows(spark.read.parquet(epss_path), rows)
         except AnalysisException:  # first load: no table yet
             pass
-        rows = rows.checkpoint(eager=True)
-        if rows.isEmpty():
-            return
-        tbl.write_snapshot(rows, epss_path, manifest_path=manifest_path)
+        tbl.write_snapshot(new, epss_path)
+        # Everything below follows from the days as stored, whether this batch or an earlier,
+        # broken-off run of it wrote them, and may run again.
+        stored = spark.read.parquet(epss_path).where(F.col("as_of").isin(days))
+        if manifest_path:
+            tbl.record_days(stored, manifest_path)
         if latest_path:
-            KeyedTable(spark, latest_path, ["cve_id"], ["cve_id", "as_of", "epss", "percentile"]) \
-                .upsert(rows, ["as_of"])
+            latest = KeyedTable(spark, latest_path, ["cve_id"], ["cve_id", "as_of", "epss", "percentile"])
+            had = latest.table()
+            newer = stored if had is None else tbl.not_older(stored, had, ["cve_id"], "as_of")
+            latest.upsert(newer.select("cve_id", "as_of", "epss", "percentile"), ["as_of"])
         if cve_path and alerts_path and state_path:
             _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now)
 
