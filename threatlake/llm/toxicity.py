@@ -138,7 +138,7 @@ class Landmarks:
         return out
 
 
-def _alike(a: np.ndarray, b: np.ndarray, most: int = 20_000):
+def _alike(a: np.ndarray, b: np.ndarray, most: int = 5_000):
     """Indices in groups of like lengths (a, b), of bounded size."""
     group = (a // 3) * 64 + b // 3
     order = np.argsort(group, kind="stable")
@@ -292,11 +292,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
     known = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(fold() != 0).withColumn("at", F.xxhash64("doc_id")))
     picked = known.where("toxic = 1").orderBy("at").limit(most).union(known.where("toxic = 0").orderBy("at").limit(most))
-    words = of_text(lambda raw: ([{"w": w, "n": n} for w, n in words_of(raw).items()],), "words array<struct<w:binary,n:int>>")
+    # A text reaches the driver as two compact values; the driver keeps each different word once.
+    packed = of_text(lambda raw: _packed(words_of(raw)), "words binary, counts array<int>")
     rows = (docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id")  # 2 * most rows at most
-            .select("doc_id", "toxic", words["words"].alias("words")).collect())
-    rows.sort(key=lambda r: (r.doc_id, len(r.words)))
-    return fit([Counter({bytes(x.w): x.n for x in r.words}) for r in rows], [int(r.toxic) for r in rows])
+            .withColumn("packed", packed).select("doc_id", "toxic", "packed.words", "packed.counts").collect())
+    rows.sort(key=lambda r: (r.doc_id, r.words))
+    seen: dict[bytes, bytes] = {}
+    texts = [Counter({seen.setdefault(w, w): n for w, n in zip(bytes(r.words).split(b" "), r.counts)}) for r in rows]
+    labels_of = [int(r.toxic) for r in rows]
+    del rows, seen
+    return fit(texts, labels_of)
+
+
+def _packed(words: Counter) -> tuple[bytes, list[int]]:
+    return b" ".join(words), list(words.values())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
