@@ -21,10 +21,8 @@ def test_every_oracle_has_a_query():
 
 
 def test_rows_only_queries_are_few():
-    # Only the alert payload documents (engine-specific JSON number formatting) and the
-    # Python allow-list HTML policy go without an oracle.
-    assert set(QUERIES) - set(ORACLE) <= {"alert_generic_payload", "alert_chat_payload",
-                                          "row_strict_sanitized_pages"}
+    # Only the alert payload documents (engine-specific JSON number formatting) go without an oracle.
+    assert set(QUERIES) - set(ORACLE) <= {"alert_generic_payload", "alert_chat_payload"}
 
 
 def test_oracle_column_types_match(spark, duck):

@@ -14,7 +14,7 @@ from conftest import SF001
 SIDE_EFFECTS = {"stream_hourly_severity", "src_feed_xml_roundtrip", "src_nvd_pages_roundtrip",
                 "src_kev_catalog_roundtrip", "src_epss_pages_roundtrip", "mv_analysis_cve_mentions",
                 "mv_analysis_cve_mentions_v2", "mv_campaign_cve_rollups"}
-PYTHON_UDF_QUERIES = {"row_strict_sanitized_pages"}
+PYTHON_UDF_QUERIES: set[str] = set()
 
 
 def _plan(df) -> str:

@@ -336,9 +336,19 @@ from threatlake.functions import text as txt  # noqa: E402
 
 def _sanitized_pages(t):
     d = t.raw_docs
-    clean = txt.sanitize_html("body")
-    return d.select("url", "status", F.length("body").alias("raw_len"), F.length(clean).alias("clean_len"),
-                    clean.rlike("(?i)<script").alias("script_left"))
+    return d.select("url", "status", F.length("body").alias("raw_len"), txt.sanitize_html("body").alias("clean"))
+
+
+# Fragments that must not get through.
+_HOSTILE = """<svg/onload=alert(1)><img src=x/onerror=alert(1)><a href="vbscript:x" title='t"t'>v</a>
+<a href=&#106;avascript:alert(1)>e</a><A HREF="https://example.org/?a=1&b=2" onclick="x()">ok</A> 1 < 2
+<scr<script></script>ipt>alert(1)</script><iframe src=x>in</iframe><object>"""
+
+
+def _hostile_pages(t):
+    """Pages with hostile markup between two copies of their body."""
+    body = F.coalesce("body", F.lit(""))
+    return t.raw_docs.select("url", txt.sanitize_html(F.concat(body, F.lit(_HOSTILE), body)).alias("clean"))
 
 
 def _item_resolution(t):
@@ -524,9 +534,7 @@ register("sql_danger_zone_panel")(lambda t: _sql(t, """
 register("alert_section_parts")(lambda t: alr.section_parts(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))
 register("alert_section_parts_lookback3")(
     lambda t: alr.section_parts(alr.detect_sleepers(t.epss_daily, t.cve_enriched, lookback=3)))
-register("row_strict_sanitized_pages")(lambda t: t.raw_docs.select(
-    "url", F.length(txt.sanitize_html_strict("body")).alias("clean_len"),
-    txt.sanitize_html_strict("body").contains("<script").alias("script_left")))
+register("row_strict_sanitized_pages")(_hostile_pages)
 
 
 def _epss_sparse(t):

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from threatlake.functions.common import col_of, nullif_blank
 
@@ -47,88 +44,56 @@ def cap_length(text, n: int) -> Column:
     return F.left(col_of(text), F.lit(n))
 
 
-# Patterns of the user-generated-content policy (native regex form).
-SCRIPT_BLOCK = r"(?is)<script[^>]*>.*?</script\s*>"
-STYLE_BLOCK = r"(?is)<style[^>]*>.*?</style\s*>"
-HTML_COMMENT = r"(?s)<!--.*?-->"
-EVENT_HANDLER_ATTR = r"""(?i)\s+on[a-z]+\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
-JS_URI_ATTR = r"""(?i)\s+(href|src|action)\s*=\s*("\s*javascript:[^"]*"|'\s*javascript:[^']*'|javascript:[^\s>]+)"""
+# The allow-list policy. Elements that go with their content, elements that stay, and
+# the attributes that stay on them.
+DROP_WITH_CONTENT = ("script", "style", "iframe", "object", "embed")
+ALLOWED_TAGS = ("a", "b", "blockquote", "br", "code", "div", "em", "h1", "h2", "h3", "h4", "h5", "h6", "i", "img",
+                "li", "ol", "p", "pre", "span", "strong", "table", "td", "th", "tr", "ul")
+ALLOWED_ATTRS = {"a": ("href", "title"), "img": ("src", "alt", "title")}
+URL_ATTRS = ("href", "src")
+
+_GAP = r"[ \t\n\f\r]"
+_ANY_TAG = r"^[a-zA-Z/!?][^>]*>"  # of a piece that followed a "<"
+_NAMED_TAG = r"^/?([a-zA-Z][a-zA-Z0-9]*)[^>]*>"
+# http, https, mailto, or relative: no colon or entity before the path
+_SAFE_URL = r"""^(((?i)https?|mailto):[^\x00-\x20"'<>]*|[^\x00-\x20"'<>:&]*([/?#][^\x00-\x20"'<>]*)?)$"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """`` name="value"`` of a tag's text, or nothing (absent, or an unsafe URL)."""
+    value = r"""("[^"]*"|'[^']*'|[^ \t\n\f\r"'>]+)"""
+    found = F.regexp_extract(tag, rf"""(?i)[ \t\n\f\r/"']{name}{_GAP}*={_GAP}*{value}""", 1)
+    plain = F.regexp_replace(F.regexp_replace(found, r"""^["']|["']$""", ""), '"', "&quot;")
+    keep = F.length(found) > 0
+    if name in URL_ATTRS:
+        keep = keep & plain.rlike(_SAFE_URL)
+    return F.when(keep, F.concat(F.lit(f' {name}="'), plain, F.lit('"'))).otherwise(F.lit(""))
+
+
+def _rebuilt(piece: Column) -> Column:
+    """What stays of the text that followed a ``<``: an allowed tag is written anew from its
+    name and allowed attributes, any other tag goes, and a ``<`` that opens no tag is escaped."""
+    name = F.lower(F.regexp_extract(piece, _NAMED_TAG, 1))
+    rest = F.regexp_replace(piece, _ANY_TAG, "")
+    attrs = F.lit("")
+    for element, allowed in ALLOWED_ATTRS.items():
+        tag = F.regexp_extract(piece, _ANY_TAG, 0)
+        attrs = F.when(name == element, F.concat(*[_attribute(tag, a) for a in allowed])).otherwise(attrs)
+    written = F.when(piece.startswith("/"), F.concat(F.lit("</"), name, F.lit(">"))).otherwise(
+        F.concat(F.lit("<"), name, attrs, F.lit(">")))
+    return (F.when(~piece.rlike(_ANY_TAG), F.concat(F.lit("&lt;"), piece))
+            .when(name.isin(*ALLOWED_TAGS), F.concat(written, rest)).otherwise(rest))
 
 
 def sanitize_html(html) -> Column:
-    """Drop script/style blocks with their content, comments, event-handler attributes
-    and ``javascript:`` links; keep everything else. JVM-side regex chain."""
-    x = col_of(html)
-    for p in (SCRIPT_BLOCK, STYLE_BLOCK, HTML_COMMENT, EVENT_HANDLER_ATTR, JS_URI_ATTR):
-        x = F.regexp_replace(x, p, "")
-    return x
-
-
-def remove_scripts(html) -> Column:
-    return F.regexp_replace(col_of(html), SCRIPT_BLOCK, "")
-
-
-# Elements and attributes of the strict allow-list policy.
-ALLOWED_TAGS = {"a", "b", "blockquote", "br", "code", "em", "h1", "h2", "h3", "h4", "h5", "h6", "i",
-                "li", "ol", "p", "pre", "strong", "ul", "span", "div", "img", "table", "tr", "td", "th"}
-ALLOWED_ATTRS = {"a": {"href", "title"}, "img": {"src", "alt", "title"}}
-DROP_WITH_CONTENT = {"script", "style", "iframe", "object", "embed"}
-
-
-def _strict_clean(doc: str | None) -> str | None:
-    if doc is None:
-        return None
-    from html import escape
-    from html.parser import HTMLParser
-
-    out: list[str] = []
-    skip = [0]
-
-    class P(HTMLParser):
-        def handle_starttag(self, tag, attrs):
-            if tag in DROP_WITH_CONTENT:
-                skip[0] += 1
-                return
-            if skip[0] or tag not in ALLOWED_TAGS:
-                return
-            keep = []
-            for k, v in attrs:
-                if k in ALLOWED_ATTRS.get(tag, ()) and v is not None and \
-                        not v.strip().lower().startswith(("javascript:", "data:", "vbscript:")):
-                    keep.append(f' {k}="{escape(v, quote=True)}"')
-            out.append(f"<{tag}{''.join(keep)}>")
-
-        def handle_endtag(self, tag):
-            if tag in DROP_WITH_CONTENT:
-                skip[0] = max(0, skip[0] - 1)
-                return
-            if not skip[0] and tag in ALLOWED_TAGS:
-                out.append(f"</{tag}>")
-
-        def handle_data(self, data):
-            if not skip[0]:
-                out.append(escape(data, quote=False))
-
-    p = P(convert_charrefs=True)
-    p.feed(doc)
-    p.close()
-    return "".join(out)
-
-
-# The UDF below runs in Python workers; ship this module's code with it (pickled by
-# value) so workers need not have the package installed.
-try:
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # pragma: no cover - older pickler without by-value registration
-    pass
-
-
-@F.pandas_udf(T.StringType())
-def sanitize_html_strict(html: pd.Series) -> pd.Series:
-    """Allow-list sanitiser (Arrow-batched): only listed tags and attributes survive,
-    ``javascript:``/``data:`` URLs are dropped, text is re-escaped."""
-    return html.map(_strict_clean)
+    """Allow-list HTML policy in native expressions: comments and ``DROP_WITH_CONTENT`` elements go
+    with their content (to the end where unclosed), only ``ALLOWED_TAGS`` stay, with ``ALLOWED_ATTRS``
+    and safe URLs. Every ``<`` of the result starts a tag written here, so no input can form
+    another one. NULL stays NULL."""
+    x = F.regexp_replace(col_of(html), r"(?s)<!--.*?(-->|\z)", "")
+    for tag in DROP_WITH_CONTENT:
+        x = F.regexp_replace(x, rf"(?is)<{tag}([ \t\n\f\r/][^>]*)?>.*?(</{tag}{_GAP}*>|\z)", "")
+    return F.array_join(F.transform(F.split(x, "<", -1), lambda p, i: F.when(i == 0, p).otherwise(_rebuilt(p))), "")
 
 
 # Token separators of the search document (anything not a letter/digit).
