@@ -519,18 +519,11 @@ register("sql_feed_quality_join")(lambda t: _sql(t, """
 register("sql_campaign_kinds")(lambda t: _sql(t, """
     SELECT campaign_kind, count(*) AS campaigns, sum(item_mentions) AS mentions, max(max_epss) AS max_epss
     FROM {campaign_latest_seen} GROUP BY campaign_kind""", ["campaign_latest_seen"]))
-register("sql_danger_zone_panel")(lambda t: _sql(t, """
-    WITH day AS (SELECT max(as_of) AS d FROM {epss_daily}),
-    scored AS (
-      SELECT n.cve_id, n.cvss_base, s.epss, s.percentile
-      FROM {cve_enriched} n JOIN {epss_daily} s ON s.cve_id = n.cve_id
-      WHERE n.source = 'NVD' AND s.as_of = (SELECT d FROM day) AND n.cvss_base >= 7.0 AND s.epss >= 0.5),
-    kev_ids AS (SELECT DISTINCT cve_id FROM {cve_enriched} WHERE source = 'CISA-KEV')
-    SELECT s.cve_id, s.cvss_base, s.epss, s.percentile,
-           CAST(round(s.cvss_base * s.epss, 2) AS DECIMAL(5,2)) AS risk_score,
-           CAST(k.cve_id IS NOT NULL AS INT) AS in_kev
-    FROM scored s LEFT JOIN kev_ids k ON k.cve_id = s.cve_id
-    ORDER BY s.cvss_base * s.epss DESC, s.cve_id LIMIT 50""", ["cve_enriched", "epss_daily"]))
+register("sql_known_exploited_by_cvss")(lambda t: _sql(t, """
+    SELECT CAST(floor(n.cvss_base) AS INT) AS cvss_floor, count(*) AS cves, count(k.cve_id) AS known_exploited
+    FROM {cve_enriched} n LEFT JOIN (SELECT DISTINCT cve_id FROM {cve_enriched} WHERE source = 'CISA-KEV') k
+      ON k.cve_id = n.cve_id
+    WHERE n.source = 'NVD' GROUP BY 1""", ["cve_enriched"]))
 register("alert_section_parts")(lambda t: alr.section_parts(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))
 register("alert_section_parts_lookback3")(
     lambda t: alr.section_parts(alr.detect_sleepers(t.epss_daily, t.cve_enriched, lookback=3)))
