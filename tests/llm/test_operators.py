@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 
-from threatlake.llm import chat, decontaminate, line_dedup, mixing, pst, quality, sharding, simhash, suffix_family, toxicity
+from threatlake.llm import chat, decontaminate, line_dedup, mixing, pst, quality, queries, sharding, simhash, suffix_family, toxicity
 from threatlake.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -388,6 +388,35 @@ def test_line_dedup(spark, docs):
         (i, max((t or "").count("\n") - len(gone[(i, t)]), 0)) for i, t in rows)
 
 
+def test_lines_link_by_edit_similarity_alone(spark, tmp_path):
+    """Against all pairs of lines, without any filter: replaced, dropped and added words."""
+    rng = random.Random(11)
+    lines = []
+    for n in (3, 4, 5, 6, 9, 10, 14, 15, 20, 29, 40, 100):
+        for _ in range(6):
+            base = [f"w{rng.randrange(300)}" for _ in range(n)]
+            lines.append(base)
+            for _ in range(3):  # as many edits as the rule allows, or one more
+                w = list(base)
+                for _ in range(n // 5 + rng.randrange(2)):
+                    k = rng.randrange(len(w))
+                    w[k:k + 1] = rng.choice(([], ["new"], [w[k], "more"]))
+                lines.append(w)
+    lines += [[rng.choice("01") for _ in range(12)] for _ in range(30)]  # few different words
+    lines = [w for w in lines if w]
+    rng.shuffle(lines)
+    kinds = sorted({tuple(w) for w in lines})
+    linked = [(a, b) for a in range(len(kinds)) for b in range(a)
+              if _distance(kinds[a], kinds[b]) <= 0.2 * max(len(kinds[a]), len(kinds[b])) + 1e-9]
+    root = dict(zip(kinds, groups_of(len(kinds), linked)))
+    first = {}
+    for i, w in enumerate(lines):
+        first.setdefault(root[tuple(w)], i)
+    spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id for r in queries.op2_line_dedup(spark, str(tmp_path)).where("n_removed = 1").collect()}
+    assert len(linked) > 150 and got == set(range(len(lines))) - set(first.values())
+
+
 def test_line_simhash_of_long_lines(spark, monkeypatch):
     line = " ".join(f"w{i}" for i in range(500))
     docs = spark.createDataFrame([(1, line)], "doc_id long, text string")

@@ -16,7 +16,7 @@ def op1_quality_rules(spark, sf_dir):
 
 
 def op2_line_dedup(spark, sf_dir):
-    return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents"), max_bits=None)
 
 
 def op3_simhash(spark, sf_dir):
