@@ -333,6 +333,23 @@ def test_repeated_passages_on_odd_rows(odd, empty, monkeypatch):
     assert suffix_family.repeated_passages(empty).count() == 0
 
 
+def test_windows_of_a_shared_passage_are_not_gathered(spark, monkeypatch):
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = say(700)
+    rows = [(i, say(300) + passage + say(300)) for i in range(300)]  # one class per document at both ends
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gathered, with_bytes = [], suffix_family._with_bytes
+
+    def spy(docs, wanted, length):
+        gathered.extend(r["count"] for r in wanted.groupBy("g").count().collect())
+        return with_bytes(docs, wanted, length)
+    monkeypatch.setattr(suffix_family, "_with_bytes", spy)
+    want = bag((i, *x) for (i, _), x in zip(rows, brute_passages([t.encode() for _, t in rows])))
+    assert bag(suffix_family.repeated_passages(docs).collect()) == want
+    assert max(gathered, default=0) <= 256
+
+
 def _distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):

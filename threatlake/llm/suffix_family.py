@@ -14,10 +14,11 @@ log2 n + 1 levels, and each entry is rewritten as often. Entries whose g occurs
 hits, those of older levels included.
 
 Resolving hits, once: entries of one g with equal (lo, hi, c) have all their windows twice. Where
-a g has several such classes, one entry of each is given its bytes and windows are compared
-one by one (64-bit hashes), which finds the ends of passages. Classes are counted before
-anything is gathered, so thousands of copies cost one comparison; joins on g split a frequent
-gram. Texts travel compressed, twice: once for those bytes, once for the result.
+a g has several such classes, the windows of one entry of each are compared one by one (64-bit
+hashes), which finds the ends of passages. Up to ``MANY`` classes of a gram meet in one task.
+Of a gram with more (a passage that many documents share) each window is a row of its own: its
+hash is counted per (g, distance from the anchor), pre-aggregated before the shuffle, and
+hashes counted twice are joined back, so no gathered group grows with the input. Texts travel compressed, three times: twice for those windows, once for the result.
 
 Null text: empty. Rows equal in id and text are documents of their own, each a copy of the
 other. Texts shorter than ``LENGTH`` lose nothing. Very long texts are cut into overlapping
@@ -41,6 +42,7 @@ from threatlake.llm.components import saved, written
 LENGTH = 200
 GRAM = 48  # bytes of an anchor: short ones recur by chance, long ones need more anchors
 BATCHES = 2
+MANY = 256  # classes of one gram that are compared in one list
 _PIECE = 1 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 ENTRY = "g long, u long, a long, lo int, hi int, c long"
@@ -193,12 +195,36 @@ def _compare(group: list[tuple], length: int, most: int = 2_000_000) -> list[tup
     return out
 
 
+def _windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(g, k, u, a, d, once): the windows of the entries of ``wanted``; d is the distance of a
+    window from the anchor, k a hash of its bytes and d."""
+    per = wanted.groupBy("u").agg(F.collect_list(F.struct("g", "a", "lo", "hi", "once")).alias("w"))
+    names = ["g", "k", "u", "a", "d", "once"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, rows = zstandard.ZstdDecompressor(), []
+        for b in batches:
+            for i in range(b.num_rows):
+                u, text = b.column(0)[i].as_py(), z.decompress(b.column(1)[i].as_py())
+                for x in b.column(2)[i].as_py():
+                    g, a, once = x["g"], x["a"], x["once"]
+                    rows += [(g, xxhash.xxh3_64_intdigest(text[a + d:a + d + length], d & 0xFFFF) - (1 << 63), u, a, d, once)
+                             for d in range(-x["lo"], x["hi"] + 1)]
+                    if len(rows) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                        rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+    return _compress(docs, []).join(per, "u").mapInArrow(cut, "g long, k long, u long, a long, d int, once boolean")
+
+
 def resolve(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFrame:
     """(u, first, last): ranges of windows that start elsewhere, too."""
     classes = saved(hits.groupBy("g", "lo", "hi", "c").agg(F.count("*").alias("n"), F.min(F.struct("u", "a")).alias("one")))
     several = classes.groupBy("g").agg(F.count("*").alias("k"), F.count_if(F.col("n") == 1).alias("ones")).where("k > 1 and ones > 0")
-    wanted = (classes.join(several.select("g"), "g")
-              .select("g", "one.u", "one.a", "lo", "hi", (F.col("n") == 1).alias("once")))
+    wanted = (classes.join(several.select("g", "k"), "g")
+              .select("g", "k", "one.u", "one.a", "lo", "hi", (F.col("n") == 1).alias("once")))
     whole = (hits.join(classes.where("n > 1").select("g", "lo", "hi", "c"), ["g", "lo", "hi", "c"])
              .select("u", (F.col("a") - F.col("lo")).alias("first"), (F.col("a") + F.col("hi")).alias("last")))
 
@@ -219,8 +245,18 @@ def resolve(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFrame
         if rows:
             yield out(rows)
 
-    parts = _with_bytes(docs, wanted, length).repartition("g").sortWithinPartitions("g", "u", "a")
-    return whole.union(parts.mapInArrow(compare, "u long, first long, last long"))
+    few = wanted.where(F.col("k") <= MANY)
+    parts = _with_bytes(docs, few, length).repartition("g").sortWithinPartitions("g", "u", "a")
+    compared = parts.mapInArrow(compare, "u long, first long, last long")
+
+    windows = written(_windows(docs, wanted.where(F.col("k") > MANY), length))
+    twice = windows.groupBy("g", "k").agg(F.count("*").alias("n")).where("n > 1").select("g", "k")
+    per = windows.where("once").join(twice, ["g", "k"]).groupBy("u", "a").agg(F.collect_set("d").alias("d"))  # at most length of an entry
+    # Runs of neighbouring windows.
+    first = F.sort_array(F.filter("d", lambda x: ~F.array_contains("d", x - 1)))
+    last = F.sort_array(F.filter("d", lambda x: ~F.array_contains("d", x + 1)))
+    runs = per.select("u", "a", F.explode(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("r"))
+    return whole.union(compared).union(runs.select("u", F.col("a") + F.col("r.first"), F.col("a") + F.col("r.last")))
 
 
 def cut_ranges(raw: bytes, windows: list[tuple[int, int]], length: int = LENGTH) -> tuple[bytes, int, int]:
