@@ -11,7 +11,7 @@ from threatlake.sources.bindings import Tables
 from threatlake.sources.landing import write_epss_pages, write_nvd_pages
 from threatlake.streaming import jobs
 
-from conftest import FIXTURES, SF01
+from paths import FIXTURES, SF01
 
 
 def test_streams_to_stored_tables_to_plans(spark, tmp_path):

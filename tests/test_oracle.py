@@ -6,7 +6,7 @@ from threatlake.catalog import QUERIES
 from threatlake.oracle.compare import compare
 from threatlake.oracle.queries import ORACLE
 
-from conftest import SF01
+from paths import SF01
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

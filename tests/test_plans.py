@@ -8,7 +8,7 @@ from threatlake.catalog import PLANS, QUERIES
 from threatlake.plans.layout import StoredTables, write_domain_tables
 from threatlake.sources.bindings import Tables
 
-from conftest import SF001
+from paths import SF001
 
 # queries whose construction writes landing files or runs a stream (side effects)
 SIDE_EFFECTS = {"stream_hourly_severity", "src_feed_xml_roundtrip", "src_nvd_pages_roundtrip",

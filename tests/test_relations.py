@@ -5,7 +5,7 @@ from threatlake.plans import relations as rel
 from threatlake.plans import triage as tri
 from threatlake.sources.bindings import AS_OF, Tables
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_keyword_sweep_matches_single_lookups(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from threatlake.sources import cve_files, feeds, validation, windows
 
-from conftest import FIXTURES
+from paths import FIXTURES
 
 NOW = "2024-01-31 00:00:00"
 

@@ -9,7 +9,7 @@ from threatlake.operators.storage import KeyedTable
 from threatlake.sources.bindings import Tables
 from threatlake.streaming import jobs
 
-from conftest import FIXTURES, SF001
+from paths import FIXTURES, SF001
 
 
 def _name():

@@ -5,7 +5,7 @@ from threatlake.operators import tables as tbl
 from threatlake.schemas import FEED_ITEM_KEEP_FIRST
 from threatlake.sources.bindings import Tables
 
-from conftest import SF001
+from paths import SF001
 
 KEYS, ORDER = ["guid", "feed_url"], ["published", "event_id"]
 
