@@ -1,6 +1,6 @@
 """Training-data pipeline operators: quality rules, line and document near-duplicates,
 repeated passages, benchmark contamination, chat formatting, sharding, source mixing,
-language-model scoring and toxicity.
+language-model scoring, toxicity, conversation repair, source divergence and set joins.
 
 Every operator is a function ``DataFrame(s) + parameters -> DataFrame``. ``queries.py``
 binds them to the test tables. Nothing outside this package imports it.

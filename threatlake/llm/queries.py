@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatlake.llm import chat, decontaminate, line_dedup, mixing, pst, quality, sharding, simhash, suffix_family, toxicity
+from threatlake.llm import (chat, decontaminate, divergence, jaccard, line_dedup, mixing, pst, quality, repair, sharding,
+                            simhash, suffix_family, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,19 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_family.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.audit(turns, repair.damage(turns))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # the file at the repository's top, which imports this package
     return corpus_pipeline.run(spark, sf_dir)
@@ -60,5 +74,6 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_decontaminate, op5_chat,
                                    op6_sharding, op7_mixing, op8_lm_scoring, op9_toxicity,
-                                   op10_suffix_dedup, pipeline)}
-ORACLE: dict[str, str] = {}
+                                   op10_suffix_dedup, op11_structure_repair, op12_source_divergence, op13_jaccard_join,
+                                   pipeline)}
+ORACLE: dict[str, str] = {"op12_source_divergence": divergence.ORACLE, "op13_jaccard_join": jaccard.ORACLE}
