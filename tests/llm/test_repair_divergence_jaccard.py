@@ -163,12 +163,35 @@ def near_copies(spark):
 def test_jaccard(spark, odd, empty, name, monkeypatch):
     docs = {"odd": odd.withColumn("u", odd.h), "empty": empty, "sf": spark.read.parquet(f"{SF}/documents.parquet"), "near": near_copies(spark)}[name]
     monkeypatch.setattr(jaccard, "BLOCK", 4)  # lists of several blocks
+    monkeypatch.setattr(jaccard, "FEW", 4)  # and joined by differences
     got = jaccard.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
     assert Counter(map(tuple, got.collect())) == sql(jaccard.ORACLE, docs)
 
 
 def test_answers_follow_from_a_common_hub(spark):
-    pairs = spark.createDataFrame([(1, 100, 2, 100), (1, 100, 3, 100), (3, 100, 4, 100)], "a long, an long, b long, bn long")
-    tested = spark.createDataFrame([(9, 100, 1, 100, 99), (9, 100, 2, 100, 98), (9, 100, 3, 100, 40)], "a long, an long, b long, bn long, common long")
-    got = {(r.a, r.b): r.link for r in jaccard._derived(pairs, tested, 9, 10).collect()}
-    assert got == {(1, 2): True, (1, 3): False, (3, 4): None}
+    lists = spark.createDataFrame([(5, u, 100, 0, u, 1, 100) for u in (1, 2, 3, 4, 9)],
+                                  "k long, u long, n long, pos long, root long, hub long, hn long")
+    tested = spark.createDataFrame([(1, 2, 94), (1, 3, 94), (1, 4, 40)], "a long, b long, common long")
+    pairs = jaccard._few(lists, tested, 9, 10)
+    assert {(r.a, r.b): (r.lo, r.hi) for r in pairs.collect()} == {
+        (2, 3): (88, 100), (2, 4): (34, 46), (3, 4): (34, 46), (2, 9): (None, None), (3, 9): (None, None), (4, 9): (None, None)}
+    got = {(r.a, r.b): r.link for r in jaccard._derived(pairs, 9, 10).collect()}
+    assert got == {(2, 3): None, (2, 4): False, (3, 4): False, (2, 9): None, (3, 9): None, (4, 9): None}
+    sure = spark.createDataFrame([(2, 100, 3, 100, 88, 100), (2, 100, 3, 100, 96, 100)], "a long, an long, b long, bn long, lo long, hi long")
+    assert [r.link for r in jaccard._derived(sure, 9, 10).collect()] == [True]
+
+
+def test_differences_to_a_hub_find_every_link_it_does_not_connect(spark):
+    rng = random.Random(7)
+    hub = set(range(100))
+    sets = {}
+    for u in range(1, 150):
+        edits = rng.sample(range(100), rng.randrange(3, 9))
+        sets[u] = hub - set(edits) - {0, 1} | {1000 + rng.randrange(40) for _ in edits} | {2000}
+    jac = lambda a, b: 10 * len(a & b) >= 9 * len(a | b)
+    far = {u: s for u, s in sets.items() if not jac(s, hub)}
+    rows = [(0, u, len(s), u, sorted(s ^ hub)) for u, s in far.items()]
+    pairs = jaccard._by_difference(spark.createDataFrame(rows, "hub long, u long, n long, root long, d array<long>"), 9, 10)
+    got = {(r.a, r.b) for r in pairs.collect()}
+    want = {(a, b) for a in far for b in far if a < b and jac(far[a], far[b])}
+    assert want and want <= got and len(got) < len(far) * (len(far) - 1) / 8

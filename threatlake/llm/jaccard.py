@@ -10,18 +10,24 @@ of the larger is among the first of the smaller (prefix filter), so only these a
 of them only tokens that several sets hold. The order looks at a set's smallest hashes only
 (``keys``), so the rest of it is never shuffled.
 
-Skipping in the index: the entries of a token are blocks by size class and position. What two
-sets can still share from their positions on bounds their overlap, so whole pairs of blocks are
-skipped by their ends, and pairs within the blocks left by their own positions.
-
-Skipping of answers: the first entry of a list (its hub) is compared with the others first, and
-its answers are used for theirs. Sets linked to one hub are connected, whatever their own
-overlap. For other pairs y, z the overlaps with a common hub x bound their own,
-|xy| + |xz| - |x| <= |yz| <= min(|xy|, |xz|) + min(|y| - |xy|, |z| - |xz|), which settles most
-without reading a text; the rest is compared in full.
-
-Copies collapse to one set before any pair is formed; a group of near copies costs one
-comparison with its hub for each of its sets. A list is never gathered: hubs come from
+Skipping of answers: one set of a list, its hub, is compared with the others first (the one with
+the fewest rarer tokens: of near copies the original), and its answers are used for theirs. Sets
+linked to one hub are connected, whatever their own overlap. In lists of up to ``FEW`` sets the
+others meet pair by pair, and the overlaps with the hub x bound theirs, |xy| + |xz| - |x| <= |yz| <=
+min(|xy|, |xz|) + min(|y| - |xy|, |z| - |xz|), which settles many without reading a text. In longer
+lists a set's answers follow from its difference to the hub alone: y and z differ in what x ^ y
+and x ^ z differ in (^: symmetric difference). Of two sets that the hub does not connect one
+differs from it by more than links allow, so they only link if their differences share elements:
+the differences of a hub's list are joined by an index of their own, seldom elements first.
+
+Skipping in the index: the entries of a difference's element are blocks by size class and
+position. What two differences can still share from their positions on bounds how alike their
+sets are, so whole pairs of blocks are skipped by their ends, and pairs within the blocks left by
+their own positions. Elements that all sets of a list share (the hub's own traits) end in blocks
+that are skipped without a look at their entries.
+
+Copies collapse to one set before any pair is formed; a group of near copies costs one comparison
+with its hub for each of its sets, and its rare differences. No list is gathered: hubs come from
 aggregates, blocks are cut to about ``BLOCK`` entries, and links join a component without being
 expanded to all pairs.
 
@@ -43,6 +49,7 @@ from threatlake.llm.text import LOWER, of_text
 
 SHINGLE = 3
 NUM, DEN = 9, 10
+FEW = 32  # sets of a list that meet pair by pair
 BLOCK = 256  # entries of a block, about
 _RANKED = 41  # of 256 parts of the hash range, whose tokens are ordered by how many sets hold them
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -124,74 +131,106 @@ def _texts(docs: DataFrame, sets: DataFrame) -> DataFrame:
             .groupBy("u").agg(F.first("text").alias("text")))
 
 
-def _overlap(size: int) -> Column:
-    """Overlap of the sets of texts x and y; rows come sorted by x, whose set is kept."""
-    @F.arrow_udf("long")
-    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+def _beside(fn, ddl: str) -> Column:
+    """``fn`` of the token sets of texts x and y; rows come sorted by x, whose set is kept."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+    kind = to_arrow_type(_parse_datatype_string(ddl))
+
+    @F.arrow_udf(ddl)
+    def run(x: pa.Array, y: pa.Array, size: pa.Array) -> pa.Array:
         out, last, own = [], None, None
-        for a, b in zip(x, y):
-            a, b = a.as_py(), b.as_py()
+        for a, b, n in zip(x, y, size):
+            a = a.as_py()
             if a != last:
-                last, own = a, tokens(a, size)
-            other = tokens(b, size)
-            at = np.searchsorted(own, other)
-            out.append(int(np.count_nonzero(own[np.minimum(at, len(own) - 1)] == other)))
-        return pa.array(out, pa.int64())
-    return run(F.col("x").cast("binary"), F.col("y").cast("binary"))
+                last, own = a, tokens(a, n.as_py())
+            out.append(fn(own, tokens(b.as_py(), n.as_py())))
+        return pa.array(out, kind)
+    return run(F.col("x").cast("binary"), F.col("y").cast("binary"), F.col("size"))
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """(a, b, common): the overlap of every pair (a, b) of sets."""
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    return int(np.count_nonzero(x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y))
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.setxor1d(x, y, assume_unique=True).view(np.int64)
+
+
+def _read(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """``pairs`` (a, b, ...) of sets with their texts x and y."""
     used = pairs.select(F.col("a").alias("u")).union(pairs.select(F.col("b").alias("u"))).distinct()
     texts = written(_texts(docs, sets.join(used, "u", "left_semi")))
     x, y = (texts.select(F.col("u").alias(c), F.col("text").alias(k)) for c, k in (("a", "x"), ("b", "y")))
-    return written(pairs.join(y, "b").join(x, "a").select("a", "b", _overlap(size).alias("common")))
-
-
-def _left_over(entries: DataFrame, hubs: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, an, b, bn): pairs of a list that its hub's answers do not connect and that may link."""
-    rooted = (entries.join(hubs.select("k", F.col("hub.u").alias("hub")), "k").join(roots.withColumnRenamed("node", "u"), "u", "left")
-              .withColumn("root", F.coalesce("root", "u")))
-    live = (rooted.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-            .where((F.col("lo") != F.col("hi")) & (F.col("size") > 2)).select("k", "size"))
-    # Sets that link are at most one size class apart: log(den / num) is below the class width.
-    width = F.lit(float(np.log(den / num) * 1.05))
-    rows = rooted.join(live, "k").where("u <> hub")
-    part = F.pmod(F.xxhash64("u"), F.floor(F.col("size") / BLOCK) + 1)
-    blocks = (rows.groupBy("k", F.floor(F.log("n") / width).alias("class"), F.floor(F.col("pos") * 100 / F.col("n")).alias("place"), part.alias("part"))
-              .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"), F.min("root").alias("r0"), F.max("root").alias("r1"),
-                   F.collect_list(F.struct("u", "n", "pos", "root")).alias("held")))
-    blocks = blocks.withColumn("block", F.struct("class", "place", "part"))
-    one, two = (blocks.select(F.col("k").alias(f"k_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in blocks.columns if c != "k"]) for s in "xy")
-    least = (F.col("n0_x") + F.col("n0_y")) * num
-    fits = ((F.col("block_x") <= F.col("block_y")) & (F.col("class_y") - F.col("class_x") <= 1)
-            & ((F.col("n1_x") - F.col("p0_x")) * (num + den) >= least) & ((F.col("n1_y") - F.col("p0_y")) * (num + den) >= least)
-            & ~((F.col("r0_x") == F.col("r1_x")) & (F.col("r0_y") == F.col("r1_y")) & (F.col("r0_x") == F.col("r0_y"))))
-    met = one.join(two, (F.col("k_x") == F.col("k_y")) & fits)
+    return pairs.join(y, "b").join(x, "a").withColumn("size", F.lit(size))
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """``pairs`` (a, b, ...) with ``common``, the overlap of the two sets."""
+    return written(_read(pairs, docs, sets, size).withColumn("common", _beside(_common, "long")).drop("x", "y", "size"))
+
+
+def _in_order(a: Column, an: Column, b: Column, bn: Column, *more: Column) -> list[Column]:
+    swap = a > b
+    return [F.when(swap, b).otherwise(a).alias("a"), F.when(swap, bn).otherwise(an).alias("an"),
+            F.when(swap, a).otherwise(b).alias("b"), F.when(swap, an).otherwise(bn).alias("bn"), *more]
+
+
+def _few(entries: DataFrame, tested: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, an, b, bn, lo, hi): pairs of short lists that their hub's answers do not connect and that
+    may link, with the bounds of their overlap that follow from both overlaps with the hub (null:
+    none). ``entries``: (k, u, n, pos, root, hub, hn)."""
+    known = tested.select(F.col("a").alias("hub"), F.col("b").alias("u"), "common")
+    rows = entries.where("u <> hub").join(known, ["hub", "u"], "left")
+    other = rows.withColumnsRenamed({c: f"{c}_" for c in rows.columns if c != "k"})
+    met = rows.join(other, "k").where((F.col("u") < F.col("u_")) & (F.col("root") != F.col("root_")) & _may_link("n", "pos", "n_", "pos_", num, den))
+    hi = F.when(F.col("common").isNotNull() & F.col("common_").isNotNull(),
+                F.least("common", "common_") + F.least(F.col("n") - F.col("common"), F.col("n_") - F.col("common_")))
+    return met.select(*_in_order(F.col("u"), F.col("n"), F.col("u_"), F.col("n_"), (F.col("common") + F.col("common_") - F.col("hn")).alias("lo"), hi.alias("hi")))
+
+
+def _by_difference(differences: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, an, b, bn): pairs of sets around one hub that may link by what their differences to it
+    share. ``differences``: (hub, u, n, root, d), d the elements in which the set and the hub differ."""
+    held = differences.select("hub", "u", F.explode("d").alias("e"))
+    often = held.groupBy("hub", "e").agg(F.count("*").alias("df")).where("df > 1")
+    ranks = (held.join(often, ["hub", "e"]).groupBy("hub", "u")
+             .agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("ranks")))
+    own = differences.select("hub", "u", "n", "root", F.size("d").cast("long").alias("size"))
+    first = F.col("size") - F.size("ranks")
+    rows = (ranks.join(own, ["hub", "u"])
+            .select("hub", "u", "n", "root", "size", F.explode(F.transform("ranks", lambda x, i: F.struct(
+                (first + i).alias("pos"), x["e"].alias("e"), x["df"].alias("df")))).alias("x"))
+            .select("hub", "u", "n", "root", "size", "x.*"))
+    # A set of n tokens differs from one it links with in at most n * (den - num) / num tokens.
+    rows = rows.where(F.col("pos") * num <= F.col("n") * (den - num))
+    # Two sets differ in size + size - 2 * shared, of which links allow (n + n) * (den - num) / (num + den).
+    part = F.pmod(F.xxhash64("u"), F.floor(F.col("df") / BLOCK) + 1)
+    rest = 2 * (F.col("size") - F.col("pos"))
+    blocks = (rows.groupBy("hub", "e", F.floor(F.log2("size") * 4).alias("class"), F.floor(F.log2(F.col("pos") + 1) * 4).alias("place"), part.alias("part"))
+              .agg(F.min("size").alias("size0"), F.max(rest).alias("rest1"), F.max("n").alias("n1"), F.min("root").alias("r0"), F.max("root").alias("r1"),
+                   F.collect_list(F.struct("u", "n", "root", "size", rest.alias("rest"))).alias("held"))
+              .withColumn("block", F.struct("class", "place", "part")))
+    one, two = (blocks.select("hub", "e", *[F.col(c).alias(f"{c}_{s}") for c in blocks.columns if c not in ("hub", "e")]) for s in "xy")
+
+    def reach(rest: str, size_x: str, size_y: str, n_x: str, n_y: str) -> Column:
+        return F.col(rest) * (num + den) >= (F.col(size_x) + F.col(size_y)) * (num + den) - (F.col(n_x) + F.col(n_y)) * (den - num)
+    met = one.join(two, ["hub", "e"]).where(
+        (F.col("block_x") <= F.col("block_y")) & ((F.col("r0_x") != F.col("r1_x")) | (F.col("r0_y") != F.col("r1_y")) | (F.col("r0_x") != F.col("r0_y")))
+        & reach("rest1_x", "size0_x", "size0_y", "n1_x", "n1_y") & reach("rest1_y", "size0_x", "size0_y", "n1_x", "n1_y"))
     pairs = (met.select((F.col("block_x") == F.col("block_y")).alias("same"), F.explode("held_x").alias("x"), "held_y")
              .select("same", "x", F.explode("held_y").alias("y"))
              .where((F.col("x.root") != F.col("y.root")) & (~F.col("same") | (F.col("x.u") < F.col("y.u")))
-                    & _may_link("x.n", "x.pos", "y.n", "y.pos", num, den)))
-    swap = F.col("x.u") > F.col("y.u")
-    pick = lambda f, p, q: F.when(swap, F.col(f"{q}.{f}")).otherwise(F.col(f"{p}.{f}"))
-    return pairs.select(pick("u", "x", "y").alias("a"), pick("n", "x", "y").alias("an"), pick("u", "y", "x").alias("b"),
-                        pick("n", "y", "x").alias("bn")).distinct()
-
-
-def _derived(pairs: DataFrame, tested: DataFrame, num: int, den: int) -> DataFrame:
-    """``pairs`` with ``link``: true or false where the overlaps of both with a common hub decide,
-    else null. ``tested``: (a, an, b, bn, common), a the hub."""
-    ty, tz = (tested.select(F.col("a").alias(f"hub_{s}"), F.col("an").alias(f"hn_{s}"), F.col("b").alias(f"u_{s}"), F.col("common").alias(f"c_{s}"))
-              for s in "yz")
-    met = (pairs.join(ty, F.col("a") == F.col("u_y")).join(tz, (F.col("b") == F.col("u_z")) & (F.col("hub_y") == F.col("hub_z"))))
-    bounds = met.groupBy("a", "b").agg(
-        F.max(F.col("c_y") + F.col("c_z") - F.col("hn_y")).alias("lo"),
-        F.min(F.least("c_y", "c_z") + F.least(F.col("an") - F.col("c_y"), F.col("bn") - F.col("c_z"))).alias("hi"))
-    bounds = bounds.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "lo", "hi")
+                    & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num)
+                    & reach("x.rest", "x.size", "y.size", "x.n", "y.n") & reach("y.rest", "x.size", "y.size", "x.n", "y.n")))
+    return pairs.select(*_in_order(*[F.col(c) for c in ("x.u", "x.n", "y.u", "y.n")])).distinct()
+
+
+def _derived(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, an, b, bn, link): every pair once; ``link`` is true or false where the bounds of any list decide, else null."""
     least = (F.col("an") + F.col("bn")) * num
-    return (pairs.join(bounds, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
-            .withColumn("link", F.when(F.col("lo") * (num + den) >= least, True).when(F.col("hi") * (num + den) < least, False))
-            .drop("_a", "_b", "lo", "hi"))
+    bounds = pairs.groupBy("a", "an", "b", "bn").agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"))
+    return bounds.withColumn("link", F.when(F.col("lo") * (num + den) >= least, True).when(F.col("hi") * (num + den) < least, False)).drop("lo", "hi")
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -202,22 +241,28 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM, den
     sets = written(rows.groupBy("sig").agg(F.min(F.struct("u", F.col("doc_id").alias("id"), "t")).alias("r"), F.min("doc_id").alias("first"),
                                            F.first("n").alias("n")).select("sig", "first", "n", "r.*"))
     entries = written(_entries(rows, sets, num, den))
-    hubs = (entries.groupBy("k").agg(F.min(F.struct("u", "n", "pos")).alias("hub"), F.count("*").alias("size")).where("size > 1"))
-    near = entries.join(hubs, "k").where(F.col("u") != F.col("hub.u")).where(_may_link("n", "pos", "hub.n", "hub.pos", num, den))
-    near = written(near.select(F.col("hub.u").alias("a"), F.col("hub.n").alias("an"), F.col("u").alias("b"), F.col("n").alias("bn")).distinct())
+    # The set with the fewest rarer tokens: of near copies the original, that most others link with.
+    hubs = (entries.groupBy("k").agg(F.min(F.struct("pos", "u", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1"))
+    lists = written(entries.join(hubs, "k").select("k", "u", "n", "pos", F.col("hub.u").alias("hub"), F.col("hub.n").alias("hn"),
+                                                   F.col("hub.pos").alias("hp"), (F.col("size") <= FEW).alias("few")))
+    near = lists.where(F.col("u") != F.col("hub")).where(~F.col("few") | _may_link("n", "pos", "hn", "hp", num, den))
 
     def linked(found: DataFrame) -> DataFrame:
         return found.where(F.col("common") * (num + den) >= (F.col("an") + F.col("bn")) * num).select("a", "b")
 
-    tested = written(near.join(_compared(near.select("a", "b"), docs, sets, size), ["a", "b"]))
+    tested = _compared(written(near.select(F.col("hub").alias("a"), F.col("hn").alias("an"), F.col("u").alias("b"), F.col("n").alias("bn")).distinct()),
+                       docs, sets, size)
     spokes = linked(tested)
-    pairs = _left_over(entries, hubs, components(spokes), num, den)
-    known = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    pairs = pairs.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-    pairs = written(_derived(written(pairs), tested, num, den))
-    open_ = pairs.where("link is null").drop("link")
-    rest = linked(open_.join(_compared(open_.select("a", "b"), docs, sets, size), ["a", "b"]))
-    roots = components(spokes.union(pairs.where("link").select("a", "b")).union(rest))
+    lists = lists.join(components(spokes).withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
+    mixed = lists.groupBy("k").agg((F.min("root") != F.max("root")).alias("mixed"), F.count("*").alias("size")).where("mixed and size > 2").select("k")
+    lists = written(lists.join(mixed, "k", "left_semi"))
+    pairs = _derived(_few(lists.where("few"), tested, num, den), num, den)
+    around = written(lists.where("not few and u <> hub").select(F.col("hub").alias("a"), F.col("u").alias("b"), "n", "root").distinct())
+    differences = written(_read(around, docs, sets, size).select(F.col("a").alias("hub"), F.col("b").alias("u"), "n", "root",
+                                                                 _beside(_apart, "array<long>").alias("d")))
+    unknown = pairs.where("link is null").drop("link").union(_by_difference(differences, num, den)).distinct()
+    rest = _compared(written(unknown.join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "an", "b", "bn")), docs, sets, size)
+    roots = components(spokes.union(pairs.where("link").select("a", "b")).union(linked(rest)))
     rooted = sets.join(roots.withColumnRenamed("node", "u"), "u", "left").select("sig", "n", "first", F.coalesce("root", "u").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component"))
     named = rooted.join(ids, "root").select(F.col("sig").alias("_sig"), "component")
