@@ -23,8 +23,8 @@ the differences of a hub's list are joined by an index of their own, seldom elem
 Skipping in the index: the entries of a difference's element are blocks by size class and
 position. What two differences can still share from their positions on bounds how alike their
 sets are, so whole pairs of blocks are skipped by their ends, and pairs within the blocks left by
-their own positions. Elements that all sets of a list share (the hub's own traits) end in blocks
-that are skipped without a look at their entries.
+their own positions and by bitmaps of the differences, before any row is made of them. Elements
+that all sets of a list share (the hub's own traits) end in blocks that are skipped whole.
 
 Copies collapse to one set before any pair is formed; a group of near copies costs one comparison
 with its hub for each of its sets, and its rare differences. No list is gathered: hubs come from
@@ -49,7 +49,7 @@ from threatlake.llm.text import LOWER, of_text
 
 SHINGLE = 3
 NUM, DEN = 9, 10
-FEW = 32  # sets of a list that meet pair by pair
+FEW = 8  # sets of a list that meet pair by pair
 BLOCK = 256  # entries of a block, about
 _RANKED = 41  # of 256 parts of the hash range, whose tokens are ordered by how many sets hold them
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -153,8 +153,12 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y))
 
 
-def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.setxor1d(x, y, assume_unique=True).view(np.int64)
+def _apart(x: np.ndarray, y: np.ndarray) -> dict:
+    """The elements in one of two sets only, and a bitmap of them (a bit is set by any element)."""
+    d = np.setxor1d(x, y, assume_unique=True)
+    bits = np.zeros(256, np.uint8)
+    bits[d >> np.uint64(56)] = 1
+    return {"d": d.view(np.int64), "bits": np.packbits(bits).view(np.int64)}
 
 
 def _read(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
@@ -191,38 +195,46 @@ def _few(entries: DataFrame, tested: DataFrame, num: int, den: int) -> DataFrame
 
 def _by_difference(differences: DataFrame, num: int, den: int) -> DataFrame:
     """(a, an, b, bn): pairs of sets around one hub that may link by what their differences to it
-    share. ``differences``: (hub, u, n, root, d), d the elements in which the set and the hub differ."""
+    share. ``differences``: (hub, u, n, root, d, bits), d the elements in which the set and the hub
+    differ, bits their bitmap."""
     held = differences.select("hub", "u", F.explode("d").alias("e"))
     often = held.groupBy("hub", "e").agg(F.count("*").alias("df")).where("df > 1")
     ranks = (held.join(often, ["hub", "e"]).groupBy("hub", "u")
              .agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("ranks")))
-    own = differences.select("hub", "u", "n", "root", F.size("d").cast("long").alias("size"))
+    own = differences.select("hub", "u", "n", "root", F.size("d").cast("long").alias("size"), "bits")
     first = F.col("size") - F.size("ranks")
     rows = (ranks.join(own, ["hub", "u"])
-            .select("hub", "u", "n", "root", "size", F.explode(F.transform("ranks", lambda x, i: F.struct(
+            .select("hub", "u", "n", "root", "size", "bits", F.explode(F.transform("ranks", lambda x, i: F.struct(
                 (first + i).alias("pos"), x["e"].alias("e"), x["df"].alias("df")))).alias("x"))
-            .select("hub", "u", "n", "root", "size", "x.*"))
+            .select("hub", "u", "n", "root", "size", "bits", "x.*"))
     # A set of n tokens differs from one it links with in at most n * (den - num) / num tokens.
     rows = rows.where(F.col("pos") * num <= F.col("n") * (den - num))
     # Two sets differ in size + size - 2 * shared, of which links allow (n + n) * (den - num) / (num + den).
     part = F.pmod(F.xxhash64("u"), F.floor(F.col("df") / BLOCK) + 1)
     rest = 2 * (F.col("size") - F.col("pos"))
-    blocks = (rows.groupBy("hub", "e", F.floor(F.log2("size") * 4).alias("class"), F.floor(F.log2(F.col("pos") + 1) * 4).alias("place"), part.alias("part"))
+    blocks = (rows.groupBy("hub", "e", F.floor(F.log2("size") * 16).alias("class"), F.floor(F.log2(F.col("pos") + 1) * 16).alias("place"), part.alias("part"))
               .agg(F.min("size").alias("size0"), F.max(rest).alias("rest1"), F.max("n").alias("n1"), F.min("root").alias("r0"), F.max("root").alias("r1"),
-                   F.collect_list(F.struct("u", "n", "root", "size", rest.alias("rest"))).alias("held"))
+                   F.collect_list(F.struct("u", "n", "root", "size", rest.alias("rest"), "bits")).alias("held"))
               .withColumn("block", F.struct("class", "place", "part")))
     one, two = (blocks.select("hub", "e", *[F.col(c).alias(f"{c}_{s}") for c in blocks.columns if c not in ("hub", "e")]) for s in "xy")
 
-    def reach(rest: str, size_x: str, size_y: str, n_x: str, n_y: str) -> Column:
-        return F.col(rest) * (num + den) >= (F.col(size_x) + F.col(size_y)) * (num + den) - (F.col(n_x) + F.col(n_y)) * (den - num)
+    def within(size_x: Column, size_y: Column, n_x: Column, n_y: Column, twice: Column) -> Column:
+        return (size_x + size_y - twice) * (num + den) <= (n_x + n_y) * (den - num)
+
+    def lacks(x: Column, y: Column) -> Column:
+        """Elements of x that its bitmap shows not to be in y, at least."""
+        return sum((F.bit_count(x["bits"][i].bitwiseAND(F.bitwise_not(y["bits"][i]))) for i in range(4)), F.lit(0))
+
+    def fits(x: Column, y: Column) -> Column:
+        shared = F.least(x["rest"], y["rest"], 2 * (x["size"] - lacks(x, y)), 2 * (y["size"] - lacks(y, x)))
+        return ((x["root"] != y["root"]) & (~F.col("same") | (x["u"] < y["u"])) & (F.least(x["n"], y["n"]) * den >= F.greatest(x["n"], y["n"]) * num)
+                & within(x["size"], y["size"], x["n"], y["n"], shared))
+    c = F.col
     met = one.join(two, ["hub", "e"]).where(
-        (F.col("block_x") <= F.col("block_y")) & ((F.col("r0_x") != F.col("r1_x")) | (F.col("r0_y") != F.col("r1_y")) | (F.col("r0_x") != F.col("r0_y")))
-        & reach("rest1_x", "size0_x", "size0_y", "n1_x", "n1_y") & reach("rest1_y", "size0_x", "size0_y", "n1_x", "n1_y"))
-    pairs = (met.select((F.col("block_x") == F.col("block_y")).alias("same"), F.explode("held_x").alias("x"), "held_y")
-             .select("same", "x", F.explode("held_y").alias("y"))
-             .where((F.col("x.root") != F.col("y.root")) & (~F.col("same") | (F.col("x.u") < F.col("y.u")))
-                    & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num)
-                    & reach("x.rest", "x.size", "y.size", "x.n", "y.n") & reach("y.rest", "x.size", "y.size", "x.n", "y.n")))
+        (c("block_x") <= c("block_y")) & ((c("r0_x") != c("r1_x")) | (c("r0_y") != c("r1_y")) | (c("r0_x") != c("r0_y")))
+        & within(c("size0_x"), c("size0_y"), c("n1_x"), c("n1_y"), F.least("rest1_x", "rest1_y")))
+    both = F.flatten(F.transform("held_x", lambda x: F.transform(F.filter("held_y", lambda y: fits(x, y)), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    pairs = met.withColumn("same", c("block_x") == c("block_y")).select(F.explode(both).alias("p")).select("p.x", "p.y")
     return pairs.select(*_in_order(*[F.col(c) for c in ("x.u", "x.n", "y.u", "y.n")])).distinct()
 
 
@@ -258,8 +270,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM, den
     lists = written(lists.join(mixed, "k", "left_semi"))
     pairs = _derived(_few(lists.where("few"), tested, num, den), num, den)
     around = written(lists.where("not few and u <> hub").select(F.col("hub").alias("a"), F.col("u").alias("b"), "n", "root").distinct())
-    differences = written(_read(around, docs, sets, size).select(F.col("a").alias("hub"), F.col("b").alias("u"), "n", "root",
-                                                                 _beside(_apart, "array<long>").alias("d")))
+    differences = _read(around, docs, sets, size).select(F.col("a").alias("hub"), F.col("b").alias("u"), "n", "root",
+                                                         _beside(_apart, "struct<d:array<long>,bits:array<long>>").alias("x"))
+    differences = written(differences.select("hub", "u", "n", "root", "x.*"))
     unknown = pairs.where("link is null").drop("link").union(_by_difference(differences, num, den)).distinct()
     rest = _compared(written(unknown.join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "an", "b", "bn")), docs, sets, size)
     roots = components(spokes.union(pairs.where("link").select("a", "b")).union(linked(rest)))
