@@ -487,6 +487,83 @@ def _feed_roundtrip(t):
                         "_valid", "_empty")
 
 
+def _landed_feed():
+    """The feed of a document in ``feed=<feed>--<page>/``."""
+    return F.regexp_extract("_file", r"/feed=([^/]*?)--[^/]*/[^/]+$", 1)
+
+
+def _feed_kinds(t):
+    """Feeds of three kinds, some documents cut off, some items without a key, and web pages
+    in one landing folder through the feed stream: its run log, rejects and archive per feed."""
+    from threatlake.streaming import jobs
+    p = _scratch(t, "mixed-landing")
+    number = F.substr("guid", F.lit(5)).cast("long")
+    keyless = number % 45 == 0
+    items = t.current.withColumn("page", F.floor(number / 200)).withColumns(
+        {"link": F.when(~keyless, F.col("link")), "guid": F.when(~keyless, F.col("guid"))})
+    last = F.ascii(F.right("feed_url", F.lit(1))) % 3
+    lnd.write_feed_documents(items, f"{p}/landing", F.when(last == 0, "rss").when(last == 1, "rdf").otherwise("atom"),
+                             F.col("page"), F.col("page") % 5 == 4)
+    web = t.raw("pages").groupBy(F.floor(F.col("page_id") / 200).alias("n")).agg(F.concat_ws("", F.collect_list("html")).alias("value"))
+    web.select(F.concat(F.lit("web--"), F.col("n").cast("string")).alias("feed"), "value").write.mode("append").partitionBy("feed").text(f"{p}/landing")
+    jobs.feed_ingest(t.spark, f"{p}/landing/*/", f"{p}/archive", f"{p}/current", now=AS_OF, name=p.rsplit("/", 1)[-1], feed=_landed_feed(),
+                     log_path=f"{p}/log", rejects_path=f"{p}/rejects", max_files=10000).awaitTermination()
+    sums = ["documents", "rejected", "items", "new", "updated", "failed", "empty_content"]
+    log = t.spark.read.parquet(f"{p}/log").groupBy("feed_name").agg(*[F.sum(c).alias(c) for c in sums])
+    refused = t.spark.read.parquet(f"{p}/rejects").groupBy("feed_name").agg(
+        F.max("kind").alias("cut_kind"), F.count_if(F.col("reason") == "malformed").alias("malformed"),
+        F.count_if(F.col("reason") == "unknown root").alias("unknown_root"))
+    stored = t.spark.read.parquet(f"{p}/archive").groupBy(F.col("feed_url").alias("feed_name")).agg(F.count("*").alias("archived"))
+    return (log.join(refused, "feed_name", "left").join(stored, "feed_name", "left")
+            .na.fill(0, ["malformed", "unknown_root", "archived"])
+            .select("feed_name", *sums, "cut_kind", "malformed", "unknown_root", "archived"))
+
+
+def _run_log_changes(t):
+    """Item versions landed before and after the split, through the feed stream twice: the
+    changes per feed that the second run entered in its log."""
+    from threatlake.streaming import jobs
+    p = _scratch(t, "versions")
+    _, pre, post = _split(t)
+    for run, rows in (("first", pre), ("second", post)):
+        lnd.write_feed_documents(rows, f"{p}/{run}", F.lit("rss"), F.floor(F.col("event_id") / 500))
+        jobs.feed_ingest(t.spark, f"{p}/{run}/*/", f"{p}/archive", f"{p}/current", now=AS_OF, name=f"{p.rsplit('/', 1)[-1]}-{run}",
+                         feed=_landed_feed(), log_path=f"{p}/log", max_files=10000).awaitTermination()
+    log = t.spark.read.parquet(f"{p}/log").where(F.col("job").endswith("-second"))
+    return log.groupBy(F.col("feed_name").alias("feed_url")).agg(
+        F.sum("items").alias("processed"), *[F.sum(c).alias(c) for c in ("new", "updated", "failed", "empty_content")])
+
+
+def _nvd_windows(t):
+    """Orders as NVD records through the windowed run, broken off after its second window and
+    run again: stored records per window, and the window after which the cursor log stood then."""
+    from threatlake.functions.json_fields import cve_published
+    from threatlake.operators.cursors import read_cursors
+    from threatlake.operators.cursors import append_cursor
+    from threatlake.streaming import jobs
+    p = _scratch(t, "nvd-windows")
+    o, start, now = _order_span(t)
+    begin, end = t.spark.range(1).select(start, now.cast("string")).first()
+    number = F.col("o_orderkey").cast("string")
+    rows = o.select(F.concat(F.lit("CVE-2024-"), F.lpad(number, 9, "0")).alias("cve_id"), F.lit("NVD").alias("source"),
+                    F.to_json(F.struct(F.concat(F.lit("CVE-2024-"), F.lpad(number, 9, "0")).alias("id"),
+                                       F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("published"))).alias("json"),
+                    F.col("o_orderdate").cast("timestamp_ntz").alias("modified"))
+    lnd.write_nvd_pages(rows, f"{p}/landing", _cve_num())
+    append_cursor(t.spark, f"{p}/state", "NVD", begin)
+    run = lambda **more: jobs.nvd_window_ingest(t.spark, f"{p}/landing", f"{p}/cve", f"{p}/state", end, days=800, multi_line=False, **more)
+    run(max_windows=2)
+    stood = read_cursors(t.spark, f"{p}/state").first().cursor
+    run()
+    stored = t.spark.read.parquet(f"{p}/cve").withColumn("published", cve_published("json"))
+    return (win.select_windowed(stored, "published", begin, end, 800).groupBy("w_start", "w_end")
+            .agg(F.count("*").alias("records"))
+            .withColumn("before_break", F.col("w_end") <= F.try_to_timestamp(F.lit(stood)).cast("timestamp_ntz")))
+
+
+register("stream_feed_kinds")(_feed_kinds)
+register("stream_run_log_changes")(_run_log_changes)
+register("stream_nvd_windows")(_nvd_windows)
 register("src_nvd_pages_roundtrip")(_nvd_roundtrip)
 register("src_kev_catalog_roundtrip")(_kev_roundtrip)
 register("src_epss_pages_roundtrip")(_epss_roundtrip)

@@ -22,6 +22,17 @@ from threatlake.session import checkpoint_dir
 BUCKET = "_bucket"
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing has been written yet. Any other
+    failure (a broken schema, no access) is raised, never taken for an empty table."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys, columns=None, buckets: int = 64):
         """``columns``: the stored columns (default: those of the first batch); order
@@ -33,10 +44,7 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
+        return read_if_exists(self.spark, self.path)
 
     def table(self) -> DataFrame | None:
         t = self.read()
@@ -55,6 +63,11 @@ class KeyedTable:
             return like.where(F.lit(False)).select(*cols)
         return t.where(F.col(BUCKET).isin(touched)).select(*cols)
 
+    def stored_like(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the buckets that the keys of ``batch`` fall into."""
+        b, touched = self._touched(batch)
+        return self._stored(touched, b).drop(BUCKET)
+
     def _write(self, df: DataFrame, mode: str) -> None:
         checkpoint_dir(self.spark)
         (df.checkpoint(eager=True).repartitionByRange(BUCKET, *self.keys).write.mode(mode)

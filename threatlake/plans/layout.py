@@ -11,9 +11,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from threatlake.operators.storage import read_if_exists
 from threatlake.operators.tables import write_snapshot
 
 
@@ -74,10 +74,8 @@ class StoredTables:
     @property
     def epss_latest(self):
         """The stream-maintained newest score per CVE, or None when it is not stored."""
-        try:
-            return self._r("epss_latest").select("cve_id", "as_of", "epss", "percentile")
-        except AnalysisException:
-            return None
+        t = read_if_exists(self.spark, f"{self.root}/epss_latest")
+        return None if t is None else t.select("cve_id", "as_of", "epss", "percentile")
 
 
 def scan_summary(df: DataFrame) -> list[str]:

@@ -58,6 +58,54 @@ RDF_DOC = T.StructType([T.StructField("channel", CHANNEL), T.StructField("item",
 DOCUMENTS = {"rss": ("channel", RSS_DOC), "atom": ("feed", ATOM_DOC), "rdf": ("rdf:RDF", RDF_DOC)}
 
 
+_BROKEN = T.StructField("_corrupt_record", S)
+# kind -> (schema of the root element, where in it the document is)
+ROOTS = {"rss": (T.StructType([T.StructField("channel", RSS_DOC), _BROKEN]), "rss.channel.*"),
+         "rdf": (T.StructType([*RDF_DOC.fields, _BROKEN]), "rdf.*"),
+         "atom": (T.StructType([*ATOM_DOC.fields, _BROKEN]), "atom.*")}
+_ROOT = (r"(?s)\A\x{FEFF}?(?:\s++|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*+(?:\[[^\]]*+\])?+[^>]*+>)*+<([A-Za-z_][\w.:-]*)")
+
+
+def document_text(content) -> "F.Column":
+    """Bytes of a landed document as text: Latin-1 where its prolog says so, else UTF-8."""
+    c = F.col(content) if isinstance(content, str) else content
+    prolog = F.decode(F.substring(c, 1, 200), "ISO-8859-1")
+    latin = F.lower(F.regexp_extract(prolog, "^<\\?xml[^>]*encoding=[\"']([^\"']+)", 1)).isin("iso-8859-1", "latin1", "windows-1252")
+    return F.when(latin, F.decode(c, "ISO-8859-1")).otherwise(c.cast("string"))
+
+
+def document_kind(text) -> "F.Column":
+    """``rss``, ``rdf`` or ``atom`` by the name of the root element, else null."""
+    root = F.lower(F.regexp_extract(text, _ROOT, 1))
+    return F.when(root == "rss", "rss").when(root == "rdf:rdf", "rdf").when(root == "feed", "atom")
+
+
+def parse_documents(files: DataFrame, kind: str | None = None) -> DataFrame:
+    """Landed files (``path``, ``modificationTime``, ``content``) of any kind -> one row each:
+    ``_file``, ``_mtime``, ``kind``, the parsed document in the column of its kind, and ``reason``
+    why it is rejected (null: it is not). With ``kind`` given, documents of another are rejected."""
+    text = files.select(F.col("path").alias("_file"), F.col("modificationTime").cast("timestamp_ntz").alias("_mtime"),
+                        document_text("content").alias("text"))
+    found = text.withColumn("kind", document_kind("text"))
+    parsed = found.select("_file", "_mtime", "kind", *[
+        F.when(F.col("kind") == k, F.from_xml("text", schema)).alias(k) for k, (schema, _) in ROOTS.items()])
+    broken = F.coalesce(*[F.col(f"{k}._corrupt_record") for k in ROOTS])
+    reason = F.when(F.col("kind").isNull(), "unknown root").when(broken.isNotNull(), "malformed")
+    if kind:
+        reason = F.coalesce(reason, F.when(F.col("kind") != kind, "other kind"))
+    return parsed.withColumn("reason", reason)
+
+
+def parsed_items(parsed: DataFrame) -> DataFrame:
+    """Items of the documents of ``parse_documents`` that are not rejected, with their ``kind``."""
+    out = None
+    for k, (_, inside) in ROOTS.items():
+        docs = parsed.where((F.col("kind") == k) & F.col("reason").isNull()).select("_file", "_mtime", inside)
+        items = document_items(docs, k).withColumn("kind", F.lit(k))
+        out = items if out is None else out.unionByName(items)
+    return out
+
+
 def with_file_columns(df: DataFrame) -> DataFrame:
     return (df.withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_mtime", F.col("_metadata.file_modification_time").cast("timestamp_ntz")))
@@ -148,7 +196,7 @@ def normalise_items(raw: DataFrame, feed_url, now, max_summary_chars: int | None
         now_c.alias("inserted_at"),
         guid.isNotNull().alias("_valid"),
         empty_content(content, summary).alias("_empty"),
-        *[c for c in ("_file", "_mtime", "_pos") if c in raw.columns],
+        *[c for c in ("_file", "_mtime", "_pos", "kind") if c in raw.columns],
     )
 
 

@@ -71,3 +71,39 @@ def write_epss_pages(epss: DataFrame, path: str, key, page_size: int = PAGE_SIZE
     doc = F.to_json(F.struct(F.lit("OK").alias("status"), "total",
                              (F.col("page") * page_size).alias("offset"), F.lit(page_size).alias("limit"), "data"))
     pages.select("as_of", doc.alias("value")).write.mode("overwrite").partitionBy("as_of").text(path)
+
+
+def _element(name: str, c) -> "F.Column":
+    """``<name>text</name>``, nothing for null."""
+    text = F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), text, F.lit(f"</{name}>")), F.lit(""))
+
+
+# Kind -> (what comes before a document's items, after them)
+_FRAMES = {
+    "rss": ('<?xml version="1.0" encoding="UTF-8"?>\n<rss xmlns:content="urn:c" version="2.0"><channel><title>f</title>', "</channel></rss>"),
+    "rdf": ('<rdf:RDF xmlns:rdf="urn:r" xmlns:content="urn:c" xmlns:dc="urn:d"><channel><title>f</title></channel>', "</rdf:RDF>"),
+    "atom": ('<?xml version="1.0"?><!-- landed --><feed xmlns="urn:a"><title>f</title>', "</feed>"),
+}
+
+
+def write_feed_documents(items: DataFrame, path: str, kind, page, broken=None) -> None:
+    """Items -> one document per feed and ``page`` in ``path/feed=<feed>--<page>/``, of the kind
+    that the expression ``kind`` names; documents with ``broken`` end in the middle."""
+    when = F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    common = [_element("title", F.col("title"))]
+    forms = {
+        "rss": F.concat(F.lit("<item>"), *common, _element("link", F.col("link")), _element("guid", F.col("guid")), _element("pubDate", when),
+                        _element("description", F.col("summary")), _element("content:encoded", F.col("content")), F.lit("</item>")),
+        "rdf": F.concat(F.lit("<item>"), *common, _element("link", F.col("link")), _element("guid", F.col("guid")), _element("dc:date", when),
+                        _element("description", F.col("summary")), _element("content:encoded", F.col("content")), F.lit("</item>")),
+        "atom": F.concat(F.lit("<entry>"), *common, F.coalesce(F.concat(F.lit('<link href="'), F.col("link"), F.lit('"/>')), F.lit("")),
+                         _element("id", F.col("guid")), _element("published", when), _element("summary", F.col("summary")),
+                         _element("content", F.col("content")), F.lit("</entry>"))}
+    pick = lambda values: F.coalesce(*[F.when(F.col("kind") == k, v) for k, v in values.items()])
+    rows = items.withColumn("kind", kind).select(F.concat_ws("--", "feed_url", page.cast("string")).alias("feed"), "kind",
+                                                 (broken if broken is not None else F.lit(False)).alias("broken"), pick(forms).alias("item"))
+    docs = rows.groupBy("feed", "kind").agg(F.max("broken").alias("broken"), F.array_join(F.collect_list("item"), "").alias("body"))
+    text = F.concat(pick({k: F.lit(a) for k, (a, _) in _FRAMES.items()}), "body", pick({k: F.lit(b) for k, (_, b) in _FRAMES.items()}))
+    cut = F.when(F.col("broken"), F.substr(text, F.lit(1), F.greatest(F.floor(F.length(text) / 2).cast("int"), F.lit(120)))).otherwise(text)
+    docs.select("feed", cut.alias("value")).write.mode("append").partitionBy("feed").text(path)

@@ -12,18 +12,19 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from threatlake.functions.json_fields import cve_published
 from threatlake.operators import tables as tbl
+from threatlake.operators.cursors import append_cursor, read_cursors
 from threatlake.operators.snapshots import ts_lit
-from threatlake.operators.storage import KeyedTable
+from threatlake.operators.storage import KeyedTable, read_if_exists
 from threatlake.plans import alerts as alr
 from threatlake.schemas import (CVE_KEY, EPSS_PAGE, FEED_ITEM, FEED_ITEM_KEEP_FIRST, FEED_ITEM_KEY, KEV_CATALOG,
                                 NVD_PAGE)
 from threatlake.session import checkpoint_dir
 from threatlake.sources import cve_files, feeds
-from threatlake.sources.windows import page_completeness
+from threatlake.sources.windows import MAX_WINDOW_DAYS, page_completeness, select_windowed, window_plan
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
@@ -37,31 +38,61 @@ def _start(stream: DataFrame, fn, name: str, spark: SparkSession, trigger: dict
 
 
 # ---------------------------------------------------------------- STR1 -------------
+RUN_LOG = ["job", "batch_id", "feed_name", "ts", "status", "documents", "rejected", "items", "new", "updated", "failed", "empty_content"]
+REJECTS = ["file", "landed_at", "feed_name", "kind", "reason"]
+
+
 def feed_ingest(spark: SparkSession, landing: str, archive_path: str, current_path: str,
-                kind: str = "rss", now=None, trigger: dict | None = None, name: str = "feeds",
-                max_files: int = 100, registry: DataFrame | None = None):
+                kind: str | None = None, now=None, trigger: dict | None = None, name: str = "feeds",
+                max_files: int = 100, registry: DataFrame | None = None, feed=None,
+                log_path: str | None = None, rejects_path: str | None = None):
     """Landed feed documents (``landing/<feed>/<file>.xml``) -> ``archive`` (insert-if-
-    absent) and ``current`` (upsert, keep-first columns). Rejected rows (no key) are
-    dropped, as the source system logs and skips them. ``feed_url`` is the feed's URL
-    from ``registry`` (``name`` = landing folder), else the folder name."""
-    tag, schema = feeds.DOCUMENTS[kind]
-    stream = feeds.with_file_columns(
-        spark.readStream.format("xml").option("rowTag", tag).schema(schema)
-        .option("maxFilesPerTrigger", max_files).load(landing))
+    absent) and ``current`` (upsert, keep-first columns). RSS, RDF and Atom documents may
+    share a folder: a document's kind is that of its root element (``kind`` restricts it).
+    Unreadable documents go to the table at ``rejects_path`` with the reason; rows without
+    a key are dropped, as the source system logs and skips them. ``feed_url`` is the feed's
+    URL from ``registry`` (``name`` = landing folder), else the folder name; ``feed`` gives
+    another expression over ``_file``.
+
+    With ``log_path`` each micro-batch enters its counts per feed in a run log. The entry is
+    written before the tables and kept if present: a batch that runs again after a crash
+    finds the counts of its first run, which saw the tables as they were."""
+    stream = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("maxFilesPerTrigger", max_files).load(landing))
     cols = [f.name for f in FEED_ITEM.fields]
     archive = KeyedTable(spark, archive_path, FEED_ITEM_KEY, cols)
     current = KeyedTable(spark, current_path, FEED_ITEM_KEY, cols)
     order = ["_mtime", "_file", "_pos"]  # later fetches win; document order within a fetch
+    folder = feed if feed is not None else feeds.feed_key_from_path()
+
+    def named(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_feed", folder)
+        if registry is None:
+            return df.withColumn("_url", F.col("_feed"))
+        urls = registry.select(F.col("name").alias("_feed"), F.col("url").alias("_url"))
+        return df.join(urls, "_feed", "left").withColumn("_url", F.coalesce("_url", "_feed"))
+
+    def log(documents: DataFrame, items: DataFrame, batch_id: int) -> None:
+        changes = tbl.change_summary(tbl.classify_changes(archive.stored_like(items.where("_valid")), items, FEED_ITEM_KEY, order))
+        seen = documents.groupBy(F.col("_url").alias("feed_name")).agg(F.count("*").alias("documents"), F.count("reason").alias("rejected"))
+        counts = seen.join(changes.withColumnsRenamed({"feed_url": "feed_name", "processed": "items"}), "feed_name", "left")
+        entry = (counts.na.fill(0).withColumn("job", F.lit(name)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                 .withColumn("ts", (ts_lit(now) if now is not None else F.current_timestamp()).cast("timestamp_ntz"))
+                 .withColumn("status", F.when(F.col("rejected") < F.col("documents"), "success").otherwise("error")))
+        KeyedTable(spark, log_path, RUN_LOG[:3], RUN_LOG, buckets=8).insert_new(entry, ["ts"])
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        raw = feeds.document_items(df, kind).withColumn("_feed", feeds.feed_key_from_path())
-        if registry is not None:
-            raw = raw.join(registry.select(F.col("name").alias("_feed"), F.col("url").alias("_url")), "_feed", "left")
-            url = F.coalesce(F.col("_url"), F.col("_feed"))
-        else:
-            url = F.col("_feed")
-        items = feeds.normalise_items(raw, url, now if now is not None else F.current_timestamp())
-        valid = items.where("_valid").select(*cols, *order).checkpoint(eager=True)  # one parse per batch
+        parsed = named(feeds.parse_documents(df, kind)).checkpoint(eager=True)  # one parse per batch
+        raw = named(feeds.parsed_items(parsed))
+        items = feeds.normalise_items(raw, F.col("_url"), now if now is not None else F.current_timestamp())
+        items = items.select(*cols, *order, "_valid").checkpoint(eager=True)
+        if rejects_path:
+            refused = parsed.where("reason is not null").select(F.col("_file").alias("file"), F.col("_mtime").alias("landed_at"),
+                                                                F.col("_url").alias("feed_name"), "kind", "reason")
+            KeyedTable(spark, rejects_path, REJECTS[:2], REJECTS, buckets=8).insert_new(refused, ["reason"])
+        if log_path:
+            log(parsed, items, batch_id)
+        valid = items.where("_valid").drop("_valid")
         archive.insert_new(valid, order)
         current.upsert(valid, order, FEED_ITEM_KEEP_FIRST)
 
@@ -86,19 +117,21 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
     so readers of "latest per CVE" never aggregate the whole history."""
     stream = (spark.readStream.schema(EPSS_PAGE).option("multiLine", True)
               .option("maxFilesPerTrigger", max_files).json(landing)
-              .withColumn("_file", F.col("_metadata.file_path")))
+              .withColumn("_file", F.col("_metadata.file_path"))
+              .withColumn("_mtime", F.col("_metadata.file_modification_time").cast("timestamp_ntz")))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        page_cols = [f.name for f in EPSS_PAGE.fields] + ["_file", "snapshot"]
+        page_cols = [f.name for f in EPSS_PAGE.fields] + ["_file", "_mtime", "snapshot"]
         pages = df.withColumn("snapshot", cve_files.snapshot_key()).select(*page_cols)
         touched = [r[0] for r in pages.select("snapshot").distinct().collect()]  # snapshots in this batch
-        try:
-            prior = spark.read.parquet(staging_path).where(F.col("snapshot").isin(touched)).select(*page_cols)
-            pages_all = pages.unionByName(prior)
-        except AnalysisException:  # nothing staged yet
-            pages_all = pages
-        # a replayed batch or a re-landed page may repeat a page: one per (snapshot, offset)
-        pages_all = pages_all.dropDuplicates(["snapshot", "offset"]).checkpoint(eager=True)
+        prior = read_if_exists(spark, staging_path)
+        pages_all = pages if prior is None else pages.unionByName(prior.where(F.col("snapshot").isin(touched)).select(*page_cols))
+        # a replayed batch or a re-landed page may repeat a page: of each (snapshot, offset) the
+        # file that landed last counts, whatever order the files arrived in
+        newest = (pages_all.groupBy("snapshot", "offset").agg(F.max(F.struct("_mtime", "_file")).alias("l"))
+                  .select("snapshot", "offset", "l._mtime", "l._file"))
+        pages_all = (pages_all.join(newest, ["snapshot", "offset", "_mtime", "_file"], "left_semi")
+                     .dropDuplicates(["snapshot", "offset"]).checkpoint(eager=True))
         stats = pages_all.select("snapshot", "offset", "total", F.size("data").alias("rows"))
         complete = page_completeness(stats, "snapshot").where("complete").select("snapshot")
         # only pages of snapshots still short are staged for later batches
@@ -109,11 +142,8 @@ def epss_ingest(spark: SparkSession, landing: str, staging_path: str, epss_path:
         days = [r[0] for r in rows.select("as_of").distinct().collect()]  # days complete in this batch
         if not days:
             return
-        new = rows
-        try:
-            new = tbl.new_snapshot_rows(spark.read.parquet(epss_path), rows)
-        except AnalysisException:  # first load: no table yet
-            pass
+        loaded = read_if_exists(spark, epss_path)
+        new = rows if loaded is None else tbl.new_snapshot_rows(loaded, rows)
         tbl.write_snapshot(new, epss_path)
         # Everything below follows from the days as stored, whether this batch or an earlier,
         # broken-off run of it wrote them, and may run again.
@@ -137,7 +167,7 @@ def _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now):
     if cve is None:
         cve = spark.createDataFrame([], "cve_id string, source string, json string, cvss_base decimal(3,1), "
                                         "epss decimal(6,5), modified timestamp_ntz")
-    state = _read_state(spark, state_path)
+    state = read_cursors(spark, state_path)
     sleepers = alr.detect_sleepers(epss, cve)
     due = alr.alert_once(sleepers, state).checkpoint(eager=True)
     if due.isEmpty():
@@ -149,14 +179,7 @@ def _alert_after_load(spark, epss_path, cve_path, alerts_path, state_path, now):
     sent = alr.generic_payload(due, stamp).select(day.alias("alert_day"), stamp.alias("sent_at"), "payload")
     KeyedTable(spark, alerts_path, ["alert_day"], ["alert_day", "sent_at", "payload"], buckets=8) \
         .insert_new(sent, ["sent_at"])
-    tbl.set_cursor(state, "ALERTING", day).checkpoint(eager=True).write.mode("overwrite").parquet(state_path)
-
-
-def _read_state(spark, path):
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # no cursor stored yet
-        return tbl.empty_state(spark)
+    append_cursor(spark, state_path, "ALERTING", day)
 
 
 # ---------------------------------------------------------------- STR3 -------------
@@ -175,9 +198,12 @@ def cve_ingest(spark: SparkSession, landing: str, cve_path: str, kind: str = "nv
     def batch(df: DataFrame, batch_id: int) -> None:
         if kind == "nvd":
             rows = cve_files.nvd_rows(df, n)
+            rows = rows.checkpoint(eager=True)
             table.upsert(rows, ["modified"], keep_first=["epss"])
+            if state_path:
+                append_cursor(spark, state_path, "NVD", rows.select(_cursor_text(F.max(cve_published("json")))).scalar())
             return
-        state = _read_state(spark, state_path) if state_path else tbl.empty_state(spark)
+        state = read_cursors(spark, state_path) if state_path else tbl.empty_state(spark)
         gate = tbl.catalog_changed(cve_files.kev_header(df), state)
         fresh = df.join(gate.where("changed").select(F.col("new_cursor")),
                         tbl.normalise_rfc3339(F.coalesce(F.when(F.col("dateReleased") != "", F.col("dateReleased")),
@@ -188,11 +214,35 @@ def cve_ingest(spark: SparkSession, landing: str, cve_path: str, kind: str = "nv
         table.upsert(rows, ["modified"], keep_first=["cvss_base", "epss"])
         if state_path:
             newest = gate.where("changed").select(F.max("new_cursor")).scalar()
-            tbl.set_cursor(state, "CISA-KEV", newest).checkpoint(eager=True).write.mode("overwrite").parquet(state_path)
+            append_cursor(spark, state_path, "CISA-KEV", newest)
 
     return _start(stream, batch, name or f"cve-{kind}", spark, trigger)
 
 
+def _cursor_text(t):
+    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def nvd_window_ingest(spark: SparkSession, landing: str, cve_path: str, state_path: str, now, days: int = MAX_WINDOW_DAYS,
+                      multi_line: bool = True, max_windows: int | None = None) -> int:
+    """Landed NVD pages -> ``cve_enriched``, one publication window after the other from the
+    stored cursor to ``now``. The cursor moves when a window is stored, so a run that breaks
+    off goes on with the next window (``max_windows`` ends it early). Returns the windows done;
+    their number depends on the time since the cursor only."""
+    table = KeyedTable(spark, cve_path, CVE_KEY, ["cve_id", "source", "json", "cvss_base", "epss", "modified"])
+    cursor = read_cursors(spark, state_path).where(F.col("source") == "NVD").select(F.max("cursor")).first()[0]
+    rows = cve_files.read_nvd_pages(spark, landing, now, multi_line).withColumn("_published", cve_published("json"))
+    checkpoint_dir(spark)
+    todo = select_windowed(rows, "_published", cursor, now, days).checkpoint(eager=True)
+    plan = window_plan(spark, cursor, now, days).limit(max_windows) if max_windows is not None else window_plan(spark, cursor, now, days)
+    done = 0
+    for w in plan.collect():  # one row per window
+        table.upsert(todo.where(F.col("w_start") == F.lit(w.w_start)).drop("w_start", "w_end", "_published"), ["modified"], keep_first=["epss"])
+        append_cursor(spark, state_path, "NVD", w.cursor_after)
+        done += 1
+    return done
+
+
 # ---------------------------------------------------------------- STR5 -------------
 def hourly_severity(analyses: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Streaming aggregation: analyses per hour and severity, event time ``analysed_at``;
