@@ -1,11 +1,16 @@
 """Structured Streaming jobs: file landing -> tables, idempotent re-runs."""
+import json
 import os
 import shutil
 import uuid
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from threatlake.operators.cursors import append_cursor, read_cursors
 from threatlake.operators.storage import KeyedTable
+from threatlake.sources import feeds
 from threatlake.sources.bindings import Tables
 from threatlake.streaming import jobs
 
@@ -209,3 +214,101 @@ def test_keyed_insert_replay_appends_nothing(spark, tmp_path):
     assert first == v.select("guid", "feed_url").distinct().count()
     assert table.insert_new(v, ["published", "event_id"]) == 0  # a replayed batch
     assert table.table().count() == first
+
+
+def test_documents_of_any_kind_share_a_folder(spark, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "mix").mkdir(parents=True)
+    for kind, folder in (("rss", "feeds"), ("rdf", "rdf"), ("atom", "atom")):
+        for i, path in enumerate(sorted(Path(FIXTURES, folder).rglob("*.*"))):
+            shutil.copy(path, landing / "mix" / f"{kind}{i}.xml")
+    (landing / "mix" / "cut.xml").write_text(UPDATE[:len(UPDATE) // 2])
+    (landing / "mix" / "page.xml").write_text("<!doctype html><html><body>503</body></html>")
+    (landing / "mix" / "empty.xml").write_text(" \n")
+    (landing / "mix" / "latin.xml").write_bytes('<?xml version="1.0" encoding="ISO-8859-1"?><rss><channel><item><guid>latin-1</guid>'
+                                                '<title>Käse</title></item></channel></rss>'.encode("latin-1"))
+    arch, log, rejects = (str(tmp_path / x) for x in ("archive", "log", "rejects"))
+    name = _name()
+    jobs.feed_ingest(spark, f"{landing}/*/", arch, str(tmp_path / "current"), now="2024-01-31 00:00:00", name=name,
+                     log_path=log, rejects_path=rejects).awaitTermination()
+    by_kind = feeds.parse_documents(spark.read.format("binaryFile").load(f"{landing}/*/"))
+    assert {r.kind for r in by_kind.where("reason is null").collect()} == {"rss", "rdf", "atom"}
+    got = {os.path.basename(r.file): (r.kind, r.reason) for r in spark.read.parquet(rejects).collect()}
+    assert got == {"cut.xml": ("rss", "malformed"), "page.xml": (None, "unknown root"), "empty.xml": (None, "unknown root")}
+    def alone(kind, folder):
+        files = [str(x) for x in Path(FIXTURES, folder).rglob("*.*")]
+        items = feeds.normalise_items(feeds.read_feed_items(spark, files, kind), F.lit("mix"), "2024-01-31 00:00:00")
+        return items.where("_valid").select("guid").distinct().count()
+    stored = spark.read.parquet(arch)
+    assert stored.count() == alone("rss", "feeds") + alone("rdf", "rdf") + alone("atom", "atom") + 1 and stored.where("guid = 'latin-1'").first().title == "Käse"
+    entry = spark.read.parquet(log).first()
+    assert (entry.rejected, entry.new, entry.status) == (3, stored.count(), "success")
+
+
+def test_log_entry_of_the_first_run_of_a_batch_stays(spark, tmp_path):
+    """A batch that runs again after its tables were written must not log its items as updates."""
+    landing = tmp_path / "landing"
+    shutil.copytree(os.path.join(FIXTURES, "feeds"), landing)
+    paths = [str(tmp_path / x) for x in ("archive", "current")]
+    name = _name()
+    for checkpoint in (name, name):
+        jobs.feed_ingest(spark, f"{landing}/*/", *paths, now="2024-01-31 00:00:00", name=name, log_path=str(tmp_path / "log")).awaitTermination()
+        shutil.rmtree(jobs._checkpoint(spark, name).removeprefix("file:"))  # the batch is not known to be done
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.groupBy().sum("new", "updated", "failed").first() == (4, 0, 1)
+
+
+def test_two_writers_and_a_crash_lose_no_cursor(spark, tmp_path):
+    path = str(tmp_path / "cursors")
+    assert read_cursors(spark, path).count() == 0
+    for i in range(3):
+        append_cursor(spark, path, "NVD", f"2024-01-0{i + 1}T00:00:00Z")
+        append_cursor(spark, path, "CISA-KEV", f"release {i}")
+    os.makedirs(f"{path}/_temporary/0")  # what a writer that died in between leaves
+    append_cursor(spark, path, "EPSS", None)
+    assert {tuple(r) for r in read_cursors(spark, path).collect()} == {("NVD", "2024-01-03T00:00:00Z"), ("CISA-KEV", "release 2")}
+
+
+def test_windowed_run_goes_on_after_the_last_stored_window(spark, tmp_path, monkeypatch):
+    pages, cve, state = tmp_path / "nvd", str(tmp_path / "cve"), str(tmp_path / "state")
+    pages.mkdir()
+    records = [{"cve": {"id": f"CVE-2023-{i:05}", "published": f"2023-{i:02}-01T00:00:00", "lastModified": "2024-01-01T00:00:00"}} for i in range(1, 13)]
+    (pages / "0.json").write_text(json.dumps({"resultsPerPage": 12, "startIndex": 0, "totalResults": 12, "vulnerabilities": records}))
+    append_cursor(spark, state, "NVD", "2023-01-01T00:00:00Z")
+    upsert, calls = KeyedTable.upsert, []
+
+    def breaks(self, rows, *a, **k):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return upsert(self, rows, *a, **k)
+    monkeypatch.setattr(KeyedTable, "upsert", breaks)
+    with pytest.raises(RuntimeError):
+        jobs.nvd_window_ingest(spark, str(pages), cve, state, "2024-01-01 00:00:00", days=100)
+    assert read_cursors(spark, state).first().cursor == "2023-07-20T00:00:00Z"
+    assert spark.read.parquet(cve).count() == 7
+    assert jobs.nvd_window_ingest(spark, str(pages), cve, state, "2024-01-01 00:00:00", days=100) == 2
+    assert spark.read.parquet(cve).count() == 12 and read_cursors(spark, state).first().cursor == "2024-01-01T00:00:00Z"
+    assert jobs.nvd_window_ingest(spark, str(pages), cve, state, "2024-01-01 00:00:00", days=100) == 0
+
+
+def test_a_schema_error_is_not_an_empty_table(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    assert KeyedTable(spark, str(tmp_path / "none"), ["k"]).read() is None
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt|read"):
+        KeyedTable(spark, str(tmp_path / "t"), ["k"]).read()
+
+
+def test_a_corrected_page_wins_whatever_the_order(spark, tmp_path):
+    def page(folder, score, at):
+        path = tmp_path / "landing" / "2024-01-05" / folder
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps({"status": "OK", "total": 1, "offset": 0, "limit": 10, "data": [
+            {"cve": "CVE-2024-00001", "epss": score, "percentile": "0.5", "date": "2024-01-05"}]}))
+        os.utime(path, (at, at))
+    page("b.json", "0.20000", 1_700_000_000)
+    page("a.json", "0.70000", 1_700_000_900)  # lands later, is listed first
+    epss = str(tmp_path / "epss")
+    jobs.epss_ingest(spark, f"{tmp_path}/landing/*/", str(tmp_path / "staging"), epss, name=_name()).awaitTermination()
+    assert [str(r.epss) for r in spark.read.parquet(epss).collect()] == ["0.70000"]

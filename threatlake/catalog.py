@@ -561,6 +561,40 @@ def _nvd_windows(t):
             .withColumn("before_break", F.col("w_end") <= F.try_to_timestamp(F.lit(stood)).cast("timestamp_ntz")))
 
 
+# Phrases of the sweep, each an AND of its words.
+_PHRASES = ["the", "and the", "de la", "und der", "with ation", "The THE", "nowhere-to-be-found the", ""]
+
+
+def _index_sweep(t):
+    p = _scratch(t, "token-index")
+    rel.write_token_index(rel.analysis_search(t.archive, t.analysis), p)
+    return rel.index_sweep(t.spark.read.parquet(p), t.spark.createDataFrame([(x,) for x in _PHRASES], "phrase string"))
+
+
+def _planted(t):
+    """The archive with CVE ids planted in texts: of some articles the id their analysis lists, of
+    others one that it does not list, some twice."""
+    number = F.substr("guid", F.lit(5)).cast("long")
+    listed = t.analysis.select(F.col("archive_id").alias("id"), F.array_min(rel.valid_cve_tokens("cve_references")).alias("_cve"))
+    other = F.concat(F.lit("cve-2023-"), F.lpad(number.cast("string"), 7, "0"))
+    extra = F.concat(F.when((number % 3 == 0) & F.col("_cve").isNotNull(), F.concat(F.lit(" (see "), "_cve", F.lit(")."))).otherwise(""),
+                     F.when(number % 5 == 0, F.concat(F.lit("\n"), other, F.lit(": patch; "), other)).otherwise(""))
+    return (t.archive.join(listed, "id", "left").withColumn("content", F.concat(F.coalesce("content", F.lit("")), extra))
+            .withColumn("title", F.when(number % 15 == 0, F.concat(other, F.lit(" "), "title")).otherwise(F.col("title"))).drop("_cve"))
+
+
+def _text_mentions(t):
+    return rel.cve_mentions_in_articles(_planted(t), t.analysis)
+
+
+register("api_search_index_sweep")(_index_sweep)
+register("api_cve_mentions_text")(_text_mentions)
+register("api_cve_mention_drift_text")(lambda t: rel.mention_drift(
+    _mentions(t), _text_mentions(t).select("analysis_id", "cve_id").distinct()))
+register("alert_generic_payload_rows")(lambda t: alr.read_generic_payload(
+    alr.generic_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched), AS_OF)))
+register("alert_chat_payload_blocks")(lambda t: alr.read_chat_payload(
+    alr.chat_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched, lookback=3), max_sections=3)))
 register("stream_feed_kinds")(_feed_kinds)
 register("stream_run_log_changes")(_run_log_changes)
 register("stream_nvd_windows")(_nvd_windows)

@@ -115,6 +115,28 @@ def generic_payload(sleepers: DataFrame, as_of) -> DataFrame:
     return sleepers.agg(F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"))
 
 
+_GENERIC = ("event string, timestamp string, count int, sleepers array<struct<cve_id:string,epss_before:double,epss_now:double,"
+            "delta:double,pct_change:double,percentile:double,date_before:string,date_now:string,description:string,"
+            "cvss_score:double,cvss_severity:string,cwe:string>>")
+
+
+def read_generic_payload(payloads: DataFrame) -> DataFrame:
+    """The typed columns of ``generic_payload`` documents: one row per sleeper, with the event's
+    own fields and the sleeper's place in the list."""
+    doc = payloads.select(F.from_json("payload", _GENERIC).alias("d")).select("d.*")
+    return (doc.select("event", "timestamp", "count", F.posexplode("sleepers").alias("place", "s"))
+            .select("event", "timestamp", "count", "place", "s.*"))
+
+
+def read_chat_payload(payloads: DataFrame) -> DataFrame:
+    """One row per block of ``chat_payload`` documents, in order: its type, and the type and text of what it shows."""
+    block = "struct<type:string,text:struct<type:string,text:string>,elements:array<struct<type:string,text:string>>>"
+    doc = payloads.select(F.from_json("payload", f"blocks array<{block}>").alias("d"))
+    shown = F.coalesce(F.col("b.text"), F.get("b.elements", F.lit(0)))
+    return (doc.select(F.posexplode("d.blocks").alias("place", "b"))
+            .select("place", F.col("b.type").alias("type"), shown["type"].alias("text_type"), shown["text"].alias("text")))
+
+
 def _truncate(text: Column, n: int = MAX_DESCRIPTION_CHARS) -> Column:
     return F.when(F.length(text) > n, F.concat(F.substr(text, F.lit(1), F.lit(n - 3)), F.lit("..."))) \
         .otherwise(text)

@@ -82,14 +82,12 @@ def universe_growth(epss: DataFrame) -> DataFrame:
     """Per day: CVEs scored, change vs the previous scored day, CVEs not present on the
     first day."""
     first = epss.select(F.min("as_of")).scalar()
-    first_ids = epss.where(F.col("as_of") == first).select("cve_id")
-    new = epss.join(first_ids, "cve_id", "left_anti").groupBy("as_of").agg(F.count(F.lit(1)).alias("new_since_first"))
-    per_day = epss.groupBy("as_of").agg(F.count(F.lit(1)).alias("cves"))
+    old = epss.where(F.col("as_of") == first).select("cve_id", F.lit(True).alias("_old"))
+    per_day = (epss.select("as_of", "cve_id").join(old, "cve_id", "left").groupBy("as_of")
+               .agg(F.count(F.lit(1)).alias("cves"), F.count_if(F.col("_old").isNull()).alias("new_since_first")))
     # One row per day reaches the window (days, not CVEs): bounded by the calendar.
     w = Window.orderBy("as_of")
-    return (per_day.join(new, "as_of", "left")
-            .select("as_of", "cves", (F.col("cves") - F.lag("cves").over(w)).alias("change"),
-                    F.coalesce("new_since_first", F.lit(0)).cast("long").alias("new_since_first"))
+    return (per_day.select("as_of", "cves", (F.col("cves") - F.lag("cves").over(w)).alias("change"), "new_since_first")
             .orderBy("as_of"))
 
 

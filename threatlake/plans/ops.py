@@ -4,7 +4,7 @@ throughput and alert rules. Every rollup is a keyed partial aggregation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from threatlake.operators.snapshots import ts_lit
 
@@ -53,18 +53,25 @@ def feed_freshness(log: DataFrame, now, key: str = "feed_name") -> DataFrame:
 
 
 def duration_histogram(log: DataFrame, key: str = "feed_name", edges=FETCH_SECONDS_EDGES,
-                       value: str = "duration_s", exact: bool = True) -> DataFrame:
-    """Cumulative bucket counts ``le_<edge>`` plus count, sum and p99 per source. ``exact``
-    uses the exact percentile (buffer grows with the distinct values of a source);
-    ``exact=False`` bounds memory with ``percentile_approx``."""
-    v = F.col(value)
-    p99 = F.percentile(v, 0.99) if exact else F.percentile_approx(v, 0.99, 10000).cast("double")
-    return (log.groupBy(key).agg(
-        *[F.count_if(v <= F.lit(e)).alias(f"le_{str(e).replace('.', '_')}") for e in edges],
-        F.count(v).alias("count"),
+                       value: str = "duration_s", q: float = 0.99) -> DataFrame:
+    """Cumulative bucket counts ``le_<edge>`` plus count, sum and p99 per source. The quantile
+    comes from counts per duration in microseconds, which merge before the shuffle: a source
+    costs as many rows as it has different durations, and no buffer holds them."""
+    each = (log.groupBy(key, F.round(F.col(value), 6).alias("v"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(value).cast("decimal(18,3)")).alias("sum")))
+    v, n = F.col("v"), F.when(F.col("v").isNotNull(), F.col("rows")).otherwise(0)
+    up_to = Window.partitionBy(key).orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = each.withColumn("n", n).withColumn("upto", F.sum(n).over(up_to)).withColumn("all", F.sum(n).over(Window.partitionBy(key)))
+    place = (F.col("all") - 1) * F.lit(q)
+    at = lambda rank: F.min(F.when((F.col("n") > 0) & (F.col("upto") > rank), v))
+    low, high = at(F.floor(place)), at(F.ceil(place))
+    share = F.max(place - F.floor(place))
+    return (ranked.groupBy(key).agg(
+        *[F.sum(F.when(v <= F.lit(e), F.col("n")).otherwise(0)).alias(f"le_{str(e).replace('.', '_')}") for e in edges],
+        F.sum("n").alias("count"),
         # summed at millisecond resolution in exact decimal: order-independent result
-        F.sum(v.cast("decimal(18,3)")).cast("double").alias("sum"),
-        F.round(p99, 6).alias("p99"))
+        F.sum("sum").cast("double").alias("sum"),
+        F.round(low + (high - low) * share, 6).alias("p99"))
         .orderBy(key))
 
 

@@ -74,6 +74,39 @@ def token_frequency(search: DataFrame) -> DataFrame:
     return t.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
 
 
+TOKEN_BUCKETS = 64
+
+
+def _token_bucket(token) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(TOKEN_BUCKETS)).cast("int")
+
+
+def write_token_index(search: DataFrame, path: str) -> None:
+    """The inverted index of ``search``: one posting (token, analysis_id) per row, laid out by
+    token bucket and sorted by token, so that a sweep reads the postings of its terms only.
+    Ranges of (bucket, token, id) split a token that most documents hold over several tasks."""
+    postings = search.select(F.explode("document").alias("token"), "analysis_id").withColumn("bucket", _token_bucket("token"))
+    (postings.repartitionByRange("bucket", "token", "analysis_id").sortWithinPartitions("bucket", "token")
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def index_sweep(index: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Per phrase (``phrase``, an AND of its words; without words none match): analyses that hold all its words, by
+    intersecting the postings of the words in the stored index. Postings are counted per
+    (phrase, analysis), so that no posting list is gathered."""
+    words = phrases.select("phrase", F.explode(search_tokens("phrase")).alias("token"))
+    sizes = words.groupBy("phrase").agg(F.count("*").alias("words"))
+    asked = words.select("token").distinct().withColumn("bucket", _token_bucket("token"))
+    buckets = [r.bucket for r in asked.select("bucket").distinct().collect()]  # TOKEN_BUCKETS at most: the partition filter
+    tokens = [r.token for r in asked.select("token").limit(1001).collect()]
+    read = index.where(F.col("bucket").isin(buckets))
+    if len(tokens) <= 1000:  # few enough for a pushed filter, which skips row groups; the join below decides
+        read = read.where(F.col("token").isin(tokens))
+    held = read.select("token", "analysis_id").join(words, "token").groupBy("phrase", "analysis_id").agg(F.count("*").alias("n"))
+    hits = held.join(sizes, "phrase").where(F.col("n") == F.col("words")).groupBy("phrase").agg(F.count("*").alias("analyses"))
+    return phrases.select("phrase").distinct().join(hits, "phrase", "left").select("phrase", F.coalesce("analyses", F.lit(0).cast("long")).alias("analyses"))
+
+
 def keyword_sweep(search: DataFrame, keywords: DataFrame) -> DataFrame:
     """Many-term sweep through the token index: per keyword, matching analyses. The
     keyword list is joined as a relation (AQE broadcasts it when it is small)."""
@@ -99,6 +132,23 @@ def cve_mentions_v2(archive: DataFrame, analysis: DataFrame) -> DataFrame:
                     .alias("cve_id"))
 
 
+CVE_PATTERN = r"(?i)CVE-\d{4}-\d{4,}"
+
+
+def cve_mentions_in_articles(archive: DataFrame, analysis: DataFrame) -> DataFrame:
+    """Mentions extracted from free text only, blind to the analysis' own list: one row per
+    CVE pattern in the title or content of the article, with its field and 0-based offset."""
+    e = analysis.select("analysis_id", "archive_id").join(archive.select(F.col("id").alias("archive_id"), "title", "content"), "archive_id")
+    fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("title", "content")]))
+    found = (e.select("analysis_id", fields.alias("f")).select("analysis_id", "f.field", "f.text").where(F.col("text").rlike(CVE_PATTERN))
+             .withColumn("tokens", F.regexp_extract_all("text", F.lit(CVE_PATTERN), F.lit(0)))
+             .withColumn("gaps", F.split("text", CVE_PATTERN, -1)))
+    before = lambda part, n: F.length(F.array_join(F.slice(part, F.lit(1), n), ""))
+    return (found.select("analysis_id", "field", F.posexplode("tokens").alias("i", "token"), "tokens", "gaps")
+            .select("analysis_id", F.upper("token").alias("cve_id"), "field",
+                    (before("gaps", F.col("i") + 1) + before("tokens", F.col("i"))).alias("start")))
+
+
 def mention_drift(v1: DataFrame, v2: DataFrame) -> DataFrame:
     """Full outer comparison of two mention extractors on (analysis_id, cve_id)."""
     a = v1.select("analysis_id", "cve_id", F.lit(True).alias("in_v1"))
