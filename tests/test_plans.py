@@ -84,7 +84,8 @@ UNPARTITIONED_WINDOW_QUERIES = {"epss_risk_pyramid", "feed_top_feeds", "epss_uni
 
 # Collections built by aggregation, allowed only for bounded groups: the <= 50 alert rows
 # of one detection, and the languages of one feed.
-COLLECTING_QUERIES = {"alert_generic_payload", "alert_chat_payload", "src_feed_registry_volume"}
+COLLECTING_QUERIES = {"alert_generic_payload", "alert_chat_payload", "alert_generic_payload_rows", "alert_chat_payload_blocks",
+                      "src_feed_registry_volume"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
