@@ -359,7 +359,7 @@ def _distance(a, b):
     return row[-1]
 
 
-def brute_lines(spark, rows):
+def brute_lines(spark, rows, max_bits):
     units = sorted({(i is None, i, t) for i, t in rows}, key=lambda x: (x[0], x[1] or 0, x[2] or ""))
     spots = []  # (unit, position, words)
     for u, (_, _, t) in enumerate(units):
@@ -376,8 +376,8 @@ def brute_lines(spark, rows):
         return sum(1 << b for b in range(64) if 2 * sum(hashed[x] >> b & 1 for x in s) > len(s))
     kinds = sorted({tuple(w) for *_, w in spots})
     fps = [fp(w) for w in kinds]
-    near = [(a, b) for a in range(len(kinds)) for b in range(a) if bin(fps[a] ^ fps[b]).count("1") <= 2
-            and _distance(kinds[a], kinds[b]) <= 0.2 * max(len(kinds[a]), len(kinds[b])) + 1e-9]
+    near = [(a, b) for a in range(len(kinds)) for b in range(a) if (max_bits is None or bin(fps[a] ^ fps[b]).count("1") <= max_bits)
+            and 0.8 * max(len(kinds[a]), len(kinds[b])) <= min(len(kinds[a]), len(kinds[b])) + 1e-9 and _distance(kinds[a], kinds[b]) <= 0.2 * max(len(kinds[a]), len(kinds[b])) + 1e-9]
     root = dict(zip(kinds, groups_of(len(kinds), near)))
     place = lambda s: (units[s[0]][0], units[s[0]][1] or 0, order[s[0]], s[1])
     best = {}
@@ -391,15 +391,16 @@ def brute_lines(spark, rows):
     return gone
 
 
-def test_line_dedup(spark, docs):
+@pytest.mark.parametrize("max_bits", [None, 2])
+def test_line_dedup(spark, docs, max_bits):
     docs = docs.where("coalesce(doc_id, 0) not in (8)").limit(60) if docs.count() > 60 else docs.where("doc_id <> 8 or doc_id is null")
     rows = rows_of(docs)
-    gone = brute_lines(spark, rows)
-    got = line_dedup.line_dedup(docs).collect()
+    gone = brute_lines(spark, rows, max_bits)
+    got = line_dedup.line_dedup(docs, max_bits).collect()
     key = lambda r: str(r)
     want = sorted(((i, (t or "").count("\n") + 1, len(gone[(i, t)]), sorted(gone[(i, t)])) for i, t in rows), key=key)
     assert sorted((tuple(r) for r in got), key=key) == want
-    cleaned = line_dedup.drop_lines(docs)
+    cleaned = line_dedup.drop_lines(docs, max_bits)
     assert cleaned.columns == docs.columns
     assert Counter((r.doc_id, (r.text or "").count("\n")) for r in cleaned.collect()) == Counter(
         (i, max((t or "").count("\n") - len(gone[(i, t)]), 0)) for i, t in rows)
