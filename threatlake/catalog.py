@@ -359,7 +359,7 @@ def _item_resolution(t):
         F.when(did % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("doc-"), did.cast("string"))).alias("guid"),
         F.when(did % 14 == 0, F.lit("")).otherwise(F.concat(F.lit("https://example.org/"), did.cast("string")))
         .alias("link"),
-        F.when(did % 4 == 0, F.lit(None)).otherwise(F.substr("text", F.lit(1), F.lit(100))).alias("description"),
+        F.when(did % 4 == 0, F.lit(None)).otherwise(F.col("text")).alias("description"),
         F.when(did % 6 == 0, F.lit(None)).otherwise(F.col("text")).alias("content"))
     n = raw.select("feed_url", "guid", txt.resolve_guid("guid", "link").alias("key"),
                    txt.content_with_fallback("content", "description").alias("c"),

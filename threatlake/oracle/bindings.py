@@ -62,14 +62,14 @@ CTES: dict[str, tuple[list[str], str]] = {
     "current": ([], f"""
         SELECT sha256('doc-' || CAST(doc_id AS VARCHAR) || chr(1) || source) AS id,
           'doc-' || CAST(doc_id AS VARCHAR) AS guid,
-          CASE WHEN doc_id % 90 = 0 THEN '' ELSE substr(text, 1, 40) END AS title,
+          CASE WHEN doc_id % 90 = 0 THEN '' ELSE text END AS title,
           'https://example.org/' || CAST(doc_id AS VARCHAR) AS link,
           source AS feed_url,
           {AS_OF} - to_hours(CAST(doc_id % 720 AS BIGINT)) AS published,
           {AS_OF} - to_hours(CAST(doc_id % 720 AS BIGINT)) AS entry_updated,
           CAST(NULL AS TIMESTAMP) AS feed_updated,
           CASE WHEN doc_id % 6 = 0 THEN '' WHEN doc_id % 10 = 1 THEN NULL ELSE text END AS content,
-          CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN '' ELSE substr(text, 1, 100) END AS summary,
+          CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN '' ELSE text END AS summary,
           '' AS author, [lang, source] AS categories, source AS feed_title,
           CAST(NULL AS VARCHAR) AS feed_description, lang AS feed_language,
           CAST(NULL AS VARCHAR) AS feed_icon,
@@ -81,7 +81,7 @@ CTES: dict[str, tuple[list[str], str]] = {
           'ag-' || CAST(d.doc_id AS VARCHAR) AS analysis_guid,
           sha256('doc-' || CAST(d.doc_id AS VARCHAR) || chr(1) || d.source) AS archive_id,
           'doc-' || CAST(d.doc_id AS VARCHAR) AS archive_guid,
-          d.source AS source_name, substr(d.text, 1, 40) AS title,
+          d.source AS source_name, d.text AS title,
           CASE d.doc_id % 4 WHEN 0 THEN 'CRITICAL' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity_level,
           CAST(d.doc_id % 101 AS INTEGER) AS confidence_pct,
           d.text AS summary_impact,

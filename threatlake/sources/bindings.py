@@ -127,7 +127,7 @@ def feed_items(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.sha2(F.concat_ws("\u0001", guid, F.col("source")), 256).alias("id"),
         guid.alias("guid"),
-        F.when(did % 90 == 0, F.lit("")).otherwise(F.substr(text, F.lit(1), F.lit(40))).alias("title"),
+        F.when(did % 90 == 0, F.lit("")).otherwise(text).alias("title"),
         F.concat(F.lit("https://example.org/"), did.cast("string")).alias("link"),
         F.col("source").alias("feed_url"),
         ts.alias("published"),
@@ -135,7 +135,7 @@ def feed_items(documents: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("feed_updated"),
         F.when(did % 6 == 0, F.lit("")).when(did % 10 == 1, F.lit(None)).otherwise(text).alias("content"),
         F.when(did % 4 == 0, F.lit(None)).when(did % 9 == 0, F.lit(""))
-         .otherwise(F.substr(text, F.lit(1), F.lit(100))).alias("summary"),
+         .otherwise(text).alias("summary"),
         F.lit("").alias("author"),
         F.array(F.col("lang"), F.col("source")).alias("categories"),
         F.col("source").alias("feed_title"),
@@ -170,7 +170,7 @@ def analysis(documents: DataFrame, pages: DataFrame) -> DataFrame:
          .alias("archive_id"),
         F.concat(F.lit("doc-"), did.cast("string")).alias("archive_guid"),
         F.col("source").alias("source_name"),
-        F.substr(F.col("text"), F.lit(1), F.lit(40)).alias("title"),
+        F.col("text").alias("title"),
         F.when(did % 4 == 0, "CRITICAL").when(did % 4 == 1, "HIGH").when(did % 4 == 2, "MEDIUM")
          .otherwise("LOW").alias("severity_level"),
         (did % 101).cast("int").alias("confidence_pct"),
