@@ -106,3 +106,19 @@ def test_plan_rules(spark, name):
 def test_version_picks_aggregate_partially(spark, name, agg):
     # first/last version per key is combined map-side: a hot key is reduced before the shuffle
     assert agg in _plan(QUERIES[name](spark, SF001))
+
+
+@pytest.mark.parametrize("name", ["cli_patchlist", "cli_patchlist_kev", "cli_patchlist_page"])
+def test_patchlist_reads_records_after_the_page_is_taken(stored, name):
+    plan = PLANS[name](stored)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    pages = [i for i, line in enumerate(plan) if "LocalLimit" in line or "Offset" in line]
+    assert pages
+    inner = max(pages, key=lambda i: depth[i])
+    below = []
+    for line, d in zip(plan[inner + 1:], depth[inner + 1:]):
+        if d <= depth[inner]:
+            break
+        below.append(line)
+    assert below and not any("descriptions" in line or "dueDate" in line for line in below)
+    assert any("descriptions" in line for line in plan)

@@ -119,6 +119,7 @@ register("alert_generic_payload")(
 register("alert_chat_payload")(lambda t: alr.chat_payload(alr.detect_sleepers(t.epss_daily, t.cve_enriched)))
 
 # ---------------------------------------------------------------- relations -------
+from threatlake.operators.query import exact_count, relation_query  # noqa: E402
 from threatlake.plans import relations as rel  # noqa: E402
 from threatlake.plans import triage as tri  # noqa: E402
 
@@ -168,9 +169,17 @@ register("api_severity_by_source_7d_wide")(lambda t: rel.severity_by_source_wide
 register("cli_triage")(lambda t: tri.triage(_lite(t), AS_OF, severity=["CRITICAL", "HIGH"], since="7d"))
 register("cli_triage_keyword")(lambda t: tri.triage(_lite(t), AS_OF, keyword="le", source="src3", limit=20))
 register("cli_cve_get")(lambda t: tri.cve_get(_detail(t), "CVE-2024-00003"))
-register("cli_patchlist")(lambda t: tri.patchlist(_detail(t), AS_OF))
-register("cli_patchlist_kev")(lambda t: tri.patchlist(_detail(t), AS_OF, in_kev=True, epss_gte=0.2,
-                                                      mentioned_since="2024-01-01"))
+register("cli_patchlist")(lambda t: tri.patchlist_ranked(t.cve_enriched, t.epss_daily, _mentions(t), AS_OF))
+register("cli_patchlist_page")(lambda t: tri.patchlist_ranked(
+    t.cve_enriched, t.epss_daily, _mentions(t), AS_OF, cvss_gte=4, mentioned_since="30d", offset=20, limit=30))
+register("cli_patchlist_detail")(lambda t: tri.patchlist(_detail(t), AS_OF, cvss_gte=4, offset=20, limit=30,
+                                                         mentioned_since="30d"))
+register("cli_entries_page")(lambda t: relation_query(
+    _lite(t), filters=[("confidence_pct", "gt", 20), ("confidence_pct", "lt", 80), ("severity_level", "neq", "LOW"),
+                       ("title", "like", "*le*")],
+    order=["confidence_pct.desc", "analysed_at.asc"], tiebreak=["analysis_id"], offset=15, limit=40))
+register("cli_patchlist_kev")(lambda t: tri.patchlist_ranked(
+    t.cve_enriched, t.epss_daily, _mentions(t), AS_OF, in_kev=True, epss_gte=0.2, mentioned_since="2024-01-01"))
 register("cli_campaign_latest")(lambda t: tri.campaign_latest(rel.campaign_latest_seen(_rollups(t))))
 register("cli_campaign_latest_story")(
     lambda t: tri.campaign_latest(rel.campaign_latest_seen(_rollups(t)), kind="cve_story", limit=20))
@@ -433,8 +442,6 @@ register("stream_hourly_severity")(_stream_hourly)
 
 # ------------------------------------------------------------ extra forms --------
 register("dash_epss_distribution_long")(lambda t: dsh.epss_distribution_long(t.epss_daily))
-from threatlake.operators.query import exact_count  # noqa: E402
-
 register("cli_triage_count")(
     lambda t: exact_count(_lite(t), [("severity_level", "in", ["CRITICAL", "HIGH"]),
                                      ("analysed_at", "gte", F.lit("2024-01-24 00:00:00").cast("timestamp_ntz"))]))

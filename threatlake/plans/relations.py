@@ -167,7 +167,7 @@ def cve_anomalies(analysis: DataFrame) -> DataFrame:
             .orderBy(F.col("mentions").desc(), F.col("token").asc()))
 
 
-def _mention_stats(mentions: DataFrame) -> DataFrame:
+def mention_stats(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("cve_id").agg(F.count(F.lit(1)).alias("mention_count"),
                                           F.max("analysed_at").alias("last_seen"))
 
@@ -178,7 +178,7 @@ def _latest(epss: DataFrame, latest: DataFrame | None) -> DataFrame:
     return latest.select("cve_id", "as_of", "epss", "percentile") if latest is not None else epss_latest(epss)
 
 
-def _latest_scores(epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+def latest_scores(epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     return _latest(epss, latest).select("cve_id", F.col("epss").alias("latest_epss"),
                                     F.col("percentile").alias("latest_percentile"))
 
@@ -187,7 +187,7 @@ def cves_enriched(mentions: DataFrame, cve: DataFrame, epss: DataFrame, latest:
     """Per mentioned CVE: mention count and last sighting, with the NVD record (EPSS
     overlaid from the newest score per CVE, since the stored column is never filled)."""
     n = nvd(cve).select("cve_id", "source", "cvss_base", "epss", "modified", "json")
-    j = _mention_stats(mentions).join(n, "cve_id", "left").join(_latest_scores(epss, latest), "cve_id", "left")
+    j = mention_stats(mentions).join(n, "cve_id", "left").join(latest_scores(epss, latest), "cve_id", "left")
     return j.select("cve_id", "mention_count", "last_seen", "source", "cvss_base",
                     F.coalesce("epss", "latest_epss").alias("epss"), "modified", "json")
 
@@ -201,7 +201,7 @@ def cves_enriched_lite(mentions: DataFrame, cve: DataFrame, epss: DataFrame,
 
 # ---------------------------------------------------------------- CVE views -------
 def nvd_cves_lite(cve: DataFrame, epss: DataFrame, latest: DataFrame | None = None) -> DataFrame:
-    n = nvd(cve).join(_latest_scores(epss, latest), "cve_id", "left")
+    n = nvd(cve).join(latest_scores(epss, latest), "cve_id", "left")
     return n.select("cve_id", "modified", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"),
                     description_en("json").alias("description_en"))
 
@@ -247,7 +247,7 @@ def campaign_cve_rollups(analysis: DataFrame, cve: DataFrame, epss: DataFrame,
         F.max("analysed_at").alias("last_seen"))
     n = nvd(cve).select("cve_id", "cvss_base", "epss", F.col("modified").alias("cve_modified"),
                         description_en("json").alias("description_en"))
-    j = g.join(n, "cve_id", "left").join(_latest_scores(epss, latest), "cve_id", "left")
+    j = g.join(n, "cve_id", "left").join(latest_scores(epss, latest), "cve_id", "left")
     return j.select("campaign_key", "cve_id", "mention_count", "item_count", "source_count", "first_seen",
                     "last_seen", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"), "cve_modified",
                     "description_en")
@@ -279,8 +279,8 @@ def cve_detail(cve: DataFrame, epss: DataFrame, mentions: DataFrame, campaigns:
                         kev_field("json", "dueDate").alias("due_date"),
                         kev_field("json", "requiredAction").alias("required_action"))
     camp = campaigns.groupBy("cve_id").agg(F.countDistinct("campaign_key").alias("campaign_count"))
-    j = (base.join(_latest_scores(epss, latest), "cve_id", "left").join(k, "cve_id", "left")
-         .join(_mention_stats(mentions), "cve_id", "left").join(camp, "cve_id", "left"))
+    j = (base.join(latest_scores(epss, latest), "cve_id", "left").join(k, "cve_id", "left")
+         .join(mention_stats(mentions), "cve_id", "left").join(camp, "cve_id", "left"))
     return j.select("cve_id", "cvss_base", F.coalesce("epss", "latest_epss").alias("epss"),
                     F.col("latest_percentile").alias("epss_percentile"),
                     F.coalesce("_kev", F.lit(False)).alias("in_kev"), "due_date", "required_action",
