@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -135,6 +137,29 @@ def test_contamination(spark, docs):
     assert decontaminate.contamination(docs, bench.where("false")).where("n_hit > 0").count() == 0
 
 
+def duck(query, **tables):
+    con = duckdb.connect()
+    for name, df in tables.items():
+        con.register(name, pa.Table.from_pylist([r.asDict() for r in df.collect()], df.toArrow().schema))
+    return bag(con.execute(query).fetchall())
+
+
+def test_contamination_sql(spark, docs):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").union(spark.createDataFrame(
+        [(900, "One!"), (901, None), (902, ""), (900, "one"), (None, "two WORDS"), (903, "same line here the")], "item_id long, text string"))
+    got = decontaminate.contamination(docs, bench).drop("spans")
+    assert bag(got.collect()) == duck(decontaminate.ORACLE, documents=docs, benchmark=bench)
+
+
+def test_chat_sql(spark):
+    rows = [(1, 0, "user", "a\nb <|x"), (1, 1, "assistant", "<|im_end|>\n<\\|im_sep|> <<|x %0A"), (1, 1, "assistant", None), (1, None, "assistant", "é"),
+            (2, 0, "odd\nrole%25<|", "t"), (2, 0, "odd\nrole%25<|", "t"), (None, None, None, None), (3, 1, "assistant", "<|"), (3, 0, "user", "")]
+    schema = "conv_id long, turn long, role string, text string"
+    for turns in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema), spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")):
+        got = chat.digests(chat.format_chat(turns.unionByName(chat.probe(spark))))
+        assert bag(got.collect()) == duck(chat.ORACLE, conversations=turns)
+
+
 def test_byte_spans_point_at_the_original():
     raw = "Ä b,  C-d".encode()
     assert [raw[a:b] for a, b in decontaminate.byte_spans(raw, [(0, 1), (2, 3)])] == ["Ä b".encode(), b"C-d"]
@@ -187,6 +212,23 @@ def test_hot_key_is_subdivided(spark):
     assert len(loads) == 16 and max(loads.values()) < 1.03 * min(loads.values())
 
 
+def test_many_tiny_rows_are_subdivided_and_stay_together(spark):
+    """A third of the rows null (few bytes, many rows): no range takes them all, one shard holds them all."""
+    df = spark.range(30000).selectExpr("id doc_id", "if(id % 3 = 0, null, concat(id, repeat(' long text', 800))) text")
+    rows = sharding.sizes(df)
+    total = rows.agg({"size": "sum"}).first()[0]
+    ranged = rows.withColumn("r", sharding._range_of(sharding.boundaries(rows, total, 30000, 256)))
+    assert ranged.groupBy("r").count().agg({"count": "max"}).first()[0] < 1000
+    got = sharding.shard(df).collect()
+    assert len({r.shard for r in got if r.size == 1}) == 1
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in by.values())
+    loads = [sum(r.size for r in s) for s in by.values()]
+    assert len(loads) == 16 and max(loads) < 1.03 * min(loads)
+
+
 def test_mixing(docs):
     got = mixing.mixture(docs).collect()
     tokens = lambda t: len(WORD.findall(t or ""))

@@ -95,3 +95,20 @@ def digests(formatted: DataFrame) -> DataFrame:
     return t.select("conv_id", F.size("turns").cast("long").alias("n_turns"), sha(F.array_join(lines, "")).alias("turns_sha256"),
                     F.length("said").cast("long").alias("loss_chars"), sha(F.col("said")).alias("loss_sha256"),
                     F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# DuckDB SQL of the digests of ``conversations`` and the probe, from the turns themselves: what is read
+# back must be what went in, and the formatted length is the sum of marks, headers and escaped texts.
+ORACLE = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE '{TRAINED}' END, '{END}{START}{TRAINED} ok' FROM range(2) AS v(i)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM t),
+m AS (SELECT *, k = 1 OR role <> lag(role) OVER w AS opens, lead(role) OVER w IS NULL OR role <> lead(role) OVER w AS closes,
+             replace(replace(role, '%', '%25'), chr(10), '%0A') AS head FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+c AS (SELECT *, CASE WHEN opens THEN {len(START) + 1} + length(head) + len(regexp_extract_all(head, '<\\*\|')) ELSE {len(SEP)} END
+                + length(text) + len(regexp_extract_all(text, '<\\*\|')) + CASE WHEN closes THEN {len(END) + 1} ELSE 0 END AS chars FROM m),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS turns,
+             coalesce(string_agg(text, '' ORDER BY k) FILTER (role = '{TRAINED}'), '') AS said, sum(chars)::BIGINT AS formatted_chars
+      FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(said)::BIGINT AS loss_chars, sha256(said) AS loss_sha256, formatted_chars
+FROM g"""

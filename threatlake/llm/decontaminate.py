@@ -150,3 +150,23 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return s.where(~_verdict(_n_hit(F.col(f"{out}.spans")), F.col(f"{out}.n_words"))).select(*[f"`{c}`" for c in docs.columns])
 
 
+def _sql(window: int = WINDOW) -> str:
+    """DuckDB SQL of ``contamination`` (without spans) over ``documents`` and ``benchmark``."""
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, {words} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0),
+p AS (SELECT DISTINCT item, least(len(w), {window}) AS size, unnest(list_transform(range(1, greatest(len(w) - {window - 1}, 1) + 1),
+        lambda i: array_to_string(w[i:i + {window - 1}], ' '))) AS key FROM b),
+q AS (SELECT u, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+r AS (SELECT u, i, list(word) OVER (PARTITION BY u ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS l FROM q),
+f AS (SELECT u, size, i, array_to_string(l[1:size], ' ') AS key FROM r, (SELECT DISTINCT size FROM p) WHERE len(l) >= size),
+x AS (SELECT f.u, f.i, f.size, p.item FROM f JOIN p ON f.size = p.size AND f.key = p.key),
+h AS (SELECT u, count(DISTINCT i + j) AS n_hit FROM x, range({window}) AS o(j) WHERE j < size GROUP BY u),
+n AS (SELECT u, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT u, item FROM x) GROUP BY u)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON h.u = d.u LEFT JOIN n ON n.u = d.u"""
+
+
+ORACLE = _sql()

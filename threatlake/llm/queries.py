@@ -76,4 +76,5 @@ QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhas
                                    op6_sharding, op7_mixing, op8_lm_scoring, op9_toxicity,
                                    op10_suffix_dedup, op11_structure_repair, op12_source_divergence, op13_jaccard_join,
                                    pipeline)}
-ORACLE: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op12_source_divergence": divergence.ORACLE, "op13_jaccard_join": jaccard.ORACLE}
+ORACLE: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op5_chat": chat.ORACLE,
+                          "op12_source_divergence": divergence.ORACLE, "op13_jaccard_join": jaccard.ORACLE}

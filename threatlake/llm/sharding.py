@@ -1,13 +1,15 @@
 """Sharding by sampled splitters: near-equal bytes per shard, in DataFrame operations only.
 
 Rows are ordered by a key (hash of the text, then a hash of the row's number). A sample whose
-inclusion chance is proportional to a row's size gives quantile boundaries that cut the keys
-into ``shards * ranges`` ranges of about equal bytes. A boundary falls between two texts
+inclusion chance is proportional to a row's size plus the mean size gives quantile boundaries
+that cut the keys into ``shards * ranges`` ranges, so a range holds about twice its share of
+the bytes at most, and twice its share of the rows. A boundary falls between two texts
 (equal texts stay in one range) unless one text spans several boundaries: such an overfull
 key range is subdivided by the second half of the key. Exact bytes and rows per range then
 give every range its offset; a running sum inside the range places each row, and the shard
 is the offset in bytes divided by bytes per shard. Equal texts stay in one shard unless
-together they exceed ``1 / (200 * shards)`` of all bytes.
+together they exceed ``1 / (200 * shards)`` of all bytes; a group of fewer bytes whose many
+rows were subdivided (null or tiny texts) is placed as one by its start.
 
 Only numbers are shuffled, never a text. Driver and literals see the boundaries and the
 totals of ``shards * ranges`` ranges, whatever the input. A range is the unit of parallelism:
@@ -41,13 +43,13 @@ def sizes(docs: DataFrame) -> DataFrame:
     return saved(rows.select("doc_id", "size", "text_crc32", "h", F.xxhash64("n").alias("t")))
 
 
-def boundaries(rows: DataFrame, total: int, count: int) -> list:
-    """At most ``count - 1`` sorted (h, t) splitters from a size-weighted sample of about
-    ``count * SAMPLES_PER_RANGE`` keys; the lower half of a boundary is the least value
+def boundaries(rows: DataFrame, total: int, n: int, count: int) -> list:
+    """At most ``count - 1`` sorted (h, t) splitters from a weighted sample of about
+    ``count * SAMPLES_PER_RANGE`` keys of ``n`` rows of ``total`` bytes; the lower half of a boundary is the least value
     unless its text spans several boundaries."""
     draws = count * SAMPLES_PER_RANGE
-    # A row is drawn floor(w) times and once more with chance frac(w), w = draws * size / total.
-    w = F.col("size") * F.lit(draws / max(total, 1))
+    # A row is drawn floor(w) times and once more with chance frac(w), w = draws * (size + mean size) / (2 * total).
+    w = (F.col("size") + F.lit(total / max(n, 1))) * F.lit(draws / max(2 * total, 1))
     chance = F.pmod(F.xxhash64("t", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = (rows.select("h", "t", (F.floor(w) + (chance < w - F.floor(w)).cast("int")).cast("int").alias("times"))
               .where("times > 0").select("h", "t", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("one")))
@@ -82,8 +84,9 @@ def _range_of(bounds: list) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row."""
     rows = sizes(docs)
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    ranged = rows.withColumn("r", _range_of(boundaries(rows, total, shards * ranges)).cast("int"))
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    bounds = boundaries(rows, total, n, shards * ranges)
+    ranged = rows.withColumn("r", _range_of(bounds).cast("int"))
     offsets, at, before = {}, 0, 0
     # one row per range: shards * ranges rows at most
     for r in sorted(ranged.groupBy("r").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()):
@@ -96,8 +99,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFr
               .withColumn("i", F.row_number().over(run))
               .withColumn("group_bytes", F.sum("size").over(same))
               .withColumn("group_start", F.min(F.col("end") - F.col("size")).over(same)))
-    start = F.when(F.col("group_bytes") <= total // (200 * shards), F.col("group_start")).otherwise(F.col("end") - F.col("size"))
-    pos = (lookup(0) + start).cast("decimal(38,0)") * shards / F.lit(max(total, 1))
+    small = total // (200 * shards)
+    start = lookup(0) + F.when(F.col("group_bytes") <= small, F.col("group_start")).otherwise(F.col("end") - F.col("size"))
+    # A subdivided text starts the range after its first boundary; one row per such text, as many as boundaries at most.
+    opens = {h: i + 1 for i, (h, t) in reversed(list(enumerate(bounds)))}
+    cut = sorted({h for h, t in bounds if t != -(1 << 63)})
+    for r in ranged.where(F.col("h").isin(cut)).groupBy("h").agg(F.sum("size").alias("b")).collect() if cut else ():
+        if r.b <= small:
+            at = next(b for i, (b, _) in sorted(offsets.items()) if i >= opens[r.h])  # its first range that has rows
+            start = F.when(F.col("h") == r.h, F.lit(at)).otherwise(start)
+    pos = start.cast("decimal(38,0)") * shards / F.lit(max(total, 1))
     placed = saved(placed.select("doc_id", "size", "text_crc32", (lookup(1) + F.col("i") - 1).alias("place"),
                                  F.least(F.floor(pos), F.lit(shards - 1)).cast("int").alias("shard")))
     first = {r.shard: r.p for r in placed.groupBy("shard").agg(F.min("place").alias("p")).collect()}
