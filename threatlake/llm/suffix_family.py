@@ -13,12 +13,15 @@ every level, and becomes a level; levels of equal size merge, so n batches make
 log2 n + 1 levels, and each entry is rewritten as often. Entries whose g occurs twice or more are
 hits, those of older levels included.
 
-Resolving hits, once: entries of one g with equal (lo, hi, c) have all their windows twice. Where
-a g has several such classes, the windows of one entry of each are compared one by one (64-bit
-hashes), which finds the ends of passages. Up to ``MANY`` classes of a gram meet in one task.
-Of a gram with more (a passage that many documents share) each window is a row of its own: its
-hash is counted per (g, distance from the anchor), pre-aggregated before the shuffle, and
-hashes counted twice are joined back, so no gathered group grows with the input. Texts travel compressed, three times: twice for those windows, once for the result.
+Resolving hits, once: entries of one g with equal (lo, hi, c) are a class and have all their
+windows twice. Where a g has several classes, one entry of each is compared with the others by
+halving (here: quartering) spans of windows, which finds the ends of passages. A span has two
+hashes, of all bytes of its windows and of the bytes common to them. All bytes seen twice: every
+window of the span is found, one entry goes on as a mirror for the others. Common bytes seen
+once: no window of the span can be found. Only spans between the two are split. Hashes are
+counted per (g, span), pre-aggregated before the shuffle, so no entries of a gram meet in one
+task, and an end of a passage costs some rows, not one for each window. Texts travel
+compressed, twice: once for the bytes of the compared entries, once for the result.
 
 Null text: empty. Rows equal in id and text are documents of their own, each a copy of the
 other. Texts shorter than ``LENGTH`` lose nothing. Very long texts are cut into overlapping
@@ -42,7 +45,7 @@ from threatlake.llm.components import saved, written
 LENGTH = 200
 GRAM = 48  # bytes of an anchor: short ones recur by chance, long ones need more anchors
 BATCHES = 2
-MANY = 256  # classes of one gram that are compared in one list
+SPLIT = 4  # parts of a span of windows that is neither found nor ruled out
 _PIECE = 1 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 ENTRY = "g long, u long, a long, lo int, hi int, c long"
@@ -148,115 +151,75 @@ def _compress(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(g, u, a, lo, once, raw): the entries of ``wanted`` with the bytes of their windows."""
+    """(g, u, a, lo, hi, once, raw): the entries of ``wanted`` with the bytes of their windows."""
     per = wanted.groupBy("u").agg(F.collect_list(F.struct("g", "a", "lo", "hi", "once")).alias("w"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
-        names = ["g", "u", "a", "lo", "once", "raw"]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+        names = ["g", "u", "a", "lo", "hi", "once", "raw"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
         for b in batches:
             rows = []
             for i in range(b.num_rows):
                 u, text = b.column(0)[i].as_py(), d.decompress(b.column(1)[i].as_py())
                 for x in b.column(2)[i].as_py():
-                    rows.append((x["g"], u, x["a"], x["lo"], x["once"], text[x["a"] - x["lo"]:x["a"] + x["hi"] + length]))
+                    rows.append((x["g"], u, x["a"], x["lo"], x["hi"], x["once"], text[x["a"] - x["lo"]:x["a"] + x["hi"] + length]))
                 if len(rows) > 20_000 or i == b.num_rows - 1 and rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
                     rows = []
-    return _compress(docs, []).join(per, "u").mapInArrow(cut, "g long, u long, a long, lo int, once boolean, raw binary")
-
-
-def _compare(group: list[tuple], length: int, most: int = 2_000_000) -> list[tuple[int, int, int]]:
-    """(u, first window, last window) of the windows of ``once`` entries that some other entry
-    of the group has at the same distance from the anchor. Entries: (u, a, lo, once, bytes).
-    Windows are compared in slices of their distance, so memory is bounded."""
-    total = sum(len(raw) - length + 1 for *_, raw in group)
-    slices = max(1, -(-total // most))
-    found: dict[int, list[int]] = {}
-    for s in range(slices):
-        keys, who, where = [], [], []
-        for e, (_, _, lo, _, raw) in enumerate(group):
-            for i in range(len(raw) - length + 1):
-                if slices == 1 or (i - lo) % slices == s:
-                    keys.append(xxhash.xxh3_64_intdigest(raw[i:i + length], (i - lo) & 0xFFFF))
-                    who.append(e)
-                    where.append(i)
-        _, at, n = np.unique(np.array(keys, np.uint64), return_inverse=True, return_counts=True)
-        for k in np.flatnonzero(n[at] > 1):
-            if group[who[k]][3]:
-                found.setdefault(who[k], []).append(where[k])
-    out = []
-    for e, places in found.items():
-        u, a, lo, _, _ = group[e]
-        p = np.sort(np.array(places))
-        cuts = np.flatnonzero(np.diff(p) > 1) + 1
-        out += [(u, int(a - lo + run[0]), int(a - lo + run[-1])) for run in np.split(p, cuts)]
-    return out
-
-
-def _windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(g, k, u, a, d, once): the windows of the entries of ``wanted``; d is the distance of a
-    window from the anchor, k a hash of its bytes and d."""
-    per = wanted.groupBy("u").agg(F.collect_list(F.struct("g", "a", "lo", "hi", "once")).alias("w"))
-    names = ["g", "k", "u", "a", "d", "once"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, rows = zstandard.ZstdDecompressor(), []
-        for b in batches:
-            for i in range(b.num_rows):
-                u, text = b.column(0)[i].as_py(), z.decompress(b.column(1)[i].as_py())
-                for x in b.column(2)[i].as_py():
-                    g, a, once = x["g"], x["a"], x["once"]
-                    rows += [(g, xxhash.xxh3_64_intdigest(text[a + d:a + d + length], d & 0xFFFF) - (1 << 63), u, a, d, once)
-                             for d in range(-x["lo"], x["hi"] + 1)]
-                    if len(rows) > 50_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-                        rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-    return _compress(docs, []).join(per, "u").mapInArrow(cut, "g long, k long, u long, a long, d int, once boolean")
+    return _compress(docs, []).join(per, "u").mapInArrow(cut, "g long, u long, a long, lo int, hi int, once boolean, raw binary")
+
+
+def _settle(parts: DataFrame, length: int) -> DataFrame:
+    """(u, first, last): ranges of windows of ``once`` entries of ``parts`` that another entry of
+    the same gram has at the same distance from its anchor. A span x stands for the windows x to
+    x + step - 1, counted from the farthest start whose window still holds the gram."""
+    reach, step = length - GRAM, 1
+    while step * SPLIT <= reach + 1:
+        step *= SPLIT
+    low, high = F.lit(reach) - F.col("lo"), F.lit(reach) + F.col("hi")  # the entry's own windows
+
+    def spans(first: Column, last: Column, step: int) -> Column:
+        """Starts of the spans of ``step`` windows in [first, last] with a window of the entry."""
+        return F.explode(F.filter(F.sequence(first, last, F.lit(step)), lambda x: (x <= high) & (x + (step - 1) >= low)))
+
+    live, found = parts.select("*", spans(F.lit(0), F.lit(reach), step).alias("x")), None
+    while True:
+        x, last = F.col("x"), F.least(F.col("x") + (step - 1), F.lit(reach))
+        at = lambda k: k - low + 1  # noqa: E731  position in raw at which window k starts
+        common = F.xxhash64(F.substring("raw", at(last), F.lit(length) - (last - x)))
+        union = F.xxhash64(F.substring("raw", at(x), F.lit(length) + (last - x)))
+        nodes = written(live.withColumn("e", F.xxhash64("u", "a", "lo")).select(
+            "g", "u", "a", "lo", "hi", "once", "x", "e", common.alias("common"),
+            F.when((x >= low) & (last <= high), union).otherwise(F.col("e")).alias("whole")))
+        same = nodes.groupBy("g", "x", "common", "whole").agg(
+            F.count("*").alias("n"), F.bool_or("once").alias("open"), F.min("e").alias("mirror"))
+        near = same.groupBy("g", "x", "common").agg(
+            F.count("*").alias("kinds"), F.bool_or(F.col("open") & (F.col("n") == 1)).alias("wanting"))
+        split = (F.col("kinds") > 1) & F.col("wanting")
+        verdict = (same.join(near, ["g", "x", "common"]).withColumn("split", split)
+                   .where(F.col("split") | F.col("open") & (F.col("n") > 1)).drop("kinds", "wanting", "open"))
+        judged = saved(nodes.join(verdict, ["g", "x", "common", "whole"])
+                       .where(F.col("once") & (F.col("n") > 1) | F.col("split") & (F.col("e") == F.col("mirror")))
+                       .select("u", "a", "lo", "hi", "once", "x", "n", (F.col("split") & (F.col("e") == F.col("mirror"))).alias("on")))
+        runs = judged.where("once and n > 1").select("u", (F.col("a") + x - reach).alias("first"), (F.col("a") + last - reach).alias("last"))
+        found = runs if found is None else found.union(runs)
+        if step == 1:
+            return found
+        live = judged.where("on").select("u", "a", "lo", (F.col("once") & (F.col("n") == 1)).alias("once"), spans(x, last, step // SPLIT).alias("x"))
+        live = parts.drop("once").join(live, ["u", "a", "lo"])
+        step //= SPLIT
 
 
 def resolve(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFrame:
     """(u, first, last): ranges of windows that start elsewhere, too."""
     classes = saved(hits.groupBy("g", "lo", "hi", "c").agg(F.count("*").alias("n"), F.min(F.struct("u", "a")).alias("one")))
     several = classes.groupBy("g").agg(F.count("*").alias("k"), F.count_if(F.col("n") == 1).alias("ones")).where("k > 1 and ones > 0")
-    wanted = (classes.join(several.select("g", "k"), "g")
-              .select("g", "k", "one.u", "one.a", "lo", "hi", (F.col("n") == 1).alias("once")))
+    wanted = (classes.join(several.select("g"), "g")
+              .select("g", "one.u", "one.a", "lo", "hi", (F.col("n") == 1).alias("once")))
     whole = (hits.join(classes.where("n > 1").select("g", "lo", "hi", "c"), ["g", "lo", "hi", "c"])
              .select("u", (F.col("a") - F.col("lo")).alias("first"), (F.col("a") + F.col("hi")).alias("last")))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["u", "first", "last"])
-        now, group, rows = None, [], []
-        for b in batches:
-            for g, u, a, lo, once, raw in zip(*[c.to_pylist() for c in b.columns]):
-                if g != now:
-                    rows += _compare(group, length) if len(group) > 1 else []
-                    now, group = g, []
-                    if len(rows) > 50_000:
-                        yield out(rows)
-                        rows = []
-                group.append((u, a, lo, once, raw))
-        rows += _compare(group, length) if len(group) > 1 else []
-        if rows:
-            yield out(rows)
-
-    few = wanted.where(F.col("k") <= MANY)
-    parts = _with_bytes(docs, few, length).repartition("g").sortWithinPartitions("g", "u", "a")
-    compared = parts.mapInArrow(compare, "u long, first long, last long")
-
-    windows = written(_windows(docs, wanted.where(F.col("k") > MANY), length))
-    twice = windows.groupBy("g", "k").agg(F.count("*").alias("n")).where("n > 1").select("g", "k")
-    per = windows.where("once").join(twice, ["g", "k"]).groupBy("u", "a").agg(F.collect_set("d").alias("d"))  # at most length of an entry
-    # Runs of neighbouring windows.
-    first = F.sort_array(F.filter("d", lambda x: ~F.array_contains("d", x - 1)))
-    last = F.sort_array(F.filter("d", lambda x: ~F.array_contains("d", x + 1)))
-    runs = per.select("u", "a", F.explode(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("r"))
-    return whole.union(compared).union(runs.select("u", F.col("a") + F.col("r.first"), F.col("a") + F.col("r.last")))
+    return whole.union(_settle(written(_with_bytes(docs, wanted, length)), length))
 
 
 def cut_ranges(raw: bytes, windows: list[tuple[int, int]], length: int = LENGTH) -> tuple[bytes, int, int]:
