@@ -392,7 +392,7 @@ def test_rows_of_a_shared_passage_follow_its_copies(spark, monkeypatch, copies):
     monkeypatch.setattr(suffix_family, "written", spy)
     want = bag((i, *x) for (i, _), x in zip(rows, brute_passages([t.encode() for _, t in rows])))
     assert bag(suffix_family.repeated_passages(docs).collect()) == want
-    assert 0 < max(sizes) <= 16 * copies  # of some 300 windows at either end
+    assert 0 < max(sizes) <= 4 * suffix_family.SPLIT * copies  # of some 300 windows at either end
 
 
 def _distance(a, b):

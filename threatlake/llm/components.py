@@ -52,4 +52,14 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more: whatever was made from them
+    has to be ``saved`` or ``written`` itself before."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.table_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ hits, those of older levels included.
 
 Resolving hits, once: entries of one g with equal (lo, hi, c) are a class and have all their
 windows twice. Where a g has several classes, one entry of each is compared with the others by
-halving (here: quartering) spans of windows, which finds the ends of passages. A span has two
+splitting spans of windows, which finds the ends of passages. A span has two
 hashes, of all bytes of its windows and of the bytes common to them. All bytes seen twice: every
 window of the span is found, one entry goes on as a mirror for the others. Common bytes seen
 once: no window of the span can be found. Only spans between the two are split. Hashes are
@@ -40,12 +40,12 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threatlake.llm.components import saved, written
+from threatlake.llm.components import discard, saved, written
 
 LENGTH = 200
 GRAM = 48  # bytes of an anchor: short ones recur by chance, long ones need more anchors
 BATCHES = 2
-SPLIT = 4  # parts of a span of windows that is neither found nor ruled out
+SPLIT = 8  # parts of a span of windows that is neither found nor ruled out
 _PIECE = 1 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 ENTRY = "g long, u long, a long, lo int, hi int, c long"
@@ -113,6 +113,7 @@ class SuffixFamily:
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
+        self._tables: list[DataFrame] = []
 
     def add(self, new: DataFrame, keep: bool = True) -> DataFrame:
         """Index a batch of entries; returns the hits it makes: its own entries and those of
@@ -121,8 +122,8 @@ class SuffixFamily:
             (n, a), (m, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((n + m, self._stored(a.union(b))))
         new = self._stored(new)
-        grams = saved(new.groupBy("g").agg(F.count("*").alias("n")))
-        old = [saved(level.join(grams, "g", "left_semi")) for _, level in self.levels]
+        grams = self._kept(new.groupBy("g").agg(F.count("*").alias("n")))
+        old = [self._kept(level.join(grams, "g", "left_semi")) for _, level in self.levels]
         again = grams.where("n > 1").select("g")
         for o in old:
             again = again.union(o.select("g").distinct())
@@ -133,9 +134,17 @@ class SuffixFamily:
             self.levels.append((1, new))
         return hits
 
-    @staticmethod
-    def _stored(df: DataFrame) -> DataFrame:
-        return written(df.sortWithinPartitions("g"))
+    def discard(self) -> None:
+        """Deletes the family's tables; the hits of its batches must have been saved before."""
+        discard(*self._tables)
+        self.levels, self._tables = [], []
+
+    def _stored(self, df: DataFrame) -> DataFrame:
+        return self._kept(df.sortWithinPartitions("g"))
+
+    def _kept(self, df: DataFrame) -> DataFrame:
+        self._tables.append(written(df))
+        return self._tables[-1]
 
 
 def _compress(docs: DataFrame, extra: list[str]) -> DataFrame:
@@ -202,6 +211,7 @@ def _settle(parts: DataFrame, length: int) -> DataFrame:
         judged = saved(nodes.join(verdict, ["g", "x", "common", "whole"])
                        .where(F.col("once") & (F.col("n") > 1) | F.col("split") & (F.col("e") == F.col("mirror")))
                        .select("u", "a", "lo", "hi", "once", "x", "n", (F.col("split") & (F.col("e") == F.col("mirror"))).alias("on")))
+        discard(nodes)
         runs = judged.where("once and n > 1").select("u", (F.col("a") + x - reach).alias("first"), (F.col("a") + last - reach).alias("last"))
         found = runs if found is None else found.union(runs)
         if step == 1:
@@ -219,7 +229,10 @@ def resolve(docs: DataFrame, hits: DataFrame, length: int = LENGTH) -> DataFrame
               .select("g", "one.u", "one.a", "lo", "hi", (F.col("n") == 1).alias("once")))
     whole = (hits.join(classes.where("n > 1").select("g", "lo", "hi", "c"), ["g", "lo", "hi", "c"])
              .select("u", (F.col("a") - F.col("lo")).alias("first"), (F.col("a") + F.col("hi")).alias("last")))
-    return whole.union(_settle(written(_with_bytes(docs, wanted, length)), length))
+    parts = written(_with_bytes(docs, wanted, length))
+    runs = _settle(parts, length)
+    discard(parts)
+    return whole.union(runs)
 
 
 def cut_ranges(raw: bytes, windows: list[tuple[int, int]], length: int = LENGTH) -> tuple[bytes, int, int]:
@@ -249,7 +262,9 @@ def repeated_windows(docs: DataFrame, batches: int = BATCHES, length: int = LENG
     twins = (docs.select(text_number().alias("u"), F.octet_length("text").alias("n")).groupBy("u")
              .agg(F.count("*").alias("times"), F.max("n").alias("n")).where((F.col("times") > 1) & (F.col("n") >= length)))
     whole = twins.select("u", F.lit(0).cast("long").alias("first"), (F.col("n") - length).cast("long").alias("last"))
-    return resolve(docs, saved(hits.distinct()), length).union(whole)
+    hits = saved(hits.distinct())
+    family.discard()
+    return resolve(docs, hits, length).union(whole)
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
