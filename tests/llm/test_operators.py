@@ -58,6 +58,18 @@ def test_ablation_counts_sole_failures(spark):
     assert got["short"] == (2, 1, 1) and got["repetitive"] == (1, 0, 1) and got["symbols"] == (1, 1, 1)
 
 
+def test_audit_takes_verdicts_and_ablation_from_the_stored_ledger(docs, odd, empty):
+    for table in (docs, odd):
+        got = quality.audit(table).collect()
+        assert bag(tuple(r)[:10] for r in got) == bag(quality.quality_rules(table).collect())
+        failed = [[n for k, (n, _) in enumerate(quality.RULES) if r.failure_bits >> k & 1 and n in quality.POLICIES[r.policy]] for r in got]
+        alone = Counter(f[0] for f in failed if len(f) == 1)
+        assert [(r.only_rule, r.n_only) for r in got] == [(f[0], alone[f[0]]) if len(f) == 1 else (None, None) for f in failed]
+    audited = quality.audit(odd)
+    assert not any("Python" in line or "Arrow" in line for line in audited._jdf.queryExecution().executedPlan().toString().split("\n"))
+    assert quality.audit(empty).count() == 0
+
+
 def brute_fingerprint(t):
     w = WORD.findall(lower(t or ""))
     s = [" ".join(w[k:k + 3]) for k in range(max(1, len(w) - 2))] if w else []

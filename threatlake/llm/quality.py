@@ -3,7 +3,8 @@
 ``ledger`` measures every text once and evaluates every rule once: one row per input row
 with the measurements and ``failure_bits`` (bit i set: rule i fails). A policy is a named,
 versioned set of rules; applying one is a bitwise AND over the ledger, so a new policy or an
-ablation never reads a text again. The ledger may be stored (``write_ledger``) and re-read.
+ablation never reads a text again: ``audit`` stores the ledger in the shared checkpoint folder
+and takes the policy's verdicts and its ablation from the stored rows.
 
 Row-wise: no shuffle, any input row gives exactly one output row. Null and empty texts have
 no words, so they fail ``short``. Null or repeated ids and repeated rows are kept as they
@@ -17,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threatlake.llm.components import written
 from threatlake.llm.text import SPACES, fresh, of_text
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -90,10 +92,6 @@ def ledger(docs: DataFrame) -> DataFrame:
             .select("doc_id", "m.*", _failure_bits("m").alias("failure_bits")))
 
 
-def write_ledger(docs: DataFrame, path: str) -> None:
-    ledger(docs).write.mode("overwrite").parquet(path)
-
-
 def apply_policy(rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     """Ledger rows with ``policy``, ``base_failed`` and ``kept``."""
     failed = lambda name: F.col("failure_bits").bitwiseAND(F.lit(bits_of(*POLICIES[name]))) != 0
@@ -130,9 +128,24 @@ def quality_rules(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
         "failure_bits", "policy")
 
 
+def audit(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
+    """``quality_rules`` from a stored ledger, with ``only_rule``, the rule that alone rejects a
+    row (null: none or several), and ``n_only``, the rows that dropping this rule gives back."""
+    rows = written(ledger(docs))
+    bits = F.col("failure_bits").bitwiseAND(F.lit(bits_of(*POLICIES[policy])))
+    only = F.coalesce(*[F.when(bits == bits_of(r), F.lit(r)) for r in POLICIES[policy]])
+    alone = ablation(rows, policy).select(F.col("rule").alias("only_rule"), "n_only")
+    return (apply_policy(rows, policy).withColumn("only_rule", only)
+            .join(F.broadcast(alone), "only_rule", "left")  # one row for each rule of the policy
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                    "failure_bits", "policy", "only_rule", "n_only"))
+
+
 def _sql() -> str:
-    """DuckDB SQL of ``quality_rules`` over ``documents``."""
+    """DuckDB SQL of ``audit`` over ``documents``."""
     failed = " + ".join(f"CASE WHEN {cond} THEN {1 << i} ELSE 0 END" for i, (_, cond) in enumerate(RULES))
+    production = bits_of(*POLICIES[PRODUCTION])
+    only = " ".join(f"WHEN {bits_of(r)} THEN '{r}'" for r in POLICIES[PRODUCTION])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
@@ -143,10 +156,12 @@ m AS (SELECT w.u, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_tran
              coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, len(regexp_extract_all(t, '[A-Z]'))::BIGINT AS n_upper,
              len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')))::BIGINT AS n_alpha_words
       FROM w LEFT JOIN r ON r.u = w.u),
-f AS (SELECT *, ({failed})::BIGINT AS failure_bits FROM m)
+f AS (SELECT *, ({failed})::BIGINT AS failure_bits FROM m),
+o AS (SELECT *, CASE failure_bits & {production} {only} END AS only_rule FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failure_bits & {bits_of(*POLICIES["base-1"])} <> 0 AS base_failed,
-       failure_bits & {bits_of(*POLICIES["base-1"]) | bits_of(*POLICIES[PRODUCTION])} = 0 AS kept, failure_bits, '{PRODUCTION}' AS policy
-FROM f"""
+       failure_bits & {bits_of(*POLICIES["base-1"]) | bits_of(*POLICIES[PRODUCTION])} = 0 AS kept, failure_bits, '{PRODUCTION}' AS policy,
+       only_rule, CASE WHEN only_rule IS NOT NULL THEN count(*) OVER (PARTITION BY only_rule) END AS n_only
+FROM o"""
 
 
 ORACLE = _sql()

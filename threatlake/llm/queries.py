@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark, sf_dir):
-    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+    return quality.audit(_table(spark, sf_dir, "documents"))
 
 
 def op2_line_dedup(spark, sf_dir):
