@@ -312,3 +312,27 @@ def test_a_corrected_page_wins_whatever_the_order(spark, tmp_path):
     epss = str(tmp_path / "epss")
     jobs.epss_ingest(spark, f"{tmp_path}/landing/*/", str(tmp_path / "staging"), epss, name=_name()).awaitTermination()
     assert [str(r.epss) for r in spark.read.parquet(epss).collect()] == ["0.70000"]
+
+
+def _files(path):
+    return {str(x) for x in Path(path).rglob("*.parquet")}
+
+
+def test_new_keys_are_appended_and_nothing_stays_staged(spark, tmp_path):
+    """A batch of new keys rewrites no stored file; a changed row rewrites its bucket only."""
+    from threatlake.session import checkpoint_dir
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, first int, at int")
+    staged = lambda: set(Path(checkpoint_dir(spark).removeprefix("file:")).glob("staged-*"))
+    before = staged()
+    path = str(tmp_path / "t")
+    table = KeyedTable(spark, path, ["k"], ["k", "v", "first"], buckets=2)
+    table.upsert(rows(*[(f"k{i}", "a", i, 1) for i in range(40)], (None, "a", 0, 1)), ["at"], ["first"])
+    had = _files(path)
+    assert table.upsert(rows(*[(f"n{i}", "b", i, 2) for i in range(40)]), ["at"], ["first"]) == 2
+    assert had < _files(path)
+    assert table.upsert(rows(("k1", "c", 9, 3), ("k1", "b", 8, 2), ("n1", "b", 5, 3), ("k2", "a", 7, 3)), ["at"], ["first"]) == 1
+    assert table.upsert(rows((None, "d", 6, 3), ("new", "d", 6, 3)), ["at"], ["first"]) in (1, 2)
+    got = {r.k: (r.v, r.first) for r in table.table().collect()}
+    assert len(got) == table.table().count() == 82
+    assert (got["k1"], got["n1"], got["k2"], got[None], got["new"]) == (("c", 1), ("b", 1), ("a", 2), ("d", 0), ("d", 6))
+    assert staged() == before
