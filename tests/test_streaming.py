@@ -336,3 +336,18 @@ def test_new_keys_are_appended_and_nothing_stays_staged(spark, tmp_path):
     assert len(got) == table.table().count() == 82
     assert (got["k1"], got["n1"], got["k2"], got[None], got["new"]) == (("c", 1), ("b", 1), ("a", 2), ("d", 0), ("d", 6))
     assert staged() == before
+
+
+def test_documents_of_a_feed_share_a_folder_and_a_run_takes_few_batches(spark, tmp_path):
+    from threatlake.sources.landing import write_feed_documents
+    items = (spark.range(24).select(F.lit("a").alias("feed_url"), F.concat(F.lit("g"), "id").alias("guid"), F.lit("t").alias("title"),
+                                    F.lit("l").alias("link"), F.lit("c").alias("content"), F.lit("s").alias("summary"),
+                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("published"), "id"))
+    write_feed_documents(items, str(tmp_path / "landing"), F.lit("rss"), F.floor(F.col("id") / 2))
+    assert len(list((tmp_path / "landing").glob("feed=*"))) == 1 and len(list((tmp_path / "landing").glob("*/*.txt"))) == 12
+    arch, log = str(tmp_path / "archive"), str(tmp_path / "log")
+    jobs.feed_ingest(spark, f"{tmp_path}/landing/*/", arch, str(tmp_path / "current"), now="2024-01-31 00:00:00", name=_name(), log_path=log,
+                     max_files=1).awaitTermination()
+    assert spark.read.parquet(arch).count() == 24
+    entries = spark.read.parquet(log)
+    assert entries.groupBy().sum("documents", "new").first() == (12, 24) and entries.count() == jobs.MOST_BATCHES
