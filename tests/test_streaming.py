@@ -351,3 +351,15 @@ def test_documents_of_a_feed_share_a_folder_and_a_run_takes_few_batches(spark, t
     assert spark.read.parquet(arch).count() == 24
     entries = spark.read.parquet(log)
     assert entries.groupBy().sum("documents", "new").first() == (12, 24) and entries.count() == jobs.MOST_BATCHES
+
+
+def test_a_later_window_rewrites_no_earlier_one(spark, tmp_path):
+    pages, cve, state = tmp_path / "nvd", str(tmp_path / "cve"), str(tmp_path / "state")
+    pages.mkdir()
+    records = [{"cve": {"id": f"CVE-2023-{i:05}", "published": f"2023-{i:02}-01T00:00:00", "lastModified": "2024-01-01T00:00:00"}} for i in range(1, 13)]
+    (pages / "0.json").write_text(json.dumps({"resultsPerPage": 12, "startIndex": 0, "totalResults": 12, "vulnerabilities": records}))
+    append_cursor(spark, state, "NVD", "2023-01-01T00:00:00Z")
+    run = lambda **more: jobs.nvd_window_ingest(spark, str(pages), cve, state, "2024-01-01 00:00:00", days=100, **more)
+    assert run(max_windows=1) == 1 and spark.read.parquet(cve).count() == 4
+    had = _files(cve)
+    assert run() == 3 and had < _files(cve) and spark.read.parquet(cve).count() == 12
