@@ -61,3 +61,19 @@ def test_materialized_refresh_publishes_new_versions(spark, tmp_path):
     got = mv.read(spark, root, "analysis_cve_mentions")
     assert got.inputFiles()[0].startswith("file:" + second) or second in got.inputFiles()[0]
     assert got.count() == rel.cve_mentions(t.analysis).count()
+
+
+def test_token_index_computes_its_tokens_once(spark, tmp_path):
+    from threatlake.plans.relations import index_sweep, write_token_index
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(i):
+        seen.add(1)
+        return ["the", f"t{i}"]
+    search = spark.range(200).select(F.concat(F.lit("an-"), "id").alias("analysis_id"), F.udf(counted, "array<string>")("id").alias("document"))
+    write_token_index(search, str(tmp_path / "index"))
+    assert seen.value == 200
+    index = spark.read.parquet(str(tmp_path / "index"))
+    assert index.count() == 400
+    phrases = spark.createDataFrame([("the t7",), ("the",), ("t1 t2",)], "phrase string")
+    assert {tuple(r) for r in index_sweep(index, phrases).collect()} == {("the t7", 1), ("the", 200), ("t1 t2", 0)}
