@@ -290,6 +290,61 @@ def test_lm_scores(docs):
     assert all(g[5] == pytest.approx(w[5], rel=1e-9, abs=1e-9) and g[6] <= 1e-9 for g, w in zip(got, want))
 
 
+def brute_suffix_tree(rows):
+    """Scores by a suffix tree over all words, its levels grown until none is retained."""
+    toks = [WORD.findall(lower(t or "")) + ["\n"] for _, t in rows]
+    train = [t for t, (i, _) in zip(toks, rows) if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in t)
+    n, once, twice = sum(c.values()), sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+    d = (once + 1) / (once + 2 * twice + 2)
+    context = lambda t, i, k: tuple((["\n"] + t)[max(0, i + 1 - k):i + 1])
+    tree, depth = {(): c}, 0
+    while any(len(s) == depth for s in tree):
+        depth += 1
+        after = defaultdict(Counter)
+        for t in train:
+            for i, x in enumerate(t):
+                if i + 1 >= depth and context(t, i, depth - 1) in tree:
+                    after[context(t, i, depth)][x] += 1
+        for s, nx in after.items():
+            short = tree[s[1:]]
+            gain = sum(k * math.log(k / sum(nx.values()) / (short[x] / sum(short.values()))) for x, k in nx.items())
+            if gain > len(nx) / 2 * math.log(max(n, 2)):
+                tree[s] = nx
+
+    def log10(t, i):
+        p = (c[t[i]] - d) / n if c[t[i]] else d * len(c) / n
+        for k in range(1, i + 2):
+            nx = tree.get(context(t, i, k))
+            if nx is None:
+                break
+            p = (nx[t[i]] + pst.KAPPA * p) / (sum(nx.values()) + pst.KAPPA)
+        return math.log10(p)
+    return [sum(log10(t, i) for i in range(len(t))) for t in toks], tree
+
+
+def test_lm_states_over_the_whole_vocabulary(spark):
+    """More words than the 512 that contexts were made of, and states of more than two words."""
+    rng = random.Random(5)
+    names = [f"n{i}" for i in range(900)]
+    rows = []
+    for i in range(160):
+        say = [f"{w} is{w}" for w in rng.sample(names, 30)]  # a rare word's next word
+        say += [rng.choice(["a b c p", "a d c q", "e b c r"]) for _ in range(30)]  # known by three words only
+        rng.shuffle(say)
+        rows.append((i, " ".join(say) if i % 40 else None))
+    rows += [(None, "a b c p n1 isn1"), (7, "A b\tnever c seen"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, tree = brute_suffix_tree(rows)
+    assert len({w for s in tree for w in s}) > 512 and max(map(len, tree)) > 2
+    key = lambda r: (str(r[0]), round(r[1], 4))
+    want = sorted(((i, s) for (i, _), s in zip(rows, want)), key=key)
+    for bounds in ({}, {"symbols": 20, "head": 3, "most_states": 5}, {"symbols": 0, "head": 0, "most_states": 0}):
+        got = sorted(((r.doc_id, r.score) for r in pst.score(docs, **bounds).collect()), key=key)
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert [g[1] for g in got] == pytest.approx([w[1] for w in want], rel=1e-9)
+
+
 def test_suffix_tree_probabilities_sum_to_one(spark):
     text = "x m y z m w " * 40 + "d e"
     docs = spark.createDataFrame([(k, text) for k in range(12)], "doc_id long, text string")
