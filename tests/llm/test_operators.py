@@ -547,6 +547,16 @@ def test_lines_link_by_edit_similarity_alone(spark, tmp_path):
     assert len(linked) > 150 and got == set(range(len(lines))) - set(first.values())
 
 
+def test_lines_are_spelled_once(spark, monkeypatch):
+    """A text's candidate lines are not taken from it one by one, which splits it once for each."""
+    def again(*args):
+        raise AssertionError("a text is split for each of its lines")
+    monkeypatch.setattr(line_dedup, "_nodes", again)
+    lines = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(300)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(x.replace(" e", " other") for x in lines)), (3, "A7 b7 c7 d7 e7\nnew")], "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in line_dedup.line_dedup(docs).collect()} == {1: [], 2: list(range(300)), 3: [0]}
+
+
 def test_line_simhash_of_long_lines(spark, monkeypatch):
     line = " ".join(f"w{i}" for i in range(500))
     docs = spark.createDataFrame([(1, line)], "doc_id long, text string")
