@@ -557,6 +557,45 @@ def test_lines_are_spelled_once(spark, monkeypatch):
     assert {r.doc_id: r.removed for r in line_dedup.line_dedup(docs).collect()} == {1: [], 2: list(range(300)), 3: [0]}
 
 
+def test_unlike_lines_of_a_frequent_word_pair_are_not_compared(spark):
+    """Parities of words miss no pair within the rule's edits, and form few of the others."""
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    lines = [["of", "the"] + [f"w{rng.randrange(5000)}" for _ in range(18)] for _ in range(150)]
+    for w in lines[:50]:
+        near = list(w)
+        for _ in range(4):
+            k = rng.randrange(len(near))
+            near[k:k + 1] = rng.choice(([], ["new"], [near[k], "more"]))
+        lines.append(near)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id long, text string")
+    rows = line_dedup._spelled_lines(docs, 0.8).select(F.lit(0).alias("key"), "doc_id", "h", "n", "s", F.col("h").alias("root"), F.lit(True).alias("apart"))
+    rooted = rows.join(line_dedup._parities(rows), "h").drop("doc_id", "s")
+    number = {r.h: r.doc_id for r in rows.collect()}
+    got = {frozenset((number[r.h1], number[r.h2])) for r in line_dedup._left_over(rooted, 0.8).collect()}
+    linked = {frozenset((a, b)) for a in range(len(lines)) for b in range(a)
+              if _distance(lines[a], lines[b]) <= 0.2 * max(len(lines[a]), len(lines[b])) + 1e-9}
+    assert len(linked) >= 40 and linked <= got and len(got) < 200  # of 19,900
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """They are removed with the write, not when the driver happens to collect its garbage."""
+    import time
+    from threatlake.llm.components import written
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+    before = files()
+    rows = written(spark.range(1000).repartition(5, "id"))
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and rows.count() == 1000
+
+
 def test_line_simhash_of_long_lines(spark, monkeypatch):
     line = " ".join(f"w{i}" for i in range(500))
     docs = spark.createDataFrame([(1, line)], "doc_id long, text string")
