@@ -578,6 +578,15 @@ def test_unlike_lines_of_a_frequent_word_pair_are_not_compared(spark):
     assert len(linked) >= 40 and linked <= got and len(got) < 200  # of 19,900
 
 
+def test_ngrams_are_shuffled_once_for_counts_and_shorter_ngrams(spark):
+    docs = spark.createDataFrame([(i, f"a b c{i % 5} a b") for i in range(40)], "doc_id long, text string")
+    texts = pst.encoded(docs, pst.Symbols([b"a", b"b", pst.END], 3))
+    short = spark.range(10).selectExpr("id as short", "id as p")
+    joined = pst.gram_counts(texts, 2, 2, None).join(short.hint("merge"), "short")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_shuffle_files_go_when_a_table_is_written(spark):
     """They are removed with the write, not when the driver happens to collect its garbage."""
     import time
